@@ -169,7 +169,10 @@ def property_summary(properties: str | Column) -> Column:
     return F.map_from_entries(entries)
 
 
-def epoch_millis(c: str | Column) -> Column:
+def epoch_millis(c: str | Column, dtype: str = "timestamp") -> Column:
+    """Milliseconds since 1970, rounded down; a zone-free timestamp is read as UTC."""
+    if dtype == "timestamp_ntz":
+        return F.floor(F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"), col(c)) / 1000)
     return F.unix_millis(col(c))
 
 

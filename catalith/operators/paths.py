@@ -27,9 +27,9 @@ def shortest_paths(edges: DataFrame, pairs: DataFrame, max_depth: int = MAX_DEPT
     nodes its start has not seen; starts with nothing left to find drop out, and
     the last level, the widest, is cut to the asked pairs before it is aggregated.
     """
-    # Every level joins the edges again, so they are derived once.
+    # Every level meets the edges and the pairs again, so they are derived once.
     hops = cut(edges.select("src", "dst").distinct())
-    wanted = pairs.select("start", "end").distinct()
+    wanted = cut(pairs.select("start", "end").distinct())
     asked = wanted.withColumnRenamed("end", "node")
     level = hops.join(wanted.select(F.col("start").alias("src")).distinct(), "src", "left_semi").select(
         F.col("src").alias("start"), F.col("dst").alias("node"), F.array("src", "dst").alias("path")
