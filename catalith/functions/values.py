@@ -100,7 +100,7 @@ def untagged(c: str | Column) -> Column:
 def graph_value(c: str | Column) -> Column:
     """Tagged graph value as VARIANT: JSON when it parses, else the bare text."""
     text = untagged(c)
-    bare = F.to_variant_object(F.regexp_replace(text, '^"+|"+$', ""))
+    bare = F.regexp_replace(text, '^"+|"+$', "").cast("variant")
     return F.coalesce(F.try_parse_json(text), bare)
 
 
