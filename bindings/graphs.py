@@ -69,8 +69,8 @@ SELECT type, CASE WHEN src IN (SELECT id FROM n) AND dst IN (SELECT id FROM n) T
 )
 def edge_resolution(b: Bound):
     nodes = b.V_node.where("label <> 'Supplier' OR name < 'Supplier#000000050'")
-    kept, skipped = graph.edge_resolution(b.V_edge, nodes)
-    both = kept.withColumn("outcome", F.lit("kept")).unionByName(skipped.withColumn("outcome", F.lit("skipped")))
+    tagged = graph.with_known_ends(b.V_edge, nodes)
+    both = tagged.withColumn("outcome", F.when(F.col("known"), "kept").otherwise("skipped"))
     return both.groupBy("type", "outcome").agg(F.count(F.lit(1)).alias("row_count"))
 
 
@@ -503,7 +503,7 @@ def replace_scope(b: Bound):
     ends = b.V_node.selectExpr("id AS src", scope)
     old = b.V_edge.join(ends, "src").select("src", "dst", "type", "schema_id")
     fresh_nodes = b.V_node.where("label IN ('Supplier', 'Nation')").selectExpr(
-        "concat(id, 'n') AS id", "CASE label WHEN 'Supplier' THEN 'Resource' ELSE label END AS label", "'s1' AS schema_id"
+        "concat(id, 'n') AS id", "CASE label WHEN 'Supplier' THEN 'Resource' ELSE label END AS label", scope
     )
     fresh_edges = old.where("schema_id = 's1'").selectExpr("concat(src, 'n') AS src", "concat(dst, 'n') AS dst", "type", "schema_id")
     new_nodes, new_edges = graph.replace_schema(nodes, old, fresh_nodes, fresh_edges)

@@ -44,13 +44,18 @@ def graph_load(nodes: DataFrame, edges: DataFrame) -> tuple[DataFrame, DataFrame
 
 def edge_resolution(edges: DataFrame, nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Edges with both ends known, and the rest."""
+    tagged = with_known_ends(edges, nodes)
+    return tagged.where("known").drop("known"), tagged.where("NOT known").drop("known")
+
+
+def with_known_ends(edges: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Edges with a flag telling whether both ends exist."""
     ids = nodes.select("id").distinct()
-    src, dst = ids.withColumnRenamed("id", "src"), ids.withColumnRenamed("id", "dst")
-    kept = edges.join(src, "src", "left_semi").join(dst, "dst", "left_semi")
-    no_src = edges.join(src, "src", "left_anti")
-    no_dst = edges.join(src, "src", "left_semi").join(dst, "dst", "left_anti")
-    columns = edges.columns
-    return kept.select(*columns), no_src.select(*columns).unionByName(no_dst.select(*columns))
+    rows = edges
+    for end in ("src", "dst"):
+        rows = rows.join(ids.select(F.col("id").alias(end), F.lit(True).alias(f"__{end}")), end, "left")
+    known = F.col("__src").isNotNull() & F.col("__dst").isNotNull()
+    return rows.select(*edges.columns, known.alias("known"))
 
 
 # ---------------------------------------------------------------- scans

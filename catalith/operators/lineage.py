@@ -76,10 +76,11 @@ def lineage_graph(nodes: DataFrame) -> DataFrame:
 def lineage_stats(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """One row: process, source, target and edge counts."""
     source = F.col("node_type") == DATA_SOURCE
-    counts = nodes.agg(
-        F.count_if(F.col("node_type") == PROCESS).alias("etl_count"),
-        F.count_if(source & (F.col("source_type") == "SOURCE")).alias("source_count"),
-        F.count_if(source & (F.col("source_type") == "TARGET")).alias("target_count"),
-    ).withColumn("one", F.lit(1))
-    flows = edges.agg(F.count(F.lit(1)).alias("flow_count")).withColumn("one", F.lit(1))
-    return counts.join(flows, "one").drop("one")
+    kind = (
+        F.when(F.col("node_type") == PROCESS, "etl")
+        .when(source & (F.col("source_type") == "SOURCE"), "source")
+        .when(source & (F.col("source_type") == "TARGET"), "target")
+    )
+    kinds = nodes.select(kind.alias("kind")).unionByName(edges.select(F.lit("flow").alias("kind")))
+    names = ("etl", "source", "target", "flow")
+    return kinds.agg(*[F.count_if(F.col("kind") == n).alias(f"{n}_count") for n in names])

@@ -12,6 +12,7 @@ from catalith.functions.text import blank, fold, lacks_text
 from catalith.functions.values import usage_type
 from catalith.operators import merge as M
 from catalith.operators.fk import RELATION_TYPES
+from catalith.plans.lineage_cut import cut
 from catalith.plans.ranking import first_per_key
 
 # Fixed values.
@@ -78,7 +79,7 @@ def merge_ddl(
     out["columns"] = M.merge_upsert(store["columns"], columns, DDL_KEYS["columns"], column_policies, ["seq"])
 
     key = ["db", "schema_name", "name"]
-    known = loaded.select(*key)
+    known = store["tables"].select(*key).unionByName(tables.select(*key)).distinct()
     target = fks.select(
         F.col("to_db").alias("db"), blank("to_schema").alias("schema_name"), blank("to_table").alias("name")
     ).distinct()
@@ -130,7 +131,8 @@ def merge_inferred_fks(relationships: DataFrame, columns: DataFrame, column_link
     ``found(from_schema, from_table, from_column, to_schema, to_table, to_column, seq)``.
     Keys with an unknown table are dropped.
     """
-    rows = _known_ends(tables, found)
+    # The resolved keys feed three results and are derived once.
+    rows = cut(_known_ends(tables, found))
     changes = rows.select(
         "from_table_id",
         "to_table_id",
@@ -202,7 +204,7 @@ def merge_relationships(relationships: DataFrame, tables: DataFrame, asked: Data
     """
     allowed = asked.where(F.col("rel_type").isin(*RELATION_TYPES))
     bad_type = asked.where(~F.coalesce(F.col("rel_type").isin(*RELATION_TYPES), F.lit(False)))
-    known = _known_ends(tables, allowed)
+    known = cut(_known_ends(tables, allowed))
     changes = known.select(
         "from_table_id",
         "to_table_id",

@@ -38,13 +38,16 @@ def _result(df: DataFrame, category: Column, test: Column, ok: Column) -> DataFr
 
 def totals(source: dict[str, DataFrame], target: dict[str, DataFrame]) -> DataFrame:
     """Row counts of the named frames on both sides."""
-    out = None
-    for name, df in source.items():
-        left = df.agg(F.count(F.lit(1)).alias("source")).withColumn("k", F.lit(name))
-        right = target[name].agg(F.count(F.lit(1)).alias("target")).withColumn("k", F.lit(name))
-        row = _result(left.join(right, "k"), F.lit("counts"), F.col("k"), F.col("source") == F.col("target"))
-        out = row if out is None else out.unionByName(row)
-    return out
+    counts = None
+    for side, frames in (("source", source), ("target", target)):
+        for name in source:
+            total = frames[name].agg(F.count(F.lit(1)).alias("n"))
+            row = total.select(F.lit(name).alias("k"), F.lit(side).alias("side"), "n")
+            counts = row if counts is None else counts.unionByName(row)
+    both = counts.groupBy("k").agg(
+        *[F.max(F.when(F.col("side") == side, F.col("n"))).alias(side) for side in ("source", "target")]
+    )
+    return _result(both, F.lit("counts"), F.col("k"), F.col("source") == F.col("target"))
 
 
 def _top(df: DataFrame, n: int | None) -> DataFrame:
