@@ -34,15 +34,16 @@ CASE WHEN p_size BETWEEN 10 AND 14 THEN '' WHEN p_size BETWEEN 15 AND 18 THEN 'N
 CASE WHEN p_size BETWEEN 40 AND 43 THEN false WHEN p_size BETWEEN 36 AND 39 THEN NULL ELSE true END AS is_valid FROM part""",
     "V_col": """
 SELECT l_partkey * 100000 + l_suppkey AS column_id, l_partkey AS table_id, concat('c', CAST(l_suppkey AS STRING)) AS name,
-max(l_returnflag) AS dtype, max(l_linenumber) > 4 AS nullable, max(l_linenumber) = 7 AS is_primary_key,
-CASE WHEN min(l_tax) < 0.02 THEN NULL ELSE concat('flag ', min(l_returnflag), ' status ', max(l_linestatus)) END AS description,
-CASE WHEN min(l_linenumber) = 7 THEN false WHEN min(l_linenumber) = 6 THEN NULL ELSE true END AS is_valid
-FROM lineitem GROUP BY l_partkey, l_suppkey""",
+CASE last_flag WHEN 82 THEN 'R' WHEN 78 THEN 'N' ELSE 'A' END AS dtype, last_line > 4 AS nullable, last_line = 7 AS is_primary_key,
+CASE WHEN low_tax < 0.02 THEN NULL ELSE concat('flag ', CASE first_flag WHEN 82 THEN 'R' WHEN 78 THEN 'N' ELSE 'A' END, ' status ', CASE last_status WHEN 79 THEN 'O' ELSE 'F' END) END AS description,
+CASE WHEN first_line = 7 THEN false WHEN first_line = 6 THEN NULL ELSE true END AS is_valid
+FROM (SELECT l_partkey, l_suppkey, max(ascii(l_returnflag)) AS last_flag, min(ascii(l_returnflag)) AS first_flag, max(ascii(l_linestatus)) AS last_status,
+max(l_linenumber) AS last_line, min(l_linenumber) AS first_line, min(l_tax) AS low_tax FROM lineitem GROUP BY l_partkey, l_suppkey) AS pairs""",
     "V_fk": """
-SELECT DISTINCT CASE WHEN status = 'O' THEN lo ELSE hi END AS from_column_id, CASE WHEN status = 'O' THEN hi ELSE lo END AS to_column_id,
-concat('fk_', CAST(CASE WHEN status = 'O' THEN lo_part ELSE hi_part END AS STRING)) AS constraint_name
-FROM (SELECT l_orderkey, max(l_linestatus) AS status, min(l_partkey * 100000 + l_suppkey) AS lo, max(l_partkey * 100000 + l_suppkey) AS hi,
-min(l_partkey) AS lo_part, max(l_partkey) AS hi_part FROM lineitem GROUP BY l_orderkey) AS bounds""",
+SELECT from_column_id, to_column_id, concat('fk_', CAST(from_part AS STRING)) AS constraint_name FROM (
+SELECT DISTINCT CASE WHEN status = 79 THEN lo ELSE hi END AS from_column_id, CASE WHEN status = 79 THEN hi ELSE lo END AS to_column_id, CASE WHEN status = 79 THEN lo_part ELSE hi_part END AS from_part
+FROM (SELECT l_orderkey, max(ascii(l_linestatus)) AS status, min(l_partkey * 100000 + l_suppkey) AS lo, max(l_partkey * 100000 + l_suppkey) AS hi,
+min(l_partkey) AS lo_part, max(l_partkey) AS hi_part FROM lineitem GROUP BY l_orderkey) AS bounds) AS links""",
     "V_query": """
 SELECT o_orderkey AS query_id, concat(o_orderpriority, ' ', CAST(o_custkey AS STRING)) AS question,
 CASE o_orderstatus WHEN 'F' THEN 'completed' WHEN 'P' THEN 'error' ELSE 'running' END AS status, o_totalprice AS execution_time_ms, o_orderdate AS created_at FROM orders""",
