@@ -47,7 +47,7 @@ def shortest_paths(edges: DataFrame, pairs: DataFrame, max_depth: int = MAX_DEPT
                 grown = grown.join(asked, ["start", "node"], "left_semi")
             level = grown.groupBy("start", "node").agg(F.min("path").alias("path"))
             level = level.join(seen, ["start", "node"], "left_anti")
-        if 1 < depth < max_depth:
+        if depth < max_depth:
             level = cut(level)
         hit = level.join(asked, ["start", "node"], "left_semi")
         rows = hit.select("start", F.col("node").alias("end"), F.lit(depth).alias("depth"), "path")

@@ -70,8 +70,10 @@ def build_subschema(
         .unionByName(column_hits.where(named).select(F.col(request_id).alias("request_id"), "table_id"))
         .distinct()
     )
-    table_columns = columns.join(members, "table_id")
-    edges = fk.fk_edges(tables, columns, fks)
+    # Both ends of a wanted key belong to a member table, so only their columns take part.
+    own = columns.join(members.select("table_id").distinct(), "table_id", "left_semi")
+    table_columns = own.join(members, "table_id")
+    edges = fk.fk_edges(tables, own, fks)
     details = cut(fk.fk_details(edges, members, limit=None))
     return {
         "tables": table_hits,
