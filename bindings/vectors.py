@@ -76,6 +76,17 @@ def vec_topk_threshold(b: Bound):
     return vector.similar_cached(b.V_emb, b.V_req, id_col="vec_id").select("qid", "vec_id", r6(), "rank")
 
 
+@query(
+    "vec_topk_floor",
+    duck("V_emb", "V_req")
+    + f"SELECT CAST(qid AS BIGINT) AS qid, vec_id, round(sim, 6) AS similarity, rank FROM ({ranked(20, where=SIM + ' >= 0.35')}) AS x",
+)
+def vec_topk_floor(b: Bound):
+    """A lower floor than the cache-hit default, which few request vectors reach."""
+    hits = vector.similar_cached(b.V_emb, b.V_req, 20, 0.35, id_col="vec_id")
+    return hits.select("qid", "vec_id", r6(), "rank")
+
+
 @query(
     "vec_topk_postfilter",
     duck("V_emb", "V_req", "V_tab")
