@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# Field names of the dump files.
 NODE_SCHEMA = "id string, neo4j_id string, labels array<string>, properties map<string,string>"
 EDGE_SCHEMA = "rel_id string, rel_type string, start_id string, end_id string, properties map<string,string>"
 TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][XXX]"
