@@ -188,12 +188,14 @@ def sliced(table: np.ndarray, slices: int) -> Iterator[pa.RecordBatch]:
     yield batch("slice data", pa.array(used, pa.int32()), blobs([parts[i].tobytes() for i in used]))
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, folds: int, fold: int, per_class: int) -> DataFrame:
-    """(doc_id, text, label): at most ``per_class`` labelled rows of each class outside ``fold``.
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, folds: int, fold: int, per_class: int) -> tuple[DataFrame, dict[int, int]]:
+    """(doc_id, text, label) of at most ``per_class`` labelled rows of each class outside
+    ``fold``, and how many such rows each class has in all.
 
     The rows with the smallest hash of the id are taken, so the sample is the same
     for any partitioning.  The id list is at most ``2 * per_class`` long and is
-    broadcast; the texts are not shuffled.
+    broadcast; the texts are not shuffled.  A repeated id counts once, with its
+    greatest label; labels other than 0 and 1 are passed over.
     """
     known = (
         narrow(labels, doc_id=("doc_id", "long"), label=(label, "int"))
@@ -201,7 +203,31 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, folds: int,
         .groupBy("doc_id")
         .agg(F.max("label").alias("label"))
     )
+    counts = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     rank = [F.xxhash64("doc_id", F.lit(17)), F.col("doc_id")]
     picked = [known.where(F.col("label") == c).orderBy(*rank).limit(per_class) for c in (0, 1)]
     ids = picked[0].unionByName(picked[1])
-    return texts_of(docs).join(F.broadcast(ids), "doc_id")
+    return texts_of(docs).join(F.broadcast(ids), "doc_id"), counts
+
+
+def class_weights(y: np.ndarray, counts: dict[int, int]) -> np.ndarray:
+    """Row weights that give the sample the class shares of all labelled rows; mean 1."""
+    w = np.ones(len(y))
+    for c in (0, 1):
+        if (y == c).any():
+            w[y == c] = counts.get(c, 0) / (y == c).sum()
+    return w / w.mean() if len(w) else w
+
+
+def runs(kind: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts, ends and document of the runs of equal non-zero ``kind``, cut at documents."""
+    starts, ends, doc = spans(kind > 0, bounds)
+    if not len(starts):
+        return starts, ends, doc
+    change = np.zeros(len(kind), bool)
+    np.not_equal(kind[1:], kind[:-1], out=change[1:])
+    change[starts] = True
+    change &= kind > 0
+    begin = np.flatnonzero(change)
+    last = ends[np.searchsorted(starts, begin, "right") - 1]
+    return begin, np.minimum(np.append(begin[1:], len(kind)), last), np.searchsorted(bounds, begin, "right") - 1

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalith.llm import kernel, langid
+from catalith.llm import kernel, langid, quality
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -39,3 +39,12 @@ def language_id(spark: SparkSession, folder: str) -> DataFrame:
     profiles = langid.learn(docs.where(~out))
     found = langid.identify(docs, profiles)
     return found.select("doc_id", out.alias("held_out"), "lang_pred", "score", "lead")
+
+
+@query("op5_quality_classifier")
+def quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality score of every document; labels of one of five folds are not learned."""
+    docs = table(spark, folder, "documents")
+    model = quality.learn(docs, table(spark, folder, "labels"))
+    found = quality.score(docs, model)
+    return found.select("doc_id", kernel.held_out(F.col("doc_id"), 5, 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
