@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalith.llm import kernel, langid, quality
+from catalith.llm import kernel, langid, quality, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -48,3 +48,12 @@ def quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     model = quality.learn(docs, table(spark, folder, "labels"))
     found = quality.score(docs, model)
     return found.select("doc_id", kernel.held_out(F.col("doc_id"), 5, 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+@query("op8_toxicity")
+def toxic(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity score of every document; labels of one of five folds are not learned."""
+    docs = table(spark, folder, "documents")
+    model = toxicity.learn(docs, table(spark, folder, "labels"))
+    found = toxicity.score(docs, model)
+    return found.select("doc_id", kernel.held_out(F.col("doc_id"), 5, 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
