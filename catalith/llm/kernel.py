@@ -7,6 +7,8 @@ a single longer document is one chunk of its own and is never cut.
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -51,6 +53,25 @@ def cut(df: DataFrame) -> DataFrame:
     return shared(df)
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share; one of its own only where none is set."""
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if folder is None:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a shared folder")
+        folder = tempfile.mkdtemp(prefix="catalith-shared-")
+        context.setCheckpointDir(folder)
+    return folder
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as Parquet to the shared folder and read again."""
+    path = f"{shared_folder(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 # ---------------------------------------------------------------- arrow and bytes
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalith.llm import kernel, langid, quality, toxicity
+from catalith.llm import kernel, langid, packing, quality, tokenfile, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -57,3 +57,22 @@ def toxic(spark: SparkSession, folder: str) -> DataFrame:
     model = toxicity.learn(docs, table(spark, folder, "labels"))
     found = toxicity.score(docs, model)
     return found.select("doc_id", kernel.held_out(F.col("doc_id"), 5, 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def byte_tokenizer() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@query("op4_packing")
+def best_two_fit(spark: SparkSession, folder: str) -> DataFrame:
+    """Every piece of every document with its place in the training sequences."""
+    parts = kernel.stored(packing.cut_pieces(table(spark, folder, "documents"), byte_tokenizer()), "pieces")
+    return packing.pack(parts)
+
+
+@query("op6_token_files")
+def token_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Token counts and checksums of all documents, decoded from the written files."""
+    return tokenfile.read(tokenfile.write(table(spark, folder, "documents"), byte_tokenizer()))
