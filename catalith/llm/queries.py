@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalith.llm import kernel, langid, packing, quality, tokenfile, toxicity
+from catalith.llm import kernel, langid, lexicon, packing, quality, tokenfile, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -76,3 +76,16 @@ def best_two_fit(spark: SparkSession, folder: str) -> DataFrame:
 def token_files(spark: SparkSession, folder: str) -> DataFrame:
     """Token counts and checksums of all documents, decoded from the written files."""
     return tokenfile.read(tokenfile.write(table(spark, folder, "documents"), byte_tokenizer()))
+
+
+def word_tokenizer() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@query("op7_lexicon_bpe")
+def lexicon_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    """Token counts and checksums of the ids and the decoded text of every document."""
+    docs = table(spark, folder, "documents")
+    return lexicon.digests(docs, word_tokenizer(), lexicon.build(docs, word_tokenizer()))
