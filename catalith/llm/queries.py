@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalith.llm import kernel, langid, lexicon, packing, quality, tokenfile, toxicity
+from catalith.llm import kernel, langid, lexicon, neardup, packing, quality, tokenfile, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -89,3 +89,9 @@ def lexicon_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """Token counts and checksums of the ids and the decoded text of every document."""
     docs = table(spark, folder, "documents")
     return lexicon.digests(docs, word_tokenizer(), lexicon.build(docs, word_tokenizer()))
+
+
+@query("op3_minhash_near_dedup")
+def near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    """Near-duplicate class of every document; the least id of a class is kept."""
+    return neardup.classes(table(spark, folder, "documents"))
