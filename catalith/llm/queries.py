@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalith.llm import kernel, langid, lexicon, neardup, packing, quality, tokenfile, toxicity
+from catalith.llm import kernel, langid, lexicon, neardup, packing, quality, suffixes, tokenfile, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -95,3 +95,10 @@ def lexicon_bpe(spark: SparkSession, folder: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     """Near-duplicate class of every document; the least id of a class is kept."""
     return neardup.classes(table(spark, folder, "documents"))
+
+
+@query("op2_suffix_dedup")
+def suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """What is left of every document without the passages of earlier ones."""
+    found = suffixes.deduplicate(table(spark, folder, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
