@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalith.llm import kernel, langid, lexicon, neardup, packing, quality, suffixes, tokenfile, toxicity
+from catalith.llm import kernel, langid, lexicon, neardup, packing, quality, suffixes, tokenfile, toxicity, vptree
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -102,3 +102,10 @@ def suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """What is left of every document without the passages of earlier ones."""
     found = suffixes.deduplicate(table(spark, folder, "documents"))
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op1_vantage_point_search")
+def vantage_point_search(spark: SparkSession, folder: str) -> DataFrame:
+    """The five nearest vectors of every fiftieth, by cosine."""
+    vectors = table(spark, folder, "embeddings")
+    return vptree.nearest(vectors, vectors.where(F.pmod("vec_id", F.lit(50)) == 0))
