@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalith.llm import kernel, langid, lexicon, neardup, packing, quality, suffixes, tokenfile, toxicity, vptree
+from catalith.llm import kernel, langid, lexicon, metricjoin, neardup, packing, quality, suffixes, tokenfile, toxicity, vptree
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -109,3 +109,9 @@ def vantage_point_search(spark: SparkSession, folder: str) -> DataFrame:
     """The five nearest vectors of every fiftieth, by cosine."""
     vectors = table(spark, folder, "embeddings")
     return vptree.nearest(vectors, vectors.where(F.pmod("vec_id", F.lit(50)) == 0))
+
+
+@query("op9_metric_join")
+def metric_join(spark: SparkSession, folder: str) -> DataFrame:
+    """Links and component of every vector at cosine 0.9 or more."""
+    return metricjoin.links(table(spark, folder, "embeddings"))
