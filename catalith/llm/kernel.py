@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -53,6 +53,17 @@ def cut(df: DataFrame) -> DataFrame:
     return shared(df)
 
 
+def filtered(docs: DataFrame, text: str, decide: Callable[[pa.Array], np.ndarray]) -> DataFrame:
+    """Whole rows of ``docs``, all columns as they are, whose text ``decide`` accepts."""
+    at = docs.columns.index(text)
+
+    def run(batches):
+        for b in batches:
+            yield b.filter(pa.array(np.asarray(decide(b.column(at)), bool)))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share; one of its own only where none is set."""
     context = spark.sparkContext

@@ -195,3 +195,13 @@ def identify(docs: DataFrame, profiles: dict[str, np.ndarray], id_col: str = "do
             yield kernel.batch("doc_id lang_pred score lead", b.column(0), pa.array([names[i] for i in best], pa.string()), score, lead)
 
     return kernel.texts_of(docs, id_col, text).mapInArrow(run, "doc_id long, lang_pred string, score double, lead double")
+
+
+def accepted(docs: DataFrame, profiles: dict[str, np.ndarray], least: float, text: str = "text", grams: int = GRAMS) -> DataFrame:
+    """The rows of ``docs`` with a language at ``least`` or more, with all their columns."""
+
+    def decide(column: pa.Array) -> np.ndarray:
+        best, score, _ = predict_batch(column.to_pylist(), profiles, grams)
+        return (best >= 0) & (score >= least)
+
+    return kernel.filtered(docs, text, decide)

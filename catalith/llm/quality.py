@@ -180,16 +180,24 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "quality", folds: int
     return Model(vectors, layers, centre, scale, temperature, prior)
 
 
+def predict(column: pa.Array, model: Model) -> np.ndarray:
+    """Score of every text of a column."""
+    if not model.layers:
+        return np.full(len(column), model.prior)
+    x = (pooled(column, model.vectors) - model.centre) / model.scale
+    return _sigmoid(_logits(x, model.layers)[1] / model.temperature)
+
+
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, score) of every row."""
 
     def run(batches):
         for b in batches:
-            if model.layers:
-                x = (pooled(b.column(1), model.vectors) - model.centre) / model.scale
-                s = _sigmoid(_logits(x, model.layers)[1] / model.temperature)
-            else:
-                s = np.full(b.num_rows, model.prior)
-            yield kernel.batch("doc_id score", b.column(0), s)
+            yield kernel.batch("doc_id score", b.column(0), predict(b.column(1), model))
 
     return kernel.texts_of(docs, id_col, text).mapInArrow(run, "doc_id long, score double")
+
+
+def accepted(docs: DataFrame, model: Model, least: float, text: str = "text") -> DataFrame:
+    """The rows of ``docs`` that score ``least`` or more, with all their columns."""
+    return kernel.filtered(docs, text, lambda column: predict(column, model) >= least)
