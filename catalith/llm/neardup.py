@@ -1,8 +1,8 @@
 """MinHash near-duplicates: improved consistent weighted sampling over TF-IDF shingles.
 
 A document is a weighted set of five-word shingles.  The weight of a shingle is one
-plus the logarithm of its count in the document, times the mean inverse document
-frequency of its words; the document frequencies cover all rows and are kept in a
+plus the logarithm of its count in the document, times the mean damped inverse
+document frequency of its words; the document frequencies cover all rows and are kept in a
 table of fixed size, by word hash.  Improved consistent weighted sampling draws a (shingle, level) pair such that
 two documents draw the same one with the probability of their weighted Jaccard
 similarity.  ``BANDS`` bands of ``ROWS`` draws give the buckets: a pair at similarity
@@ -111,7 +111,7 @@ def band_keys(doc: np.ndarray, shingle: np.ndarray, weight: np.ndarray, bands: i
 
 
 def word_idf(docs: DataFrame, text: str = "text") -> np.ndarray:
-    """1 + ln((1 + rows) / (1 + rows with the word)) by word bucket, over all rows."""
+    """sqrt(1 + ln((1 + rows) / (1 + rows with the word))) by word bucket, over all rows."""
 
     def count(batches):
         table = np.zeros(1 << DF_LOG2, np.int64)
@@ -130,7 +130,7 @@ def word_idf(docs: DataFrame, text: str = "text") -> np.ndarray:
 
     partial = kernel.narrow(docs, text=(text, "string")).mapInArrow(count, "slice int, data binary")
     summed = kernel.summed_table(partial, _SLICES + 1, (1 << DF_LOG2) // _SLICES)
-    return (1 + np.log((1 + summed[-1, 0]) / (1 + summed[:-1].ravel()))).clip(min=1).astype(np.float32)
+    return np.sqrt(1 + np.log((1 + summed[-1, 0]) / (1 + summed[:-1].ravel())).clip(min=0)).astype(np.float32)
 
 
 def signatures(texts: DataFrame, idf: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
@@ -199,6 +199,114 @@ def verified(pairs: DataFrame, texts: DataFrame, idf: np.ndarray, least: float)
     return both.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
 
 
+def _pairs_across(key, side, doc, total, label, keys, column, idf, least) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of one block pair that reach the similarity, as indices."""
+    a, b = np.flatnonzero(side), np.flatnonzero(~side)
+    low, high = np.minimum(total[a][:, None], total[b]), np.maximum(total[a][:, None], total[b])
+    ok = (label[a][:, None] != label[b]) & (low >= (least - 1e-6) * high)
+    x, y = np.nonzero(ok)
+    x, y = a[x], b[y]
+    same = keys[x] == keys[y]
+    own = same.argmax(axis=1)
+    first = same.any(axis=1) & (keys[x, own] == key)  # each pair in the first bucket that it shares
+    x, y = x[first], y[first]
+    if not len(x):
+        return x, y
+    used, back = np.unique(np.concatenate([x, y]), return_inverse=True)
+    taken = column.take(pa.array(used))
+    raw, bounds = kernel.utf8(taken)
+    word, owner = _words(raw, bounds)
+    d, s, w = shingles(word, owner, idf, len(used))
+    weight = np.bincount(d, w, minlength=len(used))
+    p, q = back[: len(x)], back[len(x) :]
+    if len(x) > 64:
+        # sqrt(u * v) >= min(u, v), so a matrix product bounds what two texts share
+        name, place = np.unique(s, return_inverse=True)
+        bound = np.zeros((len(used), len(used)), np.float32)
+        root = np.sqrt(w)
+        for at in range(0, len(name), 8_192):
+            part = (place >= at) & (place < at + 8_192)
+            dense = np.zeros((len(used), min(8_192, len(name) - at)), np.float32)
+            dense[d[part], place[part] - at] = root[part]
+            bound += dense @ dense.T
+        may = bound[p, q] * 1.0001 >= (least - 1e-6) / (1 + least) * (weight[p] + weight[q])
+        x, y, p, q = x[may], y[may], p[may], q[may]
+    sim = similarity(taken.take(pa.array(p)), taken.take(pa.array(q)), idf) if len(x) else np.empty(0)
+    good = sim >= least - 1e-6
+    return x[good], y[good]
+
+
+def across(named: DataFrame, held: DataFrame, idf: np.ndarray, least: float, block: int = 200) -> DataFrame:
+    """Links (a, b) between rows of one bucket that bear different labels.
+
+    ``named`` has (key, doc_id, label).  In a bucket with several labels the rows
+    without its most frequent one meet all rows of other labels, in blocks of at most
+    about ``block`` by ``block`` texts, so a large bucket is many tasks and no pair
+    becomes a row unless it is a link.
+    """
+    shares = named.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"))
+    main = shares.groupBy("key").agg(F.max_by("label", F.struct("n", -F.col("label"))).alias("main"), F.sum("n").alias("n"), F.max("n").alias("most"), F.count(F.lit(1)).alias("labels"))
+    count = [F.ceil((F.col("n") - F.col("most")) / block).cast("int").alias("ni"), F.ceil(F.col("n") / block).cast("int").alias("nj")]
+    main = kernel.cut(main.where("labels > 1").select("key", "main", *count))
+    mixed = kernel.cut(named.join(main, "key"))
+    at = F.xxhash64("doc_id", F.lit(5))
+    minor = mixed.where("label <> main").withColumn("i", F.pmod(at, F.col("ni")).cast("int")).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("nj") - 1)))
+    other = mixed.withColumn("j", F.pmod(at, F.col("nj")).cast("int")).withColumn("i", F.explode(F.sequence(F.lit(0), F.col("ni") - 1)))
+    rows = minor.select("key", "i", "j", F.lit(True).alias("side"), "doc_id", "label").union(other.select("key", "i", "j", F.lit(False).alias("side"), "doc_id", "label"))
+    rows = rows.join(held, "doc_id").select("key", "i", "j", "side", "doc_id", "label", "total", "keys", "text")
+
+    def run(batches):
+        waiting: list[pa.RecordBatch] = []
+        found: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def work(t: pa.Table):
+            t = t.combine_chunks()
+            group = np.stack([t.column(c).to_numpy() for c in ("key", "i", "j")], 1)
+            cuts = np.append(np.flatnonzero(np.concatenate([[True], (group[1:] != group[:-1]).any(axis=1)])), len(group))
+            for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
+                part = t.slice(lo, hi - lo)
+                doc, side = part.column("doc_id").to_numpy(), part.column("side").to_numpy()
+                if side.all() or not side.any():
+                    continue
+                keys = part.column("keys").combine_chunks()
+                keys = keys.flatten().to_numpy().reshape(len(doc), -1)
+                x, y = _pairs_across(group[lo, 0], side, doc, part.column("total").to_numpy(), part.column("label").to_numpy(), keys, part.column("text").combine_chunks(), idf, least)
+                found.append((doc[x], doc[y]))
+
+        def out():
+            a, b = (np.concatenate(c) for c in zip(*found, strict=True))
+            found.clear()
+            return kernel.batch("a b", pa.array(a, pa.int64()), pa.array(b, pa.int64()))
+
+        def same(x: pa.RecordBatch, y: pa.RecordBatch) -> bool:
+            return all(x.column(c)[-1] == y.column(c)[0] for c in range(3))
+
+        for b in batches:
+            if not b.num_rows:
+                continue
+            # a block pair may go on in the next batch: keep its rows for then
+            edge = b.num_rows - 1
+            tail = [b.column(c) for c in range(3)]
+            while edge and all(tail[c][edge - 1] == tail[c][b.num_rows - 1] for c in range(3)):
+                edge -= 1
+            if edge == 0 and waiting and same(waiting[-1], b):
+                waiting.append(b)
+                continue
+            head = [*waiting, b.slice(0, edge)]
+            work(pa.Table.from_batches(head))
+            waiting = [b.slice(edge)]
+            if found:
+                yield out()
+        if waiting:
+            work(pa.Table.from_batches(waiting))
+        if found:
+            yield out()
+
+    n = int(named.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = rows.repartition(n, "key", "i", "j").sortWithinPartitions("key", "i", "j")
+    return dealt.mapInArrow(run, "a long, b long")
+
+
 def classes(docs: DataFrame, id_col: str = "doc_id", text: str = "text", least: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """(doc_id, class_id, kept) of every document id."""
     texts = kernel.texts_of(docs, id_col, text)
@@ -220,17 +328,8 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text: str = "text", least:
     links = kernel.cut(verified(star, held, idf, least))
 
     label = components(links)
-    named = kernel.cut(bucket.join(label.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("key", "doc_id", "total", F.coalesce("label", "doc_id").alias("label")))
-    shares = named.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"))
-    main = shares.groupBy("key").agg(F.max_by("label", F.struct("n", -F.col("label"))).alias("main"), F.count(F.lit(1)).alias("labels")).where("labels > 1")
-    main = kernel.cut(main.select("key", "main"))
-    mixed = kernel.cut(named.join(main, "key"))
-    minor = mixed.where("label <> main").select("key", F.col("doc_id").alias("a"), F.col("total").alias("at"), F.col("label").alias("al"))
-    other = mixed.select("key", F.col("doc_id").alias("b"), F.col("total").alias("bt"), F.col("label").alias("bl"), (F.col("label") == F.col("main")).alias("bm"))
-    near = F.least("at", "bt") >= F.lit(least - 1e-6) * F.greatest("at", "bt")
-    across = minor.join(other, "key").where((F.col("al") != F.col("bl")) & (F.col("bm") | (F.col("a") > F.col("b"))) & near)
-    across = across.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    late = verified(kernel.cut(across.join(star, ["a", "b"], "left_anti")), held, idf, least)
+    named = kernel.cut(bucket.join(label.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("key", "doc_id", F.coalesce("label", "doc_id").alias("label")))
+    late = across(named, held.join(once.select("doc_id", "total", "keys"), "doc_id"), idf, least)
 
     copies = signed.join(once.select("same", F.col("doc_id").alias("b")), "same").select(F.col("doc_id").alias("a"), "b").where("a <> b").distinct()
     label = components(links.union(late).union(copies))
