@@ -66,20 +66,31 @@ def scratch(b: Bound) -> str:
     if root is None:
         if not b.spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a shared folder")
-        return tempfile.mkdtemp(prefix="catalith-stream-")
+        return tempfile.mkdtemp(prefix="catalith-stream-")  # tests only
     return os.path.join(root, f"stream-{uuid.uuid4().hex}")
 
 
-def stream_of(b: Bound, table: str):
-    return streaming.read_event_files(b.spark, b.sf, getattr(b, table).schema, f"{table}.parquet")
+def parted(b: Bound, table: str, part: str, root: str):
+    """A stream of ``table`` cut by the expression ``part`` into files, one per trigger.
+
+    The greatest part is written first and comes again at the end, so the stream is out
+    of order and delivers events twice.
+    """
+    rows = getattr(b, table)
+    numbered = rows.withColumn("part", F.expr(part))
+    for k in (3, 2, 1, 0, 3):
+        numbered.where(F.col("part") == k).drop("part").coalesce(1).write.mode("append").parquet(f"{root}/{table}")
+    return streaming.read_event_files(b.spark, f"{root}/{table}", rows.schema, "*.parquet", max_files=1)
 
 
 @query("stream_query_log_fold", FOLD_SQL)
 def stream_query_log_fold(b: Bound):
+    """The log in four files, newest first, one of them twice, one file per trigger."""
     root = scratch(b)
-    events = b.spark.sql(VIEWS["V_log"].replace("FROM events", "FROM {events}"), events=stream_of(b, "events"))
-    streaming.start_fold(events, f"{root}/store", f"{root}/checkpoint", available_now=True).awaitTermination()
-    return shown(streaming.read_folded(b.spark, f"{root}/store"))
+    week = "least(3, CAST(floor((dayofmonth(ts) - 1) / 8) AS INT))"
+    events = b.spark.sql(VIEWS["V_log"].replace("FROM events", "FROM {events}"), events=parted(b, "events", week, root))
+    streaming.start_fold(events, f"{root}/store", f"{root}/checkpoint", available_now=True, buckets=8).awaitTermination()
+    return shown(streaming.read_folded(b.spark, f"{root}/store", streaming.folded_schema(b.V_log)))
 
 
 @query(
@@ -88,9 +99,9 @@ def stream_query_log_fold(b: Bound):
     + "SELECT qt.table_id, count(*) AS usage_count FROM V_qt qt JOIN V_query q ON q.query_id = qt.query_id WHERE q.status = 'completed' GROUP BY qt.table_id",
 )
 def stream_table_usage(b: Bound):
+    """Uses in four files, one of them twice, one file per trigger."""
     root = scratch(b)
-    lines = stream_of(b, "lineitem").selectExpr("l_orderkey AS query_id", "l_partkey AS table_id")
-    heads = b.V_query.selectExpr("query_id", "status", "CAST(created_at AS TIMESTAMP) AS ts")
-    uses = lines.join(heads, "query_id")
-    streaming.start_usage_counts(uses, f"{root}/store", f"{root}/checkpoint", available_now=True).awaitTermination()
-    return streaming.read_folded(b.spark, f"{root}/store").select("table_id", "usage_count")
+    lines = parted(b, "lineitem", "CAST(l_orderkey % 4 AS INT)", root).selectExpr("l_orderkey AS query_id", "l_partkey AS table_id")
+    uses = lines.join(b.V_query.select("query_id", "status"), "query_id")
+    streaming.start_usage_counts(uses, f"{root}/store", f"{root}/checkpoint", available_now=True, buckets=8).awaitTermination()
+    return streaming.read_counts(b.spark, f"{root}/store")

@@ -50,8 +50,8 @@ def matches_keywords(c: str | Column, words: Sequence[str]) -> Column:
     return col(c).rlike("(?iu)" + pattern) if pattern else F.lit(False)
 
 
-def clean_words(words: Sequence[str | None], cap: int) -> list[str]:
-    """Request words stripped, lowered, without blanks, at most ``cap`` of them."""
+def clean_words(words: Sequence[str | None], cap: int | None = None) -> list[str]:
+    """Request words stripped, lowered, without blanks; ``cap`` keeps the first of them only."""
     return [w.strip().lower() for w in words if w and w.strip()][:cap]
 
 

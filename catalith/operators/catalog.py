@@ -28,9 +28,7 @@ from catalith.functions.text import (
 from catalith.plans.nesting import attach, nest
 from catalith.plans.ranking import top_per_group
 
-# Request list limits and default result sizes.
-MAX_NAMES = 200
-MAX_KEYWORDS = 20
+# Default result sizes.
 ANCHOR_SCORE = 0.5
 ANCHOR_LIMIT = 10
 LIST_LIMIT = 100
@@ -50,17 +48,13 @@ def valid_tables(tables: DataFrame) -> DataFrame:
     return tables.where(is_valid("is_valid"))
 
 
-def cleaned_names(names: DataFrame, name_col: str = "name", request: str | None = None, cap: int = MAX_NAMES) -> DataFrame:
-    """Stripped, lowered, non-blank names; with ``request`` at most ``cap`` names per request.
-
-    A request list is limited by definition, a bare frame of names is a join side
-    of any size and keeps every row.
-    """
+def cleaned_names(names: DataFrame, name_col: str = "name", request: str | None = None, cap: int | None = None) -> DataFrame:
+    """Stripped, lowered, non-blank names; with ``request`` and ``cap`` at most so many names per request."""
     key = F.lower(strip_ws(blank(name_col)))
     if request is None:
         return names.select(key.alias("key")).where(F.length("key") > 0).distinct()
     keyed = names.select(request, key.alias("key")).where(F.length("key") > 0).distinct()
-    return top_per_group(keyed, [request], [F.col("key")], cap)
+    return keyed if cap is None else top_per_group(keyed, [request], [F.col("key")], cap)
 
 
 def tables_by_names(tables: DataFrame, names: DataFrame, name_col: str = "name", schema: str | None = None) -> DataFrame:
@@ -139,13 +133,14 @@ def anchor_columns(
     substrings: Sequence[str] = (),
     keywords: Sequence[str] = (),
     per_table: int = ANCHOR_LIMIT,
+    max_words: int | None = None,
 ) -> DataFrame:
     """Columns whose name has a substring, or whose name or description has a keyword; top by name per table.
 
-    The two word lists are request parameters of at most 20 entries, so they are
-    predicates on the scan and need no join.
+    The two word lists are parameters of one request, so they are predicates on the
+    scan and need no join; ``max_words`` cuts each of them, by default none is lost.
     """
-    subs, words = clean_words(substrings, MAX_KEYWORDS), clean_words(keywords, MAX_KEYWORDS)
+    subs, words = clean_words(substrings, max_words), clean_words(keywords, max_words)
     match = contains_any("name", subs + words) | contains_any("description", words)
     hits = columns.where(is_valid("is_valid") & match)
     hits = top_per_group(hits, ["table_id"], [F.col("name"), F.col("column_id")], per_table)

@@ -13,9 +13,7 @@ from pyspark.sql import functions as F
 from catalith.functions.values import primary_label
 from catalith.operators.graph import chain_counts
 
-# Report sizes and the ontology chains.
-TOP_COMBINATIONS, TOP_GROUPS, TOP_TYPES = 30, 10, 15
-SAMPLE_ROWS = 10
+# The ontology chains.
 ONTOLOGY_CHAINS = (
     ("SUBCLASS_OF",),
     ("SUBCLASS_OF", "SUBCLASS_OF"),
@@ -57,14 +55,16 @@ def _top(df: DataFrame, n: int | None) -> DataFrame:
 def labels(
     source: DataFrame,
     target: DataFrame,
-    combinations: int | None = TOP_COMBINATIONS,
-    groups: int | None = TOP_GROUPS,
+    combinations: int | None = None,
+    groups: int | None = None,
 ) -> DataFrame:
     """Label groups of the source against the target's single label.
 
     ``source(labels)``, ``target(label)``.  A group of one label must match
     exactly; a group of several is counted under its last label, where other
-    groups may add to it, so the target may be larger.
+    groups may add to it, so the target may be larger.  A target label that no source
+    group leads to is a row of its own with source 0.  ``combinations`` and ``groups``
+    cut the report to the most frequent ones; by default it is whole.
     """
     combos = source.groupBy(F.array_join("labels", "+").alias("combo"), primary_label("labels").alias("label"), F.size("labels").alias("n")).agg(
         F.count(F.lit(1)).alias("source")
@@ -78,14 +78,18 @@ def labels(
 
     single = part(_top(combos.where(F.col("n") == 1), groups), "labels_single", F.col("source") == F.col("target"))
     multi = part(_top(combos.where(F.col("n") > 1), groups), "labels_multi", F.col("target") >= F.col("source"))
-    return single.unionByName(multi)
+    known = source.select(primary_label("labels").alias("label")).distinct()
+    only = counted.join(known, "label", "left_anti").select(F.lit(0).alias("source"), F.col("label").alias("combo"), "target")
+    extra = _result(only, F.lit("labels_target_only"), F.concat(F.lit("label:"), F.col("combo")), F.lit(False))
+    return single.unionByName(multi).unionByName(extra)
 
 
-def types(source: DataFrame, target: DataFrame, top: int | None = TOP_TYPES) -> DataFrame:
-    """Edge counts per type."""
+def types(source: DataFrame, target: DataFrame, top: int | None = None) -> DataFrame:
+    """Edge counts per type of either side; ``top`` cuts the report to the most frequent source types."""
     left = source.groupBy(F.col("type").alias("combo")).agg(F.count(F.lit(1)).alias("source"))
     right = target.groupBy(F.col("type").alias("combo")).agg(F.count(F.lit(1)).alias("target"))
-    rows = _top(left, top).join(right, "combo", "left").withColumn("target", F.coalesce("target", F.lit(0)))
+    joined = left.join(right, "combo", "full_outer") if top is None else _top(left, top).join(right, "combo", "left")
+    rows = joined.withColumns({c: F.coalesce(c, F.lit(0)) for c in ("source", "target")})
     return _result(rows, F.lit("rel_types"), F.concat(F.lit("rel:"), F.col("combo")), F.col("source") == F.col("target"))
 
 
@@ -97,7 +101,7 @@ def chains(source: DataFrame, target: DataFrame, patterns: Sequence[Sequence[str
 
 
 def properties(
-    source: DataFrame, target: DataFrame, columns: Sequence[str] = ("name",), sample: int | None = SAMPLE_ROWS
+    source: DataFrame, target: DataFrame, columns: Sequence[str] = ("name",), sample: int | None = None
 ) -> DataFrame:
     """Property values matched by id: on the first ``sample`` ids, or on all rows with ``None``."""
     rows = source.where(F.col("name").isNotNull()).select("id", *columns)

@@ -19,7 +19,7 @@ from catalith.plans.ranking import top_per_group
 TABLE_REPORT, COLUMN_REPORT, SAMPLE_QUESTIONS = 20, 30, 3
 TABLE_WEIGHT = 2
 OVERLAP_LIMIT, PAGE_SIZE = 5, 20
-MAX_TERMS, MAPPING_LIMIT, LOOKUP_LIMIT = 50, 20, 10
+MAPPING_LIMIT, LOOKUP_LIMIT = 20, 10
 GRAM = 3
 
 
@@ -174,7 +174,7 @@ def value_mapping(
     limit: int = MAPPING_LIMIT,
     verified_only: bool = False,
     fallback: bool = True,
-    max_terms: int | None = MAX_TERMS,
+    max_terms: int | None = None,
 ) -> DataFrame:
     """Mappings of each request's terms, by usage; ``terms(request_id, term)``.
 

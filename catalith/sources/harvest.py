@@ -76,30 +76,31 @@ def harvest_fks(constraints: DataFrame, attributes: DataFrame) -> DataFrame:
 
 
 def key_columns(constraints: DataFrame, usage: DataFrame, kind: str) -> DataFrame:
-    """Distinct ``(table_name, column_name)`` under constraints of ``kind``, e.g. PRIMARY KEY or UNIQUE."""
+    """Distinct ``(table_schema, table_name, column_name)`` under constraints of ``kind``, e.g. PRIMARY KEY or UNIQUE."""
     wanted = constraints.where(F.col("constraint_type") == kind).select("constraint_name", "table_schema")
     hit = usage.join(wanted, ["constraint_name", "table_schema"], "left_semi")
-    return hit.select("table_name", "column_name").distinct()
+    return hit.select("table_schema", "table_name", "column_name").distinct()
 
 
 def harvest_flags(columns: DataFrame, constraints: DataFrame, usage: DataFrame) -> DataFrame:
     """Columns with primary-key and unique flags."""
     pk = key_columns(constraints, usage, "PRIMARY KEY").withColumn("is_primary_key", F.lit(True))
     unique = key_columns(constraints, usage, "UNIQUE").withColumn("is_unique", F.lit(True))
-    rows = columns.join(pk, ["table_name", "column_name"], "left").join(unique, ["table_name", "column_name"], "left")
+    keys = ["table_schema", "table_name", "column_name"]
+    rows = columns.join(pk, keys, "left").join(unique, keys, "left")
     return rows.withColumn("is_primary_key", F.coalesce("is_primary_key", F.lit(False))).withColumn(
         "is_unique", F.coalesce("is_unique", F.lit(False))
     )
 
 
 def fk_positions(fks: DataFrame, order: str = "ordinal") -> DataFrame:
-    """Running number of every FK column within its constraint and table.
+    """Running number of every FK column within its schema, constraint and table.
 
     A key has at most as many columns as a table, so the groups are small.
     """
     from pyspark.sql import Window
 
-    window = Window.partitionBy("constraint_name", "from_table").orderBy(order, "from_column", "to_table", "to_column")
+    window = Window.partitionBy("from_schema", "constraint_name", "from_table").orderBy(order, "from_column", "to_table", "to_column")
     return fks.withColumn("position", F.row_number().over(window))
 
 

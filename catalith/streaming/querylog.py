@@ -1,13 +1,29 @@
-"""Streaming query-log fold and usage counts."""
+"""Streaming query-log fold and usage counts.
+
+No event is ever dropped for being late.  Both streams keep their state in Parquet
+stores partitioned by a bucket of the key, and a micro-batch reads and writes only the
+buckets that it touches:
+
+* an append-only record of what was seen (events, or pairs), which duplicates are
+  checked against, whenever they arrive;
+* the state of each key, where a batch writes new versions of its buckets and readers
+  take the newest version of each.
+
+A batch writes under its own number and reads lower numbers only, so a batch replayed
+after a failure writes the same again.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from catalith.functions.values import epoch_millis
 from catalith.operators.querylog import query_log_fold
 
-WATERMARK = "1 day"
+BUCKETS = 64
 
 
 def read_event_files(spark: SparkSession, folder: str, schema, pattern: str = "*", max_files: int = 1_000) -> DataFrame:
@@ -16,74 +32,119 @@ def read_event_files(spark: SparkSession, folder: str, schema, pattern: str = "*
     return reader.parquet(folder)
 
 
-def fold_batch(store: str):
-    """``foreachBatch`` function that folds every micro-batch into the next version of the store.
+def _bucket(key: str, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+
+
+class Store:
+    """Parquet rows under ``bucket=../batch=..``; ``batch`` is the number of the writer."""
+
+    def __init__(self, spark: SparkSession, path: str, schema: T.StructType):
+        self.spark, self.path = spark, path
+        self.schema = T.StructType([*schema.fields, T.StructField("bucket", T.IntegerType()), T.StructField("batch", T.LongType())])
+
+    def append(self, rows: DataFrame, batch: int) -> None:
+        """Write ``rows`` (with their ``bucket``) under ``batch``, in place of an earlier attempt."""
+        writer = rows.withColumn("batch", F.lit(batch).cast("long")).write.mode("overwrite")
+        writer.option("partitionOverwriteMode", "dynamic").partitionBy("bucket", "batch").parquet(self.path)
+
+    def read(self, before: int | None = None, touched: DataFrame | None = None) -> DataFrame:
+        """Rows of batches below ``before``, in the buckets of ``touched``."""
+        try:
+            rows = self.spark.read.schema(self.schema).parquet(self.path)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return self.spark.createDataFrame([], self.schema)  # nothing was written yet
+        if before is not None:
+            rows = rows.where(F.col("batch") < before)
+        return rows if touched is None else rows.join(touched.select("bucket").distinct(), "bucket", "left_semi")
+
+    def newest(self, before: int | None = None, touched: DataFrame | None = None) -> DataFrame:
+        """The newest version of every bucket."""
+        rows = self.read(before, touched)
+        last = rows.groupBy("bucket").agg(F.max("batch").alias("batch"))
+        return rows.join(last, ["bucket", "batch"], "left_semi")
+
 
-    Version ``n + 1`` is always made from version ``n`` and batch ``n``, so a batch
-    replayed after a failure writes the same version again.  Events arriving late
-    are folded in their batch, in arrival order between batches.
+def folded_schema(events: DataFrame) -> T.StructType:
+    """Schema of the fold's result, without running it."""
+    empty = events.sparkSession.createDataFrame([], events.schema)
+    return query_log_fold(empty).schema
+
+
+def fold_batch(store: str, buckets: int = BUCKETS):
+    """``foreachBatch`` function that folds every micro-batch into the store.
+
+    A query whose new events all come after those seen goes on from its state.  A
+    query with a late event is folded again from all its events, so the result is the
+    fold in time order whatever the order of arrival.
     """
 
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        current = spark.read.parquet(f"{store}/v={batch_id}") if batch_id > 0 else None
-        query_log_fold(batch, current).write.mode("overwrite").parquet(f"{store}/v={batch_id + 1}")
+        new = batch.dropDuplicates(["query_id", "seq"]).withColumn("bucket", _bucket("query_id", buckets))
+        events = Store(spark, f"{store}/events", batch.schema)
+        state = Store(spark, f"{store}/state", folded_schema(batch))
+        seen = events.read(batch_id, new)
+        events.append(new.join(seen.select("bucket", "query_id", "seq"), ["bucket", "query_id", "seq"], "left_anti"), batch_id)
+        new = events.read(batch_id + 1).where(F.col("batch") == batch_id)
+        current = state.newest(batch_id, new).drop("batch")
+        millis = epoch_millis("ts", dict(batch.dtypes)["ts"])
+        first = new.groupBy("query_id").agg(F.min(millis).alias("first_ms"))
+        late = current.join(first, "query_id").where(F.col("first_ms") <= F.col("last_seen_ms")).select("query_id")
+        on_time = new.join(late, "query_id", "left_anti")
+        again = seen.drop("batch").unionByName(new.drop("batch")).join(late, "query_id", "left_semi")
+        kept = current.drop("bucket").join(late, "query_id", "left_anti")
+        folded = query_log_fold(on_time.drop("bucket", "batch"), kept).unionByName(query_log_fold(again.drop("bucket")))
+        state.append(folded.withColumn("bucket", _bucket("query_id", buckets)), batch_id)
 
     return run
 
 
-def start_fold(events: DataFrame, store: str, checkpoint: str, available_now: bool = False):
+def start_fold(events: DataFrame, store: str, checkpoint: str, available_now: bool = False, buckets: int = BUCKETS):
     """Start the fold; ``events`` has the columns of the batch operator.
 
-    Duplicate deliveries of one (query, sequence) inside the watermark are dropped.
+    An event is one (query, sequence) and counts once, however often and late it is
+    delivered.
     """
-    timed = events.withColumn("event_time", F.col("ts").cast("timestamp")).withWatermark("event_time", WATERMARK)
-    once = timed.dropDuplicatesWithinWatermark(["query_id", "seq"])
-    writer = once.writeStream.foreachBatch(fold_batch(store)).option("checkpointLocation", checkpoint)
+    writer = events.writeStream.foreachBatch(fold_batch(store, buckets)).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
-def read_folded(spark: SparkSession, store: str) -> DataFrame:
-    """Newest version of a streaming fold's store."""
-    versions = spark.read.parquet(store)
-    newest = versions.agg(F.max("v").alias("v"))
-    return versions.join(newest, "v", "left_semi").drop("v")
+def read_folded(spark: SparkSession, store: str, schema: T.StructType) -> DataFrame:
+    """The folded queries; ``schema`` as of ``folded_schema``, so a stream without input gives no rows."""
+    return Store(spark, f"{store}/state", schema).newest().drop("bucket", "batch")
 
 
-def usage_counts(uses: DataFrame) -> DataFrame:
-    """Incremental completed-query count per table.
-
-    ``uses(query_id, table_id, status, ts)``; a (query, table) pair counts once
-    inside the watermark.  Written in update mode.
-    """
-    done = uses.where(F.col("status") == "completed").withWatermark("ts", WATERMARK)
-    once = done.dropDuplicatesWithinWatermark(["query_id", "table_id"])
-    return once.groupBy("table_id").agg(F.count(F.lit(1)).alias("usage_count"))
+PAIRS = T.StructType([T.StructField("table_id", T.LongType()), T.StructField("query_id", T.LongType())])
+COUNTS = T.StructType([T.StructField("table_id", T.LongType()), T.StructField("usage_count", T.LongType())])
 
 
-def latest_counts(batch: DataFrame, current: DataFrame | None, keys: list[str]) -> DataFrame:
-    """Update-mode output merged into stored counts: the newer count of a key wins."""
-    if current is None:
-        return batch
-    return current.join(batch.select(*keys), keys, "left_anti").unionByName(batch)
-
-
-def count_batch(store: str, keys: list[str]):
-    """``foreachBatch`` function that keeps the newest count per key, one version per batch."""
+def count_batch(store: str, buckets: int = BUCKETS):
+    """``foreachBatch`` function that adds the new (query, table) pairs to the counts."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        current = spark.read.parquet(f"{store}/v={batch_id}") if batch_id > 0 else None
-        latest_counts(batch, current, keys).write.mode("overwrite").parquet(f"{store}/v={batch_id + 1}")
+        done = batch.where(F.col("status") == "completed").select(*[F.col(f.name).cast(f.dataType) for f in PAIRS])
+        new = done.distinct().withColumn("bucket", _bucket("table_id", buckets))
+        pairs, counts = Store(spark, f"{store}/pairs", PAIRS), Store(spark, f"{store}/counts", COUNTS)
+        pairs.append(new.join(pairs.read(batch_id, new), ["bucket", "table_id", "query_id"], "left_anti"), batch_id)
+        new = pairs.read(batch_id + 1).where(F.col("batch") == batch_id)
+        added = new.groupBy("table_id").agg(F.count(F.lit(1)).alias("usage_count"))
+        current = counts.newest(batch_id, new).select("table_id", "usage_count")
+        total = current.unionByName(added).groupBy("table_id").agg(F.sum("usage_count").alias("usage_count"))
+        counts.append(total.withColumn("bucket", _bucket("table_id", buckets)), batch_id)
 
     return run
 
 
-def start_usage_counts(uses: DataFrame, store: str, checkpoint: str, available_now: bool = False):
-    writer = (
-        usage_counts(uses)
-        .writeStream.outputMode("update")
-        .foreachBatch(count_batch(store, ["table_id"]))
-        .option("checkpointLocation", checkpoint)
-    )
+def start_usage_counts(uses: DataFrame, store: str, checkpoint: str, available_now: bool = False, buckets: int = BUCKETS):
+    """Completed-query count per table of ``uses(query_id, table_id, status)``; a pair counts once, ever."""
+    writer = uses.writeStream.foreachBatch(count_batch(store, buckets)).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()
+
+
+def read_counts(spark: SparkSession, store: str) -> DataFrame:
+    """(table_id, usage_count); empty for a stream that had no input yet."""
+    return Store(spark, f"{store}/counts", COUNTS).newest().select("table_id", "usage_count")
