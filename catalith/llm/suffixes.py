@@ -3,7 +3,7 @@
 A byte is removed if a string of ``LENGTH`` bytes that covers it also starts in a
 document with a smaller id.  All strings are compared, on the input.
 
-Parsing.  The rolling hash of every 16-gram is taken; the least one among the grams of
+Parsing.  The rolling hash of every 20-gram is taken; the least one among the grams of
 a window of ``LENGTH`` bytes is the window's trigger, so every window has exactly one,
 and equal windows have the same, wherever they stand.  The windows of one trigger are
 consecutive; the bytes that they span are its phrase.  Phrases are the dictionary,
@@ -38,9 +38,9 @@ from pyspark.sql import functions as F
 from catalith.llm import kernel
 
 LENGTH = 50
-GRAM = 16
+GRAM = 20
 HOT = 1_000
-FLUSH = 2_000_000
+FLUSH = 1_000_000
 DOCS_PER_BUCKET = 1_000
 _OTHER = 0xC2B2AE3D27D4EB4F
 _TRIGGERS, _REMOVED, _WANTED, _PHRASES, _WINDOWS = range(5)
@@ -50,16 +50,21 @@ _PACKED = "kind byte, place int, data binary"
 def _pack(*arrays: np.ndarray) -> bytes:
     """Arrays of any lengths in one blob."""
     head = np.array([len(arrays), *[x for a in arrays for x in (len(a), ord(a.dtype.char))]], "<i8")
-    return head.tobytes() + b"".join(a.tobytes() for a in arrays)
+    # byte planes: the high bytes of most numbers are alike
+    planes = [a.view(np.uint8).reshape(len(a), -1).T.tobytes() if len(a) else b"" for a in arrays]
+    body = b"".join(planes)
+    return np.array([len(body)], "<i8").tobytes() + head.tobytes() + pa.compress(body, "zstd", asbytes=True)
 
 
 def _unpack(data: bytes) -> list[np.ndarray]:
-    n = int(np.frombuffer(data, "<i8", 1)[0])
-    head = np.frombuffer(data, "<i8", 1 + 2 * n)[1:]
-    at, out = 8 * (1 + 2 * n), []
+    total, n = np.frombuffer(data, "<i8", 2).tolist()
+    head = np.frombuffer(data, "<i8", 2 * n, 16)
+    body = pa.decompress(data[16 + 16 * n :], total, "zstd", asbytes=True) if total else b""
+    at, out = 0, []
     for size, kind in zip(head[::2].tolist(), head[1::2].tolist(), strict=True):
         kind = np.dtype(chr(kind))
-        out.append(np.frombuffer(data, kind, size, at))
+        planes = np.frombuffer(body, np.uint8, size * kind.itemsize, at).reshape(kind.itemsize, size)
+        out.append(np.ascontiguousarray(planes.T).view(kind).ravel())
         at += size * kind.itemsize
     return out
 
@@ -276,6 +281,33 @@ def _places(blob_rows: np.ndarray, blob_docs: np.ndarray, rows: np.ndarray, docs
     return order[np.searchsorted(pair[order], ask)]
 
 
+def _packed_documents(texts: DataFrame) -> DataFrame:
+    """(place, data): the rows of each bucket in compressed blobs, to shuffle fewer bytes."""
+
+    def run(batches):
+        options = pa.ipc.IpcWriteOptions(compression="zstd")
+        for b in batches:
+            place = b.column("place").to_numpy()
+            order = np.argsort(place, kind="stable")
+            cuts = np.append(np.flatnonzero(np.concatenate([[True], place[order][1:] != place[order][:-1]])), len(order))
+            places, blobs = [], []
+            for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+                if hi > lo:
+                    part = b.take(pa.array(order[lo:hi]))
+                    sink = pa.BufferOutputStream()
+                    with pa.ipc.new_stream(sink, part.schema, options=options) as writer:
+                        writer.write_batch(part)
+                    places.append(int(place[order[lo]]))
+                    blobs.append(sink.getvalue().to_pybytes())
+            yield kernel.batch("place data", pa.array(places, pa.int32()), kernel.blobs(blobs))
+
+    return texts.mapInArrow(run, "place int, data binary")
+
+
+def _opened(blobs: pa.ChunkedArray) -> pa.Table:
+    return pa.concat_tables([pa.ipc.open_stream(d.as_py()).read_all() for d in blobs]).combine_chunks()
+
+
 def _sided(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Row keys, ids, bytes and bounds of a bucket's documents; a null id is below all."""
     docs = table.column("doc").combine_chunks().fill_null(-(1 << 63)).to_numpy()
@@ -290,7 +322,7 @@ def _fetch(texts: DataFrame, asked: DataFrame, parts: int) -> DataFrame:
         if not right.num_rows:
             return kind_column.empty_table()
         bucket = right.column("place")[0].as_py()
-        rows, docs, raw, bounds = _sided(left)
+        rows, docs, raw, bounds = _sided(_opened(left.column("data")))
         spans = _Spans(1)
         made: list[tuple[int, int, bytes, int | None]] = []
         phrases, windows = [], []
@@ -354,10 +386,9 @@ def _sorted_suffixes(phrase_bytes: np.ndarray, start: np.ndarray) -> tuple[np.nd
     Returns the order of the suffixes that begin at ``start``, and for each place in
     that order whether it differs from the one before.
     """
-    view = np.lib.stride_tricks.sliding_window_view(phrase_bytes, LENGTH)[start]
     padded = np.zeros((len(start), 56), np.uint8)
-    padded[:, :LENGTH] = view
-    key = padded.view(">u8").astype(np.uint64)
+    padded[:, :LENGTH] = np.lib.stride_tricks.sliding_window_view(phrase_bytes, LENGTH)[start]
+    key = padded.view(np.uint64).byteswap(inplace=True)  # big-endian words sort as bytes do
     order = np.argsort(key[:, 0], kind="stable")
     differs = np.ones(len(order), bool)
     differs[1:] = key[order[1:], 0] != key[order[:-1], 0]
@@ -439,7 +470,7 @@ def _compare(fetched: DataFrame, buckets: int) -> DataFrame:
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept binary) and ``carry`` of every row."""
     spark = docs.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     buckets = max(1, docs.count() // DOCS_PER_BUCKET)
     renamed = [F.col(f"`{c}`").alias(f"carry_{i}") for i, c in enumerate(carry)]
     source = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc"), F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text"), *renamed)
@@ -447,13 +478,14 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text: str = "text", car
     texts = source.withColumn("row", row)
     # the bucket is the remainder of the unsigned row key, as numpy takes it
     place = F.expr(f"cast(pmod(pmod(row, {buckets}L) + case when row < 0 then {(1 << 64) % buckets}L else 0L end, {buckets}L) as int)")
-    dealt = texts.withColumn("place", place)
+    dealt = _packed_documents(texts.withColumn("place", place))
     asked = _settle(_parse(texts, parts, buckets), parts, buckets)
     removed = _compare(_fetch(dealt, asked, parts), buckets)
     kinds = [source.schema[f"carry_{i}"] for i in range(len(carry))]
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary" + "".join(f", `{f.name}` {f.dataType.simpleString()}" for f in kinds)
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        left = _opened(left.column("data"))
         rows, ids, raw, bounds = _sided(left)
         mark = np.zeros(len(raw) + 1, np.int64)
         for data in right.column("data").to_pylist():
@@ -490,3 +522,19 @@ def _everywhere(rows, ids, brow, bdoc, who, start, bounds):
         own = np.flatnonzero(some[who])
         yield bounds[order[low[who[own]] + step]] + start[own], own
         step += 1
+
+
+def cleaned(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` with what is left of every text; a character that was cut in part goes too."""
+    others = tuple(c for c in docs.columns if c not in (id_col, text))
+    found = deduplicate(docs, id_col, text, carry=others).select("doc_id", "kept", *[F.col(f"`{c}`").alias(f"carry_{i}") for i, c in enumerate(others)])
+
+    def run(batches):
+        for b in batches:
+            plain = pa.array([d.decode("utf-8", "ignore") for d in b.column(1).to_pylist()], pa.string())
+            yield pa.RecordBatch.from_arrays([b.column(0), plain, *b.columns[2:]], names=["doc_id", "text", *b.schema.names[2:]])
+
+    kinds = "".join(f", {f.name} {f.dataType.simpleString()}" for f in found.schema.fields[2:])
+    back = found.mapInArrow(run, "doc_id long, text string" + kinds)
+    named = {id_col: F.col("doc_id"), text: F.col("text")} | {c: F.col(f"carry_{i}") for i, c in enumerate(others)}
+    return back.select(*[named[c].alias(c) for c in docs.columns])
