@@ -372,6 +372,27 @@ def related_tables_scored(b: Bound):
     return fk.related_tables(edges(b), mode="text2sql", scored=True)
 
 
+LISTS = RELATED.replace(
+    " AS fk_count\nFROM O",
+    " AS fk_count, string_agg(DISTINCT source_column, ',' ORDER BY source_column) AS source_columns, string_agg(DISTINCT target_column, ',' ORDER BY target_column) AS target_columns\nFROM O",
+).replace("fk_count, coalesce(X.n, 0)", "fk_count, source_columns, target_columns, coalesce(other_db, '') AS datasource, coalesce(X.n, 0)")
+
+
+@query(
+    "related_tables_columns",
+    duck(*CAT)
+    + EDGES
+    + SEEN
+    + LISTS.format(cond="true", loaded="true", score="round(0.9 + least(fk_count * 0.02, 0.09), 2)", mode="text2sql", ds="other_db"),
+)
+def related_tables_columns(b: Bound):
+    """Scored related tables with the columns on both sides and the data source."""
+    rows = edges(b)
+    loaded = fk.oriented(rows).where("other_description = ''").select("seed_table_id", F.col("other_table_id").alias("related_table_id"))
+    found = fk.related_tables(rows, loaded=loaded, mode="text2sql", scored=True, lists=True)
+    return found.withColumns({c: F.array_join(c, ",") for c in ("source_columns", "target_columns")})
+
+
 @query(
     "related_pairs",
     duck(*CAT)

@@ -304,18 +304,20 @@ def graph_causal_enriched(b: Bound):
 @query(
     "graph_model_dag",
     duck(*VE)
-    + """, i AS (SELECT e.dst, string_agg(concat(n.id, ':', n.name), '|' ORDER BY n.id) AS t FROM V_edge e JOIN V_node n ON n.id = e.src WHERE e.type = 'LOCATED_IN' AND n.label = 'Supplier' GROUP BY e.dst),
-o AS (SELECT e.src, string_agg(concat(n.id, ':', n.name), '|' ORDER BY n.id) AS t FROM V_edge e JOIN V_node n ON n.id = e.dst WHERE e.type = 'PART_OF' GROUP BY e.src)
-SELECT m.id AS model_id, m.name, coalesce(i.t, '') AS inputs, coalesce(o.t, '') AS outputs FROM V_node m LEFT JOIN i ON i.dst = m.id LEFT JOIN o ON o.src = m.id WHERE m.label IN ('Nation', 'Region')""",
+    + """, i AS (SELECT e.dst, string_agg(concat(n.id, ':', n.name, ':', CAST(length(n.name) % 5 AS VARCHAR)), '|' ORDER BY n.id) AS t FROM V_edge e JOIN V_node n ON n.id = e.src WHERE e.type = 'LOCATED_IN' AND n.label = 'Supplier' GROUP BY e.dst),
+o AS (SELECT e.src, string_agg(concat(n.id, ':', n.name, ':0'), '|' ORDER BY n.id) AS t FROM V_edge e JOIN V_node n ON n.id = e.dst WHERE e.type = 'PART_OF' GROUP BY e.src)
+SELECT m.id AS model_id, m.name, CAST(0 AS BIGINT) AS part, coalesce(i.t, '') AS inputs, coalesce(o.t, '') AS outputs FROM V_node m LEFT JOIN i ON i.dst = m.id LEFT JOIN o ON o.src = m.id WHERE m.label IN ('Nation', 'Region')""",
 )
 def graph_model_dag(b: Bound):
     models = b.V_node.where("label IN ('Nation', 'Region')").selectExpr("id AS model_id", "name")
     links = b.V_edge.where("type = 'PART_OF' OR (type = 'LOCATED_IN' AND startswith(src, 'S'))").selectExpr(
         "src", "dst", "CASE type WHEN 'LOCATED_IN' THEN 'READS_FIELD' ELSE 'PREDICTS_FIELD' END AS type", "'value' AS field"
     )
+    lags = b.V_node.selectExpr("id AS src", "CASE label WHEN 'Supplier' THEN length(name) % 5 ELSE 0 END AS lag")
+    links = links.join(lags, "src", "left")
     rows = graph.model_dag(models, links, b.V_node)
     for c in ("inputs", "outputs"):
-        rows = rows.withColumn(c, F.array_join(F.transform(c, lambda x: F.concat_ws(":", x["node_id"], x["node_name"])), "|"))
+        rows = rows.withColumn(c, F.array_join(F.transform(c, lambda x: F.concat_ws(":", x["node_id"], x["node_name"], x["lag"].cast("string"))), "|"))
     return rows
 
 

@@ -114,7 +114,7 @@ def assembled(b: Bound):
     "catalog_assemble",
     duck("V_tab", "V_col")
     + SYS
-    + f"""SELECT {DUCK_LABEL} AS meta_db_label, table_schema AS schema, table_name AS name, coalesce(comment, '') AS comment, 'BASE TABLE' AS table_type, CAST(3 AS BIGINT) AS version,
+    + f"""SELECT {DUCK_LABEL} AS meta_db_label, table_schema AS schema, table_name AS name, coalesce(comment, '') AS comment, 'BASE TABLE' AS table_type, CAST(3 AS BIGINT) AS version, CAST(0 AS BIGINT) AS part,
 string_agg(concat(column_name, ':', dtype, ':', CASE WHEN nullable THEN 'YES' ELSE 'no' END, ':', CAST(col_comment IS NULL AS VARCHAR)), '|' ORDER BY ordinal_position) AS columns FROM C GROUP BY ALL""",
 )
 def catalog_assemble(b: Bound):
@@ -122,7 +122,7 @@ def catalog_assemble(b: Bound):
         "columns", lambda c: F.concat_ws(":", c["column_name"], c["dtype"], c["is_nullable"], c["is_unique"].cast("string"))
     )
     rows = assembled(b).withColumn("columns", F.array_join(text, "|"))
-    return rows.select("meta_db_label", "schema", "name", "comment", "table_type", "version", "columns")
+    return rows.select("meta_db_label", "schema", "name", "comment", "table_type", "version", "part", "columns")
 
 
 @query(

@@ -72,11 +72,11 @@ def queries_recent(b: Bound):
     "history_page",
     duck("V_tab", "V_qt", "V_query")
     + """, p AS (SELECT * FROM V_query WHERE status = 'completed' ORDER BY created_at DESC, query_id LIMIT 20 OFFSET 40)
-SELECT p.query_id, p.question, p.execution_time_ms, coalesce(string_agg(t.name, '|' ORDER BY t.name), '') AS tables FROM p LEFT JOIN V_qt u ON u.query_id = p.query_id LEFT JOIN V_tab t ON t.table_id = u.table_id GROUP BY ALL""",
+SELECT p.query_id, p.question, p.execution_time_ms, CAST(0 AS BIGINT) AS part, coalesce(string_agg(t.name, '|' ORDER BY t.name), '') AS tables FROM p LEFT JOIN V_qt u ON u.query_id = p.query_id LEFT JOIN V_tab t ON t.table_id = u.table_id GROUP BY ALL""",
 )
 def history_page(b: Bound):
     rows = usage.history_page(b.V_query, b.V_qt, b.V_tab, page=3, status="completed")
-    return rows.select("query_id", "question", "execution_time_ms", F.array_join("tables.name", "|").alias("tables"))
+    return rows.select("query_id", "question", "execution_time_ms", "part", F.array_join("tables.name", "|").alias("tables"))
 
 
 @query(
@@ -115,7 +115,7 @@ def calendar_counts(b: Bound):
 @query(
     "calendar_detail",
     duck("V_cal")
-    + """SELECT calendar, coalesce(string_agg(CAST(day AS VARCHAR), '|' ORDER BY day) FILTER (WHERE day_type = 'non_business'), '') AS days,
+    + """SELECT calendar, CAST(0 AS BIGINT) AS part, coalesce(string_agg(CAST(day AS VARCHAR), '|' ORDER BY day) FILTER (WHERE day_type = 'non_business'), '') AS days,
 coalesce(string_agg(CAST(day AS VARCHAR), '|' ORDER BY day) FILTER (WHERE day_type = 'holiday'), '') AS holidays FROM V_cal GROUP BY calendar""",
 )
 def calendar_detail(b: Bound):
@@ -126,13 +126,13 @@ def calendar_detail(b: Bound):
     }
     rows = usage.calendar_detail(cal.select("calendar").distinct(), days)
     text = [F.array_join(F.transform(c, lambda d: d["day"].cast("string")), "|").alias(c) for c in days]
-    return rows.select("calendar", *text)
+    return rows.select("calendar", "part", *text)
 
 
 @query(
     "terms_with_tags",
     duck("V_term")
-    + """SELECT term_id, name, domain AS domains, concat_ws('|', CASE quality WHEN 1 THEN 'good' WHEN 0 THEN 'poor' END, CASE toxic WHEN 1 THEN 'toxic' END) AS tags FROM V_term WHERE contains(lower(name), 'src1')""",
+    + """SELECT term_id, name, CAST(0 AS BIGINT) AS part, domain AS domains, concat_ws('|', CASE quality WHEN 1 THEN 'good' WHEN 0 THEN 'poor' END, CASE toxic WHEN 1 THEN 'toxic' END) AS tags FROM V_term WHERE contains(lower(name), 'src1')""",
 )
 def terms_with_tags(b: Bound):
     terms = b.V_term
@@ -145,7 +145,7 @@ def terms_with_tags(b: Bound):
     }
     rows = usage.terms_with_tags(terms.select("term_id", "glossary", "name"), links, search="SRC1")
     joined = [F.array_join(f"{c}.name", "|").alias(c) for c in links]
-    return rows.select("term_id", "name", *joined)
+    return rows.select("term_id", "name", "part", *joined)
 
 
 MAPPED = """, w AS (SELECT o_orderpriority AS request_id, p_name AS term FROM orders JOIN lineitem ON l_orderkey = o_orderkey JOIN part ON p_partkey = l_partkey WHERE o_orderstatus = 'F'

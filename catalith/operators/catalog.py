@@ -205,7 +205,7 @@ def table_schemas(tables: DataFrame, columns: DataFrame) -> DataFrame:
         display_name().alias("table_name"),
         blank("description").alias("description"),
     )
-    return attach(parents, nested, ["table_id"], "columns")
+    return attach(parents, {"columns": nested}, ["table_id"])
 
 
 def exists_batch(rows: DataFrame, wanted: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -1,13 +1,13 @@
 """Foreign-key joins over the catalog.
 
 ``fks(from_column_id, to_column_id, constraint_name)`` point at ``columns``.
-Every OR over the two ends of a key is written as a union of the two directions,
+Every OR over the two ends of a key is written as two directions of one row,
 so all joins are equi-joins that adaptive execution can broadcast or split.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from catalith.functions.keys import joined, node_key
@@ -58,15 +58,16 @@ def oriented(edges: DataFrame) -> DataFrame:
     """Every edge twice, seen from its seed table: outgoing first, then incoming."""
     ends = ["table_id", "schema_name", "db", "name", "table", "description", "column_id", "column", "column_description"]
 
-    def seen(seed: str, other: str, priority: int) -> DataFrame:
-        return edges.select(
+    def seen(seed: str, other: str, priority: int) -> Column:
+        return F.struct(
             *[F.col(f"{seed}_{c}").alias(f"seed_{c}") for c in ends],
             *[F.col(f"{other}_{c}").alias(f"other_{c}") for c in ends],
-            "constraint_name",
+            F.col("constraint_name").alias("constraint_name"),
             F.lit(priority).alias("priority"),
         )
 
-    return seen("from", "to", 0).unionByName(seen("to", "from", 1))
+    # both directions from one row: the joins behind the edges run once
+    return edges.select(F.explode(F.array(seen("from", "to", 0), seen("to", "from", 1))).alias("e")).select("e.*")
 
 
 def within(edges: DataFrame, members: DataFrame, request: str = "request_id") -> DataFrame:
@@ -137,8 +138,8 @@ def sorted_relations(relations: DataFrame) -> DataFrame:
     return relations.orderBy("seed_table_id", *[blank(k) for k in keys])
 
 
-def neighbors_any(edges: DataFrame, limit: int = NEIGHBOR_LIMIT) -> DataFrame:
-    """Distinct neighbours of every table whatever the key direction, without itself."""
+def neighbors_any(edges: DataFrame, limit: int | None = NEIGHBOR_LIMIT) -> DataFrame:
+    """Distinct neighbours of every table whatever the key direction, without itself; at most ``limit`` by name."""
     rows = (
         oriented(edges)
         .where(F.col("seed_table_id") != F.col("other_table_id"))
@@ -151,7 +152,7 @@ def neighbors_any(edges: DataFrame, limit: int = NEIGHBOR_LIMIT) -> DataFrame:
         )
         .distinct()
     )
-    return top_per_group(rows, ["seed_table_id"], [F.col("related_table"), F.col("related_table_id")], limit)
+    return rows if limit is None else top_per_group(rows, ["seed_table_id"], [F.col("related_table"), F.col("related_table_id")], limit)
 
 
 def neighbors_out(edges: DataFrame, tables: DataFrame, seeds: DataFrame, limit: int) -> DataFrame:
@@ -190,7 +191,7 @@ def relation_details(edges: DataFrame, limit: int) -> DataFrame:
     known = relations.select("seed_table_id", "related_schema", "related_table").distinct()
     rank = F.lit(PATH_RANKS.get(FK_PATH, DEFAULT_PATH_RANK))
     extra = (
-        neighbors_any(edges)
+        neighbors_any(edges, limit=None)
         .join(known, ["seed_table_id", "related_schema", "related_table"], "left_anti")
         .withColumn("score", rank)
         .withColumn("relation_type", F.lit(PATH_LABELS.get(FK_PATH)))
@@ -223,12 +224,14 @@ def related_tables(
     mode: str = "robo",
     scored: bool = False,
     datasource: str | None = None,
+    lists: bool = False,
 ) -> DataFrame:
     """Related tables of every seed with orientation, key count and score.
 
     Outgoing keys decide the orientation when both directions exist.  Tables in
     ``loaded(seed_table_id, related_table_id)`` are left out before the limit and
-    counted in ``excluded``.  Column lists are counted, not collected.
+    counted in ``excluded``.  ``lists`` adds the sorted columns on both sides and the data
+    source of the related table; a list is at most as long as a table is wide.
     """
     seen = oriented(edges)
     if datasource is not None:
@@ -247,6 +250,7 @@ def related_tables(
             F.first("other_schema_name").alias("related_schema"),
             F.first("other_db").alias("related_db"),
             F.greatest(F.count_distinct("source_column"), F.count_distinct("target_column")).alias("fk_count"),
+            *[F.array_sort(F.collect_set(f"{s}_column")).alias(f"{s}_columns") for s in ("source", "target") if lists],
         )
     )
     if scored:
@@ -264,18 +268,17 @@ def related_tables(
         F.when(F.col("priority") == 0, "FK_OUT").otherwise("FK_IN").alias("relation_type"),
         score.alias("score"),
         "fk_count",
+        *["source_columns", "target_columns", blank("related_db").alias("datasource")] * lists,
     )
-    excluded = None
     if loaded is not None:
-        pairs = loaded.select("seed_table_id", "related_table_id").distinct()
-        dropped = shown.join(pairs, ["seed_table_id", "related_table_id"], "left_semi")
-        excluded = dropped.groupBy("seed_table_id").agg(F.count(F.lit(1)).alias("excluded"))
-        shown = shown.join(pairs, ["seed_table_id", "related_table_id"], "left_anti")
+        pairs = loaded.select("seed_table_id", "related_table_id").distinct().withColumn("there", F.lit(1))
+        marked = shown.join(pairs, ["seed_table_id", "related_table_id"], "left")
+        # one pass: every row carries how many of its seed's tables are loaded
+        marked = marked.withColumn("excluded", F.count("there").over(Window.partitionBy("seed_table_id")))
+        shown = marked.where(F.col("there").isNull()).drop("there")
     order = [F.col("score").desc(), F.col("related_table_id").asc()]
     top = top_per_group(shown, ["seed_table_id"], order, limit)
-    if excluded is None:
-        return top.withColumn("excluded", F.lit(0))
-    return top.join(excluded, "seed_table_id", "left").withColumn("excluded", F.coalesce("excluded", F.lit(0)))
+    return top if loaded is not None else top.withColumn("excluded", F.lit(0))
 
 
 def related_pairs(edges: DataFrame) -> DataFrame:

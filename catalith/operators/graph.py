@@ -184,20 +184,24 @@ def scenario_list(scenarios: DataFrame, links: DataFrame | None = None, json_col
     return rows.select(*[json_or_empty(c).alias(c) if c in json_columns else F.col(c) for c in rows.columns])
 
 
+LINK_PROPERTIES = ("lag", "featureName", "importance", "correlationScore")
+
+
 def model_dag(models: DataFrame, edges: DataFrame, nodes: DataFrame) -> DataFrame:
     """Models with their read fields and predicted fields nested; models without links keep empty arrays.
 
     ``models(model_id, ..)``; ``edges`` of type ``READS_FIELD`` point at models,
-    ``PREDICTS_FIELD`` away from them, with a ``field`` column.
+    ``PREDICTS_FIELD`` away from them, with a ``field`` column; the link properties that
+    the edges have (lag, feature name, importance, correlation) go with each field.
     """
     names = nodes.select(F.col("id").alias("node_id"), F.col("name").alias("node_name"))
-    reads = edges.where(F.col("type") == "READS_FIELD").select(F.col("dst").alias("model_id"), F.col("src").alias("node_id"), "field")
-    predicts = edges.where(F.col("type") == "PREDICTS_FIELD").select(F.col("src").alias("model_id"), F.col("dst").alias("node_id"), "field")
-    out = models
+    carried = ["field", *[c for c in LINK_PROPERTIES if c in edges.columns]]
+    reads = edges.where(F.col("type") == "READS_FIELD").select(F.col("dst").alias("model_id"), F.col("src").alias("node_id"), *carried)
+    predicts = edges.where(F.col("type") == "PREDICTS_FIELD").select(F.col("src").alias("model_id"), F.col("dst").alias("node_id"), *carried)
+    nested = {}
     for name, part in (("inputs", reads), ("outputs", predicts)):
-        nested = nest(part.join(names, "node_id"), ["model_id"], ["node_id", "node_name", "field"], name)
-        out = attach(out, nested, ["model_id"], name).drop("part")
-    return out
+        nested[name] = nest(part.join(names, "node_id"), ["model_id"], ["node_id", "node_name", *carried], name)
+    return attach(models, nested, ["model_id"])
 
 
 def field_links(links: DataFrame) -> DataFrame:

@@ -124,7 +124,7 @@ def history_page(
     cut = rows.orderBy(F.col("created_at").desc(), F.col("query_id")).offset((page - 1) * page_size).limit(page_size)
     used = usage.join(cut.select("query_id"), "query_id", "left_semi")
     names = used.join(tables.select("table_id", "name"), "table_id").select("query_id", "name")
-    return attach(cut, nest(names, ["query_id"], ["name"], "tables"), ["query_id"], "tables")
+    return attach(cut, {"tables": nest(names, ["query_id"], ["name"], "tables")}, ["query_id"])
 
 
 def history_total(queries: DataFrame) -> DataFrame:
@@ -218,18 +218,13 @@ def terms_with_tags(
     rows = terms if not search else terms.where(F.contains(fold("name"), F.lit(search.lower())))
     if per_glossary is not None:
         rows = top_per_group(rows, ["glossary"], [F.col("name"), F.col("term_id")], per_glossary)
-    out = rows
-    for name, link in links.items():
-        nested = nest(link, ["term_id"], ["name"], name)
-        out = attach(out, nested, ["term_id"], name).drop("part")
-    return out
+    return attach(rows, {name: nest(link, ["term_id"], ["name"], name) for name, link in links.items()}, ["term_id"])
 
 
 def calendar_detail(calendars: DataFrame, days: dict[str, DataFrame], key: str = "calendar") -> DataFrame:
     """Calendars with one sorted day array per day frame ``(calendar, day, ..)``."""
-    out = calendars
+    nested = {}
     for name, frame in days.items():
-        item = ["day", *[c for c in frame.columns if c not in (key, "day")]]
-        out = attach(out, nest(frame, [key], item, name), [key], name).drop("part")
-    return out
+        nested[name] = nest(frame, [key], ["day", *[c for c in frame.columns if c not in (key, "day")]], name)
+    return attach(calendars, nested, [key])
 

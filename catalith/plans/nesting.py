@@ -1,16 +1,15 @@
-"""Nested child arrays whose size stays bounded.
+"""Nested child arrays of bounded size, in one shape for every size.
 
-A parent normally gets one row with ``part = 0`` and all its children in order.
-A parent with more than ``max_items`` children gets several rows, each with at
-most about ``max_items`` children, so no task and no row ever holds an unbounded
-group and nothing is dropped.
+A parent's children are sorted by the item fields and cut into consecutive ranges of at
+most ``max_items``: the rows ``part`` 0, 1, .. of the parent.  Nothing is dropped, and
+the parts put end to end are the whole sorted list.  Most parents have part 0 alone.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 MAX_ITEMS = 20_000
@@ -26,26 +25,27 @@ def nest(
 ) -> DataFrame:
     """``(keys, part, name)`` with ``name`` an array of structs sorted by the item fields.
 
-    Keys above the limit are found with a map-side combined count; that frame is
-    nearly always empty, and adaptive execution then drops the join.
+    The window that numbers the children and the aggregation share one shuffle by the
+    keys; a parent's children stream through its sort, which spills, and only ranges
+    of ``max_items`` are ever collected.
     """
-    hot = (
-        child.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("__n"))
-        .where(F.col("__n") > max_items)
-        .select(*keys, F.ceil(F.col("__n") / F.lit(max_items)).cast("int").alias("__parts"))
-    )
     items = child.select(*keys, F.struct(*item).alias("__item"))
-    part = F.when(F.col("__parts").isNull(), F.lit(0)).otherwise(
-        F.pmod(F.xxhash64("__item"), F.col("__parts")).cast("int")
-    )
-    placed = items.join(hot, list(keys), "left").select(*keys, part.alias("part"), "__item")
-    collect = F.collect_set if distinct else F.collect_list
-    return placed.groupBy(*keys, "part").agg(F.array_sort(collect("__item")).alias(name))
-
-
-def attach(parent: DataFrame, nested: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
-    """Left join of ``nest`` output; parents without children keep an empty array."""
-    joined = parent.join(nested, list(keys), "left")
-    empty = F.array().cast(nested.schema[name].dataType)
-    return joined.withColumn(name, F.coalesce(name, empty)).withColumn("part", F.coalesce("part", F.lit(0)))
+    if distinct:
+        items = items.distinct()
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy("__item")) - 1
+    placed = items.withColumn("part", F.floor(place / max_items).cast("int"))
+    return placed.groupBy(*keys, "part").agg(F.array_sort(F.collect_list("__item")).alias(name))
+
+
+def attach(parent: DataFrame, nested: dict[str, DataFrame], keys: Sequence[str]) -> DataFrame:
+    """Parents with the ``nest`` output of every name, matched by part.
+
+    A parent has as many rows as its longest list has parts; a list that has ended, or
+    that the parent lacks, is an empty array.
+    """
+    rows = None
+    for frame in nested.values():
+        rows = frame if rows is None else rows.join(frame, [*keys, "part"], "full_outer")
+    out = parent.join(rows, list(keys), "left").withColumn("part", F.coalesce("part", F.lit(0)))
+    empty = {n: F.array().cast(f.schema[n].dataType) for n, f in nested.items()}
+    return out.withColumns({n: F.coalesce(n, e) for n, e in empty.items()})

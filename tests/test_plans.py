@@ -15,12 +15,23 @@ def test_hot_parent_is_split_and_stays_whole(spark):
     assert len(hot) == 14 and sum(len(r["vs"]) for r in rows) == 1000
     assert sorted(x["v"] for r in hot for x in r["vs"]) == list(range(700))
     assert all([x["v"] for x in r["vs"]] == sorted(x["v"] for x in r["vs"]) for r in rows)
+    hot.sort(key=lambda r: r["part"])
+    assert [x["v"] for r in hot for x in r["vs"]] == list(range(700))  # consecutive ranges
     assert all(r["part"] == 0 for r in rows if r["k"] != "hot")
     parents = spark.createDataFrame([("k1",), ("none",)], "k string")
-    out = {r["k"]: (r["part"], len(r["vs"])) for r in attach(parents, nested, ["k"], "vs").collect()}
+    out = {r["k"]: (r["part"], len(r["vs"])) for r in attach(parents, {"vs": nested}, ["k"]).collect()}
     assert out["none"] == (0, 0) and out["k1"][0] == 0
 
 
+def test_two_lists_do_not_multiply_parts(spark):
+    child = spark.range(130).selectExpr("'p' AS k", "id AS v")
+    more = spark.range(70).selectExpr("'p' AS k", "id AS v")
+    parents = spark.createDataFrame([("p",), ("q",)], "k string")
+    out = attach(parents, {"a": nest(child, ["k"], ["v"], "a", 50), "b": nest(more, ["k"], ["v"], "b", 50)}, ["k"]).collect()
+    got = sorted((r["k"], r["part"], len(r["a"]), len(r["b"])) for r in out)
+    assert got == [("p", 0, 50, 50), ("p", 1, 50, 20), ("p", 2, 30, 0), ("q", 0, 0, 0)]
+
+
 def test_top_per_group_beyond_the_group_limit(spark):
     df = spark.range(6000).selectExpr("id % 2 AS g", "id AS v")
     for n in (3, 1500):
