@@ -138,20 +138,34 @@ def vec_fusion(b: Bound):
     return fused.select("qid", "vec_id", *score, "rank")
 
 
+# The request vectors are the centres, so that DuckDB can compute the cells too.
+CELLS = f""", c AS (SELECT vec_id, embedding, qid AS cell FROM (SELECT e.vec_id, e.embedding, r.qid, row_number() OVER (PARTITION BY e.vec_id ORDER BY {SIM} DESC, r.qid) AS n FROM V_emb e, V_req r) AS x WHERE n = 1),
+p AS (SELECT qid, cell FROM (SELECT r.qid, e.qid AS cell, row_number() OVER (PARTITION BY r.qid ORDER BY {SIM.replace("e.embedding", "e.vector")} DESC, e.qid) AS n FROM V_req r, V_req e) AS x WHERE n <= 4),
+a AS (SELECT r.qid, e.vec_id, {SIM} AS sim, row_number() OVER (PARTITION BY r.qid ORDER BY {SIM} DESC, e.vec_id) AS rank FROM c e JOIN p ON p.cell = e.cell JOIN V_req r ON r.qid = p.qid) """
+
+
 def celled(b: Bound):
-    corpus = b.V_emb
-    centres = vector.fit_cells(corpus, 16)
-    return vector.assign_cells(corpus, centres, id_col="vec_id"), centres
+    centres = b.V_req.selectExpr("CAST(qid AS INT) AS cell", "vector AS centre")
+    return vector.assign_cells(b.V_emb, centres, id_col="vec_id"), centres
 
 
-@query("vec_topk_approx")
+@query(
+    "vec_topk_approx",
+    duck("V_emb", "V_req") + CELLS + "SELECT CAST(qid AS BIGINT) AS qid, vec_id, round(sim, 6) AS similarity, rank FROM a WHERE rank <= 5",
+)
 def vec_topk_approx(b: Bound):
     cells, centres = celled(b)
     hits = vector.vector_topk_approx(cells, centres, b.V_req, 5, id_col="vec_id")
     return hits.select("qid", "vec_id", r6(), "rank")
 
 
-@query("vec_recall")
+@query(
+    "vec_recall",
+    duck("V_emb", "V_req")
+    + CELLS
+    + f""", x AS ({ranked(5)})
+SELECT CAST(x.qid AS BIGINT) AS qid, round(avg(CASE WHEN a.vec_id IS NULL THEN 0 ELSE 1 END), 4) AS recall FROM x LEFT JOIN a ON a.qid = x.qid AND a.vec_id = x.vec_id AND a.rank <= 5 GROUP BY x.qid""",
+)
 def vec_recall(b: Bound):
     cells, centres = celled(b)
     exact = vector.vector_topk(b.V_emb, b.V_req, 5, id_col="vec_id")
@@ -159,6 +173,35 @@ def vec_recall(b: Bound):
     return vector.recall(exact, approx, id_col="vec_id")
 
 
+@query("vec_topk_kmeans")
+def vec_topk_kmeans(b: Bound):
+    """Approximate search over fitted cells; a fixed point has no DuckDB text."""
+    centres = vector.fit_cells(b.V_emb, 16)
+    hits = vector.vector_topk_approx(vector.assign_cells(b.V_emb, centres, id_col="vec_id"), centres, b.V_req, 5, id_col="vec_id")
+    return hits.select("qid", "vec_id", r6(), "rank")
+
+
+@query(
+    "vec_topk_candidates",
+    duck("V_emb", "V_req")
+    + f"SELECT CAST(qid AS BIGINT) AS qid, CAST(grp AS BIGINT) AS grp, vec_id, round(sim, 6) AS similarity, rank FROM ({ranked(3, where='e.grp IN (r.qid, (r.qid + 3) % 10)', by='r.qid, e.grp', extra=', e.grp')}) AS x",
+)
+def vec_topk_candidates(b: Bound):
+    """Per group, inside the candidate groups of each request."""
+    asked = b.V_req.withColumn("groups", F.array(F.col("qid").cast("string"), F.pmod(F.col("qid") + 3, F.lit(10)).cast("string")))
+    hits = vector.vector_topk_per_group(b.V_emb, asked, 3, group_col="grp", id_col="vec_id", request_groups="groups")
+    return hits.select("qid", "grp", "vec_id", r6(), "rank")
+
+
+BLOCKED = duck("V_emb", "V_req") + f"SELECT CAST(qid AS BIGINT) AS qid, vec_id, round(sim, 6) AS similarity, rank FROM ({ranked(5)}) AS x"
+
+
+@query("vec_topk_blocks", BLOCKED)
+def vec_topk_blocks(b: Bound):
+    """The way for request batches above the closure limit."""
+    return vector.vector_topk(b.V_emb, b.V_req, 5, id_col="vec_id", max_closure_floats=0).select("qid", "vec_id", r6(), "rank")
+
+
 @query(
     "vec_parse",
     "SELECT vec_id, CAST(len(embedding) AS BIGINT) AS dims, round(list_sum(CAST(embedding AS DOUBLE[])), 4) AS total FROM embeddings",

@@ -66,17 +66,26 @@ def unit_rows(m: np.ndarray) -> np.ndarray:
 
 
 def similarities(requests: Requests, corpus: np.ndarray, groups: list | None) -> np.ndarray:
-    """Rounded similarity per (request, row); -inf where the pair may not match."""
-    sims = np.round(requests.unit @ unit_rows(corpus).T, DECIMALS)
-    sims[np.isnan(sims)] = -np.inf
-    if requests.groups is not None and groups is not None:
+    """Rounded similarity per (request, row); -inf where the pair may not match.
+
+    With groups only the rows of a request's own groups are multiplied with it.
+    """
+    unit = unit_rows(corpus)
+    if requests.groups is None or groups is None:
+        sims = np.round(requests.unit @ unit.T, DECIMALS)
+    else:
+        sims = np.full((requests.unit.shape[0], unit.shape[0]), -np.inf)
         values, code = np.unique(np.asarray(groups, dtype=object).astype(str), return_inverse=True)
-        allowed = np.array([[v in g for v in values] for g in requests.groups])
-        sims[~allowed[:, code]] = -np.inf
+        for at, value in enumerate(values):
+            rows = np.flatnonzero([value in g for g in requests.groups])
+            if rows.size:
+                columns = np.flatnonzero(code == at)
+                sims[np.ix_(rows, columns)] = np.round(requests.unit[rows] @ unit[columns].T, DECIMALS)
+    sims[np.isnan(sims)] = -np.inf
     return sims
 
 
-def best_pairs(sims: np.ndarray, id_rank: np.ndarray, k: int, floor: float | None) -> tuple[np.ndarray, np.ndarray]:
+def best_pairs(sims: np.ndarray, ids: list, k: int, floor: float | None) -> tuple[np.ndarray, np.ndarray]:
     """Row and column positions of the ``k`` best cells per row; ties go to the lower id."""
     n = sims.shape[1]
     if n > k:
@@ -88,7 +97,9 @@ def best_pairs(sims: np.ndarray, id_rank: np.ndarray, k: int, floor: float | Non
     if floor is not None:
         keep &= sims >= floor
     r, c = np.nonzero(keep)
-    order = np.lexsort((id_rank[c], -sims[r, c], r))
+    # only the ids that are left are put in order
+    used, back = np.unique(c, return_inverse=True)
+    order = np.lexsort((ranks_of([ids[i] for i in used])[back], -sims[r, c], r))
     r, c = r[order], c[order]
     start = np.searchsorted(r, np.arange(sims.shape[0]))
     place = np.arange(r.size) - start[r]
@@ -113,7 +124,7 @@ class Running:
 
     def add(self, ids: list, corpus: np.ndarray, groups: list | None) -> None:
         sims = similarities(self.requests, corpus, groups)
-        r, c = best_pairs(sims, ranks_of(ids), self.k, self.floor)
+        r, c = best_pairs(sims, ids, self.k, self.floor)
         rows = np.concatenate([self.rows, r])
         values = np.concatenate([self.sims, sims[r, c]])
         all_ids = self.ids + [ids[i] for i in c]
@@ -130,6 +141,30 @@ class Running:
         return pa.RecordBatch.from_arrays(arrays, schema=schema)
 
 
+class RunningGroups:
+    """Best ``k`` ids per (request, group) over a stream of batches, whatever their number."""
+
+    def __init__(self, requests: Requests, k: int):
+        self.requests, self.k = requests, k
+        self.held: dict[object, Running] = {}
+
+    def add(self, ids: list, groups: list, corpus: np.ndarray) -> None:
+        members: dict[object, list[int]] = {}
+        for i, g in enumerate(groups):
+            members.setdefault(g, []).append(i)
+        for g, rows in members.items():
+            running = self.held.get(g)
+            if running is None:
+                running = self.held[g] = Running(self.requests, self.k, None)
+            running.add([ids[i] for i in rows], corpus[rows], [g] * len(rows) if self.requests.groups is not None else None)
+
+    def batches(self, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+        for g, running in self.held.items():
+            if running.ids:
+                found = ([self.requests.ids[i] for i in running.rows], [g] * len(running.ids), running.ids, running.sims)
+                yield pa.RecordBatch.from_arrays([pa.array(v, type=f.type) for v, f in zip(found, schema, strict=True)], schema=schema)
+
+
 def scan(requests: Requests, k: int, floor: float | None, schema: pa.Schema):
     """``mapInArrow`` function over ``(id, vector[, group])`` batches."""
 

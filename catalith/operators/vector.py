@@ -192,15 +192,18 @@ def vector_topk_per_group(
     vector_col: str = "embedding",
     request_id: str = "qid",
     request_vector: str = "vector",
+    request_groups: str | None = None,
     max_closure_floats: int = MAX_CLOSURE_FLOATS,
 ) -> DataFrame:
     """The ``k`` best rows inside every group, for every request.
 
-    The request side is repeated per group only as (request, group) names; the
-    scan keeps ``k`` rows per pair.
+    With ``request_groups`` (an array column) a request sees its candidate groups
+    alone, and only those are multiplied.  A task keeps ``k`` rows per (request,
+    group) over all its batches.
     """
     rows = corpus.select(id_col, group_col, vector_col).where(F.col(vector_col).isNotNull())
-    asked = requests.select(request_id, request_vector).where(F.col(request_vector).isNotNull())
+    asked = requests.select(request_id, request_vector, *([] if request_groups is None else [request_groups]))
+    asked = asked.where(F.col(request_vector).isNotNull())
     types = [
         (request_id, requests.schema[request_id].dataType),
         (group_col, corpus.schema[group_col].dataType),
@@ -214,7 +217,7 @@ def vector_topk_per_group(
     else:
 
         def kernel(block: V.Requests, table: pa.Table):
-            return [b for part in table.to_batches() for b in _group_batches(block, part, k, schema)]
+            return list(_group_scan(block, k, schema)(table.to_batches()))
 
         scored = _cells(rows, asked, kernel, schema, ddl)
     order = [F.col("sim").desc(), F.col(id_col).asc()]
@@ -224,29 +227,18 @@ def vector_topk_per_group(
 
 
 def _group_scan(block: V.Requests, k: int, schema: pa.Schema):
+    """``mapInArrow`` function over ``(id, group, vector)`` batches."""
+
     def run(batches):
+        running = V.RunningGroups(block, k)
         for b in batches:
             if b.num_rows:
-                yield from _group_batches(block, b, k, schema)
+                running.add(b.column(0).to_pylist(), b.column(1).to_pylist(), V.to_matrix(b.column(2)))
+        yield from running.batches(schema)
 
     return run
 
 
-def _group_batches(block: V.Requests, b: pa.RecordBatch, k: int, schema: pa.Schema):
-    """The ``k`` best rows per (request, group) of one ``(id, group, vector)`` batch."""
-    ids, groups = b.column(0).to_pylist(), b.column(1).to_pylist()
-    sims = V.similarities(block, V.to_matrix(b.column(2)), None)
-    rank = V.ranks_of(ids)
-    _, code = np.unique(np.asarray(groups, dtype=object).astype(str), return_inverse=True)
-    for r in range(sims.shape[0]):
-        order = np.lexsort((rank, -sims[r], code))
-        place = np.arange(order.size) - np.searchsorted(code[order], code[order])
-        kept = order[(place < k) & np.isfinite(sims[r][order])]
-        columns = ([block.ids[r]] * kept.size, [groups[i] for i in kept], [ids[i] for i in kept], sims[r][kept])
-        arrays = [pa.array(v, type=f.type) for v, f in zip(columns, schema, strict=True)]
-        yield pa.RecordBatch.from_arrays(arrays, schema=schema)
-
-
 def vector_fusion(
     corpus: DataFrame,
     requests: DataFrame,
@@ -328,7 +320,11 @@ def assign_cells(corpus: DataFrame, centres: DataFrame, *, id_col: str = "id", v
 def vector_topk_approx(
     celled: DataFrame, centres: DataFrame, requests: DataFrame, k: int = DEFAULT_TABLES_K, probes: int = 4, **names
 ) -> DataFrame:
-    """Approximate top-k: every request looks only into its ``probes`` nearest cells, exactly."""
+    """Approximate top-k: every request looks only into its ``probes`` nearest cells, exactly.
+
+    A request is multiplied with the rows of the cells that it probes and no others;
+    ``centres`` may be any vectors, k-means ones or given ones.
+    """
     request_id = names.get("request_id", "qid")
     request_vector = names.get("request_vector", "vector")
     near = vector_topk(
