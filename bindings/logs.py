@@ -60,6 +60,49 @@ def query_log_fold_resumed(b: Bound):
     return shown(querylog.query_log_fold(b.V_log.where(f"NOT ({half})"), first, max_events=8))
 
 
+FULL_SQL = FOLD_SQL.replace(
+    "l AS (SELECT query_id, max(i) AS n,", "l AS (SELECT query_id, max(i) AS n, min_by(seq, i) AS first_seq,"
+).replace(
+    "c.steps_summary, l.n",
+    """coalesce(c.steps_summary, '') AS steps_summary, concat('select ', c.seq) AS sql_text, CASE WHEN c.seq % 3 > 0 THEN c.seq % 100 END AS row_count, concat('why ', l.first_seq) AS question,
+CASE WHEN c.seq % 4 > 0 THEN concat('v', c.seq) ELSE '' END AS terms, CAST(CASE WHEN c.seq % 4 > 0 THEN 1 ELSE 0 END AS BIGINT) AS value_mappings_count, concat('f', f.ctx) AS context_features, l.n""",
+)
+
+
+def detailed(events):
+    """Log events with the fields of a whole stored row."""
+    return events.withColumns(
+        {
+            "sql_text": F.concat(F.lit("select "), "seq"),
+            "row_count": F.expr("CASE WHEN seq % 3 > 0 THEN seq % 100 END"),
+            "question": F.concat(F.lit("why "), "seq"),
+            "value_mappings": F.expr("CASE WHEN seq % 4 > 0 THEN array(named_struct('natural_value', concat('v', seq))) END"),
+            "context_features": F.concat(F.lit("f"), "seq"),
+        }
+    )
+
+
+def shown_in_full(df):
+    extra = ["sql_text", "row_count", "question", "value_mappings_count", "context_features"]
+    wide = df.select("query_id", *extra, F.array_join("value_mapping_terms", ",").alias("terms"))
+    return shown(df).join(wide, "query_id")
+
+
+@query("query_log_fold_full", FULL_SQL)
+def query_log_fold_full(b: Bound):
+    """Whole stored rows, the log delivered in part twice."""
+    events = detailed(b.V_log)
+    return shown_in_full(querylog.query_log_fold(events.union(events.where("seq % 5 = 0"))))
+
+
+@query("query_log_fold_full_resumed", FULL_SQL)
+def query_log_fold_full_resumed(b: Bound):
+    half = "ts < TIMESTAMP '2024-01-15 00:00:00'"
+    events = detailed(b.V_log)
+    first = querylog.query_log_fold(events.where(half))
+    return shown_in_full(querylog.query_log_fold(events.where(f"NOT ({half})"), first))
+
+
 def scratch(b: Bound) -> str:
     """A new folder under the cluster's shared checkpoint folder; local sessions get a temporary one."""
     root = b.spark.conf.get("spark.checkpoint.dir", None)
