@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from bindings.catalogs import CAT, EDGES, edges
+from bindings.logs import scratch
 from bindings.registry import query
 from bindings.views import Bound, duck
 from catalith.operators import graph, lineage, paths
@@ -44,6 +45,28 @@ def graph_edges_from_dump(b: Bound):
     return dumps.parse_edges(dumped).select("src", "dst", "type")
 
 
+@query("graph_dump_files", duck(*VE) + "SELECT id, label, name FROM V_node")
+def graph_dump_files(b: Bound):
+    """Nodes written as JSON lines to the shared folder and read back."""
+    path = f"{scratch(b)}/nodes"
+    dumps.write_json(b.V_node.selectExpr("id", "array(label) AS labels", "map('name', name) AS properties"), path)
+    nodes = dumps.read_nodes(b.spark, path)
+    return nodes.select("id", F.element_at("labels", -1).alias("label"), F.col("props")["name"].alias("name"))
+
+
+@query(
+    "graph_store_files",
+    duck(*VE) + "SELECT 'node' AS part, id AS key, label FROM V_node UNION ALL SELECT 'edge', concat(src, '>', dst), type FROM V_edge",
+)
+def graph_store_files(b: Bound):
+    """The graph written by label and type and read back."""
+    path = scratch(b)
+    dumps.write_graph(b.V_node, b.V_edge, path)
+    nodes, edges = dumps.read_graph(b.spark, path)
+    rows = nodes.selectExpr("'node' AS part", "id AS key", "label")
+    return rows.unionByName(edges.selectExpr("'edge' AS part", "concat(src, '>', dst) AS key", "type AS label"))
+
+
 @query(
     "graph_load",
     duck(*VE)

@@ -6,11 +6,12 @@ from pyspark.sql import functions as F
 
 from bindings.catalogs import CAT, EDGES, edges
 from bindings.graphs import CHAINS, labelled
+from bindings.logs import scratch
 from bindings.registry import query
 from bindings.views import Bound, duck
 from catalith.functions.text import is_valid
 from catalith.operators import physical, recon
-from catalith.sources import harvest, snapshot
+from catalith.sources import dumps, harvest, snapshot
 
 SYS = """, C AS (SELECT t.table_id, t.db, t.schema_name AS table_schema, t.name AS table_name, t.description AS comment, c.column_id, c.name AS column_name, c.column_id - c.table_id * 100000 AS ordinal_position, c.description AS col_comment, c.is_primary_key, c.nullable, c.dtype AS raw,
 CASE c.dtype WHEN 'A' THEN CASE WHEN c.nullable THEN 'varchar(20)' ELSE 'character varying' END WHEN 'N' THEN CASE WHEN c.nullable THEN 'numeric(10,2)' ELSE 'numeric(10)' END ELSE 'ARRAY(_text)' END AS dtype
@@ -110,19 +111,33 @@ def assembled(b: Bound):
     return harvest.assemble(flat_tables(b), flat_columns(b).withColumnRenamed("table_name", "name").select(*fields))
 
 
-@query(
-    "catalog_assemble",
+ASSEMBLED_SQL = (
     duck("V_tab", "V_col")
     + SYS
     + f"""SELECT {DUCK_LABEL} AS meta_db_label, table_schema AS schema, table_name AS name, coalesce(comment, '') AS comment, 'BASE TABLE' AS table_type, CAST(3 AS BIGINT) AS version, CAST(0 AS BIGINT) AS part,
-string_agg(concat(column_name, ':', dtype, ':', CASE WHEN nullable THEN 'YES' ELSE 'no' END, ':', CAST(col_comment IS NULL AS VARCHAR)), '|' ORDER BY ordinal_position) AS columns FROM C GROUP BY ALL""",
+string_agg(concat(column_name, ':', dtype, ':', CASE WHEN nullable THEN 'YES' ELSE 'no' END, ':', CAST(col_comment IS NULL AS VARCHAR)), '|' ORDER BY ordinal_position) AS columns FROM C GROUP BY ALL"""
 )
-def catalog_assemble(b: Bound):
+
+
+def assembled_text(rows):
     text = F.transform(
         "columns", lambda c: F.concat_ws(":", c["column_name"], c["dtype"], c["is_nullable"], c["is_unique"].cast("string"))
     )
-    rows = assembled(b).withColumn("columns", F.array_join(text, "|"))
-    return rows.select("meta_db_label", "schema", "name", "comment", "table_type", "version", "part", "columns")
+    shown = rows.withColumn("columns", F.array_join(text, "|"))
+    return shown.select("meta_db_label", "schema", "name", "comment", "table_type", "version", "part", "columns")
+
+
+@query("catalog_assemble", ASSEMBLED_SQL)
+def catalog_assemble(b: Bound):
+    return assembled_text(assembled(b))
+
+
+@query("catalog_snapshot_files", ASSEMBLED_SQL)
+def catalog_snapshot_files(b: Bound):
+    """The snapshot written as JSON lines to the shared folder and read back."""
+    path, rows = f"{scratch(b)}/snapshot", assembled(b)
+    snapshot.write_snapshot(rows, path)
+    return assembled_text(b.spark.read.schema(rows.schema).json(path))
 
 
 @query(
@@ -359,6 +374,14 @@ def recon_types(b: Bound):
     return recon.types(b.V_edge, damaged(b)[1])
 
 
+@query("recon_report_files", duck("V_node", "V_edge") + DAMAGE + TYPES)
+def recon_report_files(b: Bound):
+    """A report written as JSON lines and read back."""
+    path, rows = f"{scratch(b)}/report", recon.types(b.V_edge, damaged(b)[1])
+    dumps.write_json(rows, path)
+    return b.spark.read.schema(rows.schema).json(path)
+
+
 def _chain_sql(table: str) -> str:
     parts = [f"SELECT '{c[0]}' AS chain, count(*) AS n FROM {table} WHERE type = '{c[0]}'" for c in CHAINS if len(c) == 1]
     parts += [

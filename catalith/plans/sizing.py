@@ -1,18 +1,10 @@
-"""Size checks that decide between a broadcast and a shuffle.
+"""The size that may travel inside a task closure.
 
 Plain joins in this package carry no broadcast hints: adaptive execution turns a
-join into a broadcast only after it has seen the shuffled size.  The helpers here
-are for the two places where Python itself needs the small side.
+join into a broadcast only after it has seen the shuffled size.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
-
 # Largest request batch whose vectors may travel inside a task closure.
 MAX_CLOSURE_FLOATS = 4_000_000
-
-
-def fits(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows; reads no more than that."""
-    return df.limit(max_rows + 1).count() <= max_rows
