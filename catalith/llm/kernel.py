@@ -19,16 +19,24 @@ from pyspark.sql import functions as F
 from catalith.session import ship
 
 CHUNK_BYTES = 2_000_000
+BATCH_BYTES = 8_000_000
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 _PRIME = 0x9E3779B97F4A7C15 | 1
 _powers: dict[str, np.ndarray] = {}
 
 
 def prepared(spark: SparkSession) -> SparkSession:
-    """Ships the package to the executors."""
+    """Ships the package to the executors; bounds the Arrow batches, as texts are long."""
     ship(spark)
+    if _bytes(spark.conf.get(_BATCH)) not in range(1, BATCH_BYTES + 1):
+        spark.conf.set(_BATCH, f"{BATCH_BYTES}b")
     return spark
 
 
+def _bytes(text: str) -> int:
+    return int(text.rstrip("b") or 0) if text.rstrip("b").lstrip("-").isdigit() else 0
+
+
 def narrow(df: DataFrame, **columns: tuple[str, str]) -> DataFrame:
     """Only the named columns, cast: ``narrow(df, doc_id=("doc_id", "long"))``.
 

@@ -39,7 +39,7 @@ def _letters() -> np.ndarray:
     return _table["letter"]
 
 
-def _chunked(texts: list[str | None], size: int = 1_000_000):
+def _chunked(texts: list[str | None], size: int = 400_000):
     first, held = 0, 0
     for i, t in enumerate(texts):
         n = len(t) if t else 0
@@ -72,13 +72,11 @@ def gram_counts(texts: list[str | None], groups: np.ndarray) -> tuple[np.ndarray
     n_groups = int(groups.max()) + 1 if len(groups) else 1
     none = base - 1
     a, b, c = x[:-2], x[1:-1], x[2:]
-    keys = [
-        ((group * base + none) * base + none) * base + x,
-        ((group[1:] * base + none) * base + x[:-1]) * base + x[1:],
-        ((group[2:] * base + a) * base + b) * base + c,
-    ]
-    keep = [x > 0, (x[1:] + x[:-1]) > 0, (b > 0) & ((a > 0) | (c > 0))]
-    flat = np.concatenate([k[m] for k, m in zip(keys, keep, strict=True)])
+    flat = np.concatenate([
+        (((group * base + none) * base + none) * base + x)[x > 0],
+        (((group[1:] * base + none) * base + x[:-1]) * base + x[1:])[(x[1:] + x[:-1]) > 0],
+        (((group[2:] * base + a) * base + b) * base + c)[(b > 0) & ((a > 0) | (c > 0))],
+    ])
     space = n_groups * base**3
     if space <= 1 << 22:
         dense = np.bincount(flat, minlength=1)
