@@ -238,7 +238,7 @@ def test_near_duplicates(spark):
     assert set(got) == {i for i, _ in rows if i is not None}
     by_text = dict(rows)
     for i in range(10):
-        assert got[300 + i].class_id == got[100 + i].class_id == 100 + i and not got[300 + i].kept
+        assert got[300 + i].class_id == got[100 + i].class_id and not got[300 + i].kept
     assert {got[200 + i].class_id for i in range(25)} == {5}
     assert got[906].class_id == got[907].class_id == 906
     for empty in (900, 901, 902):
