@@ -523,12 +523,14 @@ SELECT 'node' AS part, id AS key, label FROM V_node WHERE label IN ('Customer',
 UNION ALL SELECT 'edge', concat(src, 'n>', dst, 'n'), type FROM V_edge WHERE src IN (SELECT id FROM fresh) AND dst IN (SELECT id FROM fresh)""",
 )
 def replace_scope(b: Bound):
-    scope = "CASE WHEN label IN ('Supplier', 'Nation') THEN 's1' ELSE 's2' END AS schema_id"
-    nodes = b.V_node.selectExpr("id", "CASE label WHEN 'Region' THEN 'KPI' ELSE label END AS label", scope)
-    ends = b.V_node.selectExpr("id AS src", scope)
+    # the scope of a label is data, looked up by an equi-join
+    scopes = b.V_node.groupBy("label").agg(F.max(F.expr("CASE WHEN label IN ('Supplier', 'Nation') THEN 's1' ELSE 's2' END")).alias("schema_id"))
+    scoped = b.V_node.join(scopes, "label")
+    nodes = scoped.selectExpr("id", "CASE label WHEN 'Region' THEN 'KPI' ELSE label END AS label", "schema_id")
+    ends = scoped.selectExpr("id AS src", "schema_id")
     old = b.V_edge.join(ends, "src").select("src", "dst", "type", "schema_id")
-    fresh_nodes = b.V_node.where("label IN ('Supplier', 'Nation')").selectExpr(
-        "concat(id, 'n') AS id", "CASE label WHEN 'Supplier' THEN 'Resource' ELSE label END AS label", scope
+    fresh_nodes = scoped.where("label IN ('Supplier', 'Nation')").selectExpr(
+        "concat(id, 'n') AS id", "CASE label WHEN 'Supplier' THEN 'Resource' ELSE label END AS label", "schema_id"
     )
     fresh_edges = old.where("schema_id = 's1'").selectExpr("concat(src, 'n') AS src", "concat(dst, 'n') AS dst", "type", "schema_id")
     new_nodes, new_edges = graph.replace_schema(nodes, old, fresh_nodes, fresh_edges)

@@ -65,7 +65,10 @@ def test_views_agree(spark, con):
 
 
 def test_no_nested_loops_or_row_udfs(spark):
-    for name in ("anchor_columns", "match_alias", "fk_neighbors_any", "related_tables", "value_mapping", "table_importance", "vec_topk"):
+    some = ("anchor_columns", "match_alias", "fk_neighbors_any", "related_tables", "value_mapping", "table_importance", "vec_topk", "replace_scope")
+    for name in entry.queries() if ALL else some:
+        if name == "pipeline" or name.startswith(("op", "stream_")):
+            continue  # their plans are made job by job
         plan = entry.queries()[name](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
         assert "NestedLoop" not in plan and "Cartesian" not in plan and "BatchEvalPython" not in plan, name
 
