@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 
 from catalith.session import ship
 
-CHUNK_BYTES = 2_000_000
-BATCH_BYTES = 8_000_000
+CHUNK_BYTES = 1_000_000
+BATCH_BYTES = 4_000_000
 _BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 _PRIME = 0x9E3779B97F4A7C15 | 1
 _powers: dict[str, np.ndarray] = {}
@@ -154,7 +154,7 @@ def power_table(n: int, prime: int = _PRIME) -> tuple[np.ndarray, np.ndarray]:
     key = f"{prime}"
     have = _powers.get(key)
     if have is None or have.shape[1] < n:
-        size = max(n, CHUNK_BYTES + 65_536)
+        size = max(n, CHUNK_BYTES + 16_384)
         inverse = pow(prime, -1, 1 << 64)
         table = np.ones((2, size), np.uint64)
         table[0, 1:] = np.uint64(prime)

@@ -35,11 +35,11 @@ def _letters() -> np.ndarray:
     """One flag for each code point: is it a letter."""
     if "letter" not in _table:
         _table["letter"] = np.fromiter((chr(i).isalpha() for i in range(0x110000)), bool, 0x110000)
-        _table["place"] = np.zeros(0x110000, np.int64)
+        _table["place"] = np.zeros(0x110000, np.int32)
     return _table["letter"]
 
 
-def _chunked(texts: list[str | None], size: int = 400_000):
+def _chunked(texts: list[str | None], size: int = 250_000):
     first, held = 0, 0
     for i, t in enumerate(texts):
         n = len(t) if t else 0
@@ -67,7 +67,7 @@ def gram_counts(texts: list[str | None], groups: np.ndarray) -> tuple[np.ndarray
     base = len(alphabet) + 2  # 0 is the edge, base - 1 stands for no letter
     place = _table["place"]
     place[alphabet] = np.arange(1, len(alphabet) + 1)
-    x = place[code]
+    x = place[code].astype(np.int64)
     group = np.concatenate([[0], np.repeat(groups, sizes)])
     n_groups = int(groups.max()) + 1 if len(groups) else 1
     none = base - 1

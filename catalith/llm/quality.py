@@ -64,7 +64,7 @@ def _tokens(raw: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return (h >> np.uint64(64 - BUCKETS_LOG2)).astype(np.int64), doc
 
 
-def _chunks(column: pa.Array, size: int = 1_000_000):
+def _chunks(column: pa.Array, size: int = 500_000):
     raw, bounds = kernel.utf8(column)
     for i, j in kernel.chunks(bounds, size):
         yield i, j, *_tokens(raw[bounds[i] : bounds[j]], bounds[i : j + 1] - bounds[i])
@@ -101,7 +101,7 @@ def word_vectors(docs: DataFrame, text: str = "text") -> np.ndarray:
 def pooled(column: pa.Array, vectors: np.ndarray) -> np.ndarray:
     """Mean and spread of the token vectors of every text."""
     out = np.zeros((len(column), 2 * DIM), np.float32)
-    for i, _, token, doc in _chunks(column, 500_000):
+    for i, _, token, doc in _chunks(column, 200_000):
         if not len(token):
             continue
         first = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]]))

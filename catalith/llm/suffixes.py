@@ -40,7 +40,7 @@ from catalith.llm import kernel
 LENGTH = 50
 GRAM = 20
 HOT = 1_000
-FLUSH = 1_000_000
+FLUSH = 600_000
 DOCS_PER_BUCKET = 1_000
 _OTHER = 0xC2B2AE3D27D4EB4F
 _TRIGGERS, _REMOVED, _WANTED, _PHRASES, _WINDOWS = range(5)
@@ -188,7 +188,7 @@ def _parse(texts: DataFrame, parts: int, buckets: int) -> DataFrame:
         for b in batches:
             rows, docs = b.column("row").to_numpy(), b.column("doc").to_numpy()
             raw, bounds = kernel.utf8(b.column("text"))
-            for i, j in kernel.chunks(bounds, 1_000_000):
+            for i, j in kernel.chunks(bounds, 500_000):
                 edges = bounds[i : j + 1] - bounds[i]
                 first, last, trigger, phrase = triggers(raw[bounds[i] : bounds[j]], edges)
                 if not len(first):
@@ -236,7 +236,7 @@ def _settle(parsed: DataFrame, parts: int, buckets: int) -> DataFrame:
 
         def emit():
             yield from spans.batches()
-            if not wanted:
+            if not sum(len(x[0]) for x in wanted):
                 return
             row, doc, start, width, trigger, hot = (np.concatenate(c) for c in zip(*wanted, strict=True))
             wanted.clear()
