@@ -36,8 +36,7 @@ VIEWS = duck("V_emb", "V_req", *CAT)
 
 def found(b: Bound):
     tables = b.V_emb.select(F.col("vec_id").alias("table_id"), "embedding")
-    first = b.V_col.groupBy("table_id").agg(F.min_by(F.struct("column_id", "is_valid"), "column_id").alias("c"))
-    columns = first.select("table_id", "c.column_id", "c.is_valid").join(tables, "table_id")
+    columns = b.V_col.select("column_id", "table_id", "is_valid").join(tables, "table_id")
     return S.build_subschema(b.V_tab, b.V_col, b.V_fk, tables, columns, b.V_req)
 
 
