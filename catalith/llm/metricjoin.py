@@ -18,9 +18,9 @@ On vectors without clusters the inequality can exclude little, and the join is t
 near to comparing every pair, which exactness asks for.
 
 Defined results: vectors that are null, empty, zero, or hold null or non-finite
-components link with nothing, nor do vectors of another length than the most common
-one; of several rows with one id the least vector counts; a null id gives no row; an
-empty table gives no rows; other columns are ignored.
+components link with nothing; vectors link with those of their own length only, and
+every length has its own join; of several rows with one id the least vector counts; a
+null id gives no row; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -89,17 +89,26 @@ def block_links(x: np.ndarray, y: np.ndarray | None, mx: np.ndarray, my: np.ndar
 
 def links(table: DataFrame, id_col: str = "vec_id", vector: str = "embedding", least: float = COSINE) -> DataFrame:
     """(vec_id, n_links, component_id, kept) of every id."""
-    eps = float(np.sqrt(2 - 2 * least))
     ids = kernel.narrow(table, vec_id=(id_col, "long")).where("vec_id IS NOT NULL").distinct()
     usable = vptree.valid_vectors(table, id_col, vector).groupBy("vec_id").agg(F.min("v").alias("v"))
     usable = kernel.stored(usable, "vectors")
-    size = vptree.common_length(usable)
-    usable = usable.where(F.octet_length("v") == size)
+    known = None
+    for size in vptree.lengths(usable):
+        part = _linked(usable.where(F.octet_length("v") == size), size, least)
+        known = part if known is None else known.union(part)
+    if known is None:
+        return ids.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
+    rows = usable.join(known, "v").select("vec_id", (F.col("n") + F.col("times") - 1).alias("n_links"), F.col("component").alias("component_id"))
+    out = ids.join(rows, "vec_id", "left").select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component_id", "vec_id").alias("component_id"))
+    return out.withColumn("kept", F.col("vec_id") == F.col("component_id"))
+
+
+def _linked(usable: DataFrame, size: int, least: float) -> DataFrame:
+    """(v, times, n, component) of every distinct vector, all of ``size`` bytes; ``n`` links besides its equals."""
+    eps = float(np.sqrt(2 - 2 * least))
     once = kernel.stored(usable.groupBy("v").agg(F.min("vec_id").alias("point"), F.count(F.lit(1)).alias("times")), "points")
     count = once.count()
     sample = [bytes(r["v"]) for r in once.orderBy(F.xxhash64("v"), "v").limit(SAMPLE).select("v").collect()]
-    if not sample:
-        return ids.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
     block = max(256, BLOCK_BYTES // size)
     pivots = spread(vptree.directions(sample), min(MAX_PIVOTS, max(1, count // (2 * block))))
     between = vptree.chords(pivots, pivots)
@@ -186,7 +195,4 @@ def links(table: DataFrame, id_col: str = "vec_id", vector: str = "embedding", l
     degree = found.groupBy("point").agg(F.sum("n").alias("n"))
     label = components(found.select(F.col("point").alias("a"), F.col("near").alias("b")))
     points = once.join(degree, "point", "left").join(label.withColumnRenamed("node", "point"), "point", "left")
-    known = kernel.stored(points.select("v", "times", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("label", "point").alias("component")), "linked")
-    rows = usable.join(known, "v").select("vec_id", (F.col("n") + F.col("times") - 1).alias("n_links"), F.col("component").alias("component_id"))
-    out = ids.join(rows, "vec_id", "left").select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component_id", "vec_id").alias("component_id"))
-    return out.withColumn("kept", F.col("vec_id") == F.col("component_id"))
+    return kernel.stored(points.select("v", "times", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("label", "point").alias("component")), "linked")

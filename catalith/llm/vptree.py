@@ -17,7 +17,7 @@ are asked for: no query can need more of them.
 Defined results: vectors that are null, empty, zero, or hold null or non-finite
 components take no part, nor does a null id; ties go to the smaller id; repeated ids
 with the same vector count once; fewer candidates than asked give fewer rows; vectors
-of another length than the most common one take no part.
+are neighbours of those of their own length only, and every length has its own search.
 """
 
 from __future__ import annotations
@@ -61,10 +61,9 @@ def valid_vectors(table: DataFrame, id_col: str, vector: str) -> DataFrame:
     return kernel.narrow(table, vec_id=(id_col, "long"), v=(vector, "array<double>")).mapInArrow(run, "vec_id long, v binary")
 
 
-def common_length(vectors: DataFrame) -> int:
-    """Bytes of the most common vector length (the smaller of equal ones)."""
-    row = vectors.groupBy(F.octet_length("v").alias("n")).agg(F.count(F.lit(1)).alias("c")).orderBy(F.col("c").desc(), "n").first()
-    return row["n"] if row else 0
+def lengths(vectors: DataFrame) -> list[int]:
+    """Bytes of every vector length there is."""
+    return sorted(r["n"] for r in vectors.select(F.octet_length("v").alias("n")).distinct().collect())
 
 
 def points(vectors: DataFrame, keep: int) -> DataFrame:
@@ -198,15 +197,30 @@ def nearest(table: DataFrame, queries: DataFrame, k: int = K, factor: float = FA
     the cosine of the given vectors in double precision.
     """
     usable = kernel.stored(valid_vectors(table, id_col, vector), "vectors")
-    size = common_length(usable)
-    usable = usable.where(F.octet_length("v") == size)
+    asked = usable.join(kernel.narrow(queries, vec_id=(id_col, "long")).distinct(), "vec_id", "left_semi").distinct()
+    hits = None
+    for size in lengths(asked):
+        own = F.octet_length("v") == size
+        part = _hits(usable.where(own), asked.where(own), size, k, factor)
+        hits = part if hits is None else hits.union(part)
+    if hits is None:
+        return asked.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    named = _best(hits, k).select("query_id", F.posexplode("best"))
+    return named.select("query_id", (F.col("pos") + 1).alias("rank"), F.col("col.vec_id").alias("vec_id"), (-F.col("col.n")).alias("score"))
+
+
+def _best(hits: DataFrame, k: int) -> DataFrame:
+    """The ``k`` best of every query: cut by aggregation, each side holds k rows a shard."""
+    best = F.slice(F.array_sort(F.collect_set(F.struct((-F.col("far")).alias("n"), "vec_id"))), 1, k)
+    return hits.groupBy("query_id").agg(best.alias("best"))
+
+
+def _hits(usable: DataFrame, asked: DataFrame, size: int, k: int, factor: float) -> DataFrame:
+    """(query_id, vec_id, far) of every shard searched, for vectors of ``size`` bytes."""
     distinct = kernel.stored(points(usable, k + 1), "points")
     rows = distinct.count()
     sample = [bytes(r["v"]) for r in distinct.orderBy(F.xxhash64("v"), "v").limit(SAMPLE).select("v").collect()]
-    asked = usable.join(kernel.narrow(queries, vec_id=(id_col, "long")).distinct(), "vec_id", "left_semi").distinct()
     schema = "query_id long, v binary, rank int, vec_id long, far double"
-    if not sample:
-        return asked.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     shards = max(1, -(-rows // SHARD_ROWS))
     depth = max(0, min(int(np.ceil(np.log2(shards))), int(np.log2(len(sample))) - 3))
     top = Tree(directions(sample), leaf=1, depth=depth)
@@ -267,21 +281,14 @@ def nearest(table: DataFrame, queries: DataFrame, k: int = K, factor: float = FA
 
     kind = "query_id long, v binary, radius double, cell long, salt int"
 
-    def reach(hits: DataFrame) -> DataFrame:
-        """The ``k`` best of every query: cut by aggregation, each side holds k rows a shard."""
-        best = F.slice(F.array_sort(F.collect_set(F.struct((-F.col("far")).alias("n"), "vec_id"))), 1, k)
-        return hits.groupBy("query_id").agg(best.alias("best"))
-
     def swept(ask: DataFrame) -> DataFrame:
         found = ask.mapInArrow(routed, kind)
         return placed.groupBy("cell", "salt").cogroup(found.groupBy("cell", "salt")).applyInArrow(search, schema).drop("v", "rank")
 
     home_hits = kernel.cut(swept(asked.withColumn("radius", F.lit(float("inf")))))
-    so_far = reach(home_hits).select(F.col("query_id").alias("vec_id"), F.when(F.size("best") == k, F.sqrt(F.greatest(F.lit(0.0), 2 + 2 * F.element_at("best", -1)["n"])) + 1e-9).otherwise(F.lit(2.1)).alias("radius"))
+    so_far = _best(home_hits, k).select(F.col("query_id").alias("vec_id"), F.when(F.size("best") == k, F.sqrt(F.greatest(F.lit(0.0), 2 + 2 * F.element_at("best", -1)["n"])) + 1e-9).otherwise(F.lit(2.1)).alias("radius"))
     other = asked.join(so_far, "vec_id", "left").select("vec_id", "v", F.coalesce("radius", F.lit(2.1)).alias("radius"))
-    hits = home_hits.union(swept(other)) if cells > 1 else home_hits
-    named = reach(hits).select("query_id", F.posexplode("best"))
-    return named.select("query_id", (F.col("pos") + 1).alias("rank"), F.col("col.vec_id").alias("vec_id"), (-F.col("col.n")).alias("score"))
+    return home_hits.union(swept(other)) if cells > 1 else home_hits
 
 
 def cosine(a: bytes, b: bytes) -> float:
