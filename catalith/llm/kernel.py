@@ -271,3 +271,75 @@ def runs(kind: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     begin = np.flatnonzero(change)
     last = ends[np.searchsorted(starts, begin, "right") - 1]
     return begin, np.minimum(np.append(begin[1:], len(kind)), last), np.searchsorted(bounds, begin, "right") - 1
+
+
+class Spans:
+    """Numbers byte spans by their content, exactly.
+
+    A 64-bit hash proposes the number and the bytes decide: a span whose bytes are not
+    those of its hash is numbered by its bytes alone.
+    """
+
+    def __init__(self):
+        self.keys = np.empty(0, np.uint64)
+        self.ids = np.empty(0, np.int64)
+        self.first = np.empty(0, np.int64)
+        self.size = np.empty(0, np.int64)
+        self.raw = np.zeros(8, np.uint8)  # always with eight bytes more than are used
+        self.odd: dict[bytes, int] = {}
+
+    def __len__(self) -> int:
+        return len(self.first)
+
+    def _append(self, raw: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> None:
+        used = len(self.raw) - 8
+        self.first = np.concatenate([self.first, used + np.cumsum(sizes) - sizes])
+        self.size = np.concatenate([self.size, sizes])
+        self.raw = np.concatenate([self.raw[:used], raw[ragged(starts, sizes)], np.zeros(8, np.uint8)])
+
+    def bytes_of(self, first: int) -> list[bytes]:
+        """The spans numbered ``first`` and up."""
+        data, base = self.raw.tobytes() if not first else None, 0
+        if data is None:
+            base = int(self.first[first]) if first < len(self) else 0
+            data = self.raw[base:].tobytes()
+        return [data[s : s + n] for s, n in zip((self.first[first:] - base).tolist(), self.size[first:].tolist(), strict=True)]
+
+    def _equal(self, raw: np.ndarray, starts: np.ndarray, sizes: np.ndarray, ids: np.ndarray) -> np.ndarray:
+        same = self.size[ids] == sizes
+        padded = np.concatenate([raw, np.zeros(8, np.uint8)])
+        mine, theirs = (np.ndarray(len(x) - 7, "<u8", x, strides=(1,)) for x in (padded, self.raw))
+        left, at = np.flatnonzero(same), 0
+        while len(left):
+            rest = np.minimum(sizes[left] - at, 8)
+            shift = (8 * (8 - rest)).astype(np.uint64)
+            ok = ((mine[starts[left] + at] ^ theirs[self.first[ids[left]] + at]) << shift) == 0
+            same[left[~ok]] = False
+            at += 8
+            left = left[ok & (rest == 8)]
+            left = left[sizes[left] > at]
+        return same
+
+    def number(self, raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """The number of every span, none empty; new ones are numbered from ``len(self)`` on."""
+        sizes = ends - starts
+        key, where, back = np.unique(hashes(prefix(raw), starts, ends) ^ sizes.astype(np.uint64), return_index=True, return_inverse=True)
+        place = np.searchsorted(self.keys, key)
+        known = place < len(self.keys)
+        known[known] = self.keys[place[known]] == key[known]
+        ids = np.empty(len(key), np.int64)
+        ids[known] = self.ids[place[known]]
+        if not known.all():
+            new = where[~known]
+            ids[~known] = len(self) + np.arange(len(new))
+            self._append(raw, starts[new], sizes[new])
+            self.keys = np.insert(self.keys, place[~known], key[~known])
+            self.ids = np.insert(self.ids, place[~known], ids[~known])
+        out = ids[back]
+        for i in np.flatnonzero(~self._equal(raw, starts, sizes, out)).tolist():
+            data = raw[starts[i] : ends[i]].tobytes()
+            if data not in self.odd:
+                self.odd[data] = len(self)
+                self._append(raw, starts[i : i + 1], sizes[i : i + 1])
+            out[i] = self.odd[data]
+        return out

@@ -7,7 +7,8 @@ text is cut there, each distinct piece goes to the library once, and the ids are
 together again with numpy.  The result equals encoding the whole text (tested), at a
 fraction of its cost on natural text, where pieces repeat.
 
-A worker keeps the pieces it has seen, up to ``KEEP`` of them, for its next batches.
+A worker keeps the pieces it has seen, about ``KEEP`` of them, for its next batches; a
+piece is known when its bytes are equal, whatever its hash.
 """
 
 from __future__ import annotations
@@ -46,13 +47,12 @@ class PieceEncoder:
         self._reset()
 
     def _reset(self) -> None:
-        self.keys = np.empty(0, np.uint64)
-        self.first = np.empty(0, np.int64)
-        self.size = np.empty(0, np.int64)
+        self.spans = kernel.Spans()
+        self.ends = np.zeros(1, np.int64)
         self.ids = np.empty(0, np.uint32)
 
     @staticmethod
-    def borders(raw: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    def borders(raw: np.ndarray, bounds: np.ndarray, after_line: bool = True) -> np.ndarray:
         """Sorted starts of the pieces; a piece never holds bytes of two documents.
 
         Where a neighbour might be one of the wider spaces of Unicode there is no
@@ -70,32 +70,21 @@ class PieceEncoder:
             visible &= ~(_SPACE[after] | np.isin(after, _WIDE))
             at = at[visible]
             cut[at] = True
-            cut[at[raw[at] == 10] + 1] = True
+            if after_line:
+                cut[at[raw[at] == 10] + 1] = True
         full = np.diff(bounds) > 0
         cut[bounds[1:][full] - 1] = False
         cut[bounds[:-1][full]] = True
         return np.flatnonzero(cut)
 
-    def _encode_new(self, raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Sizes and concatenated ids of pieces, each through the library."""
-        data = raw.tobytes()
-        sizes, parts = [], []
-        for at in range(0, len(starts), 20_000):
-            texts = [data[s:e].decode("utf-8") for s, e in zip(starts[at : at + 20_000].tolist(), ends[at : at + 20_000].tolist(), strict=True)]
-            found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-            sizes.append(np.fromiter(map(len, found), np.int64, len(found)))
-            parts.append(np.fromiter(chain.from_iterable(found), np.uint32, int(sizes[-1].sum())))
-        return np.concatenate(sizes), np.concatenate(parts)
-
-    def _learn(self, raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, keys: np.ndarray) -> None:
-        if len(self.keys) + len(keys) > KEEP:
-            self._reset()
-        size, ids = self._encode_new(raw, starts, ends)
-        merged = np.concatenate([self.keys, keys])
-        order = np.argsort(merged, kind="stable")
-        first = np.concatenate([self.first, len(self.ids) + np.cumsum(size) - size])
-        self.keys, self.first, self.size = merged[order], first[order], np.concatenate([self.size, size])[order]
-        self.ids = np.concatenate([self.ids, ids])
+    def _learn(self, first: int) -> None:
+        """Ids of the pieces numbered ``first`` and up, each through the library."""
+        data = self.spans.bytes_of(first)
+        for at in range(0, len(data), 20_000):
+            found = [e.ids for e in self.tokenizer.encode_batch_fast([d.decode() for d in data[at : at + 20_000]], add_special_tokens=False)]
+            size = np.fromiter(map(len, found), np.int64, len(found))
+            self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(found), np.uint32, int(size.sum()))])
+            self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(size)])
 
     def encode(self, column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
         """For ranges of texts: first, last, all ids (uint32) and the id bounds of each text."""
@@ -106,26 +95,18 @@ class PieceEncoder:
             if not len(at):
                 yield i, j, np.empty(0, np.uint32), np.zeros(j - i + 1, np.int64)
                 continue
-            stop = np.append(at[1:], len(part))
-            h = kernel.hashes(kernel.prefix(part), at, stop) ^ (stop - at).astype(np.uint64)
-            key, where, back = np.unique(h, return_index=True, return_inverse=True)
-            place = np.searchsorted(self.keys, key)
-            known = place < len(self.keys)
-            known[known] = self.keys[place[known]] == key[known]
-            if not known.all():
-                new = where[~known]
-                self._learn(part, at[new], stop[new], key[~known])
-                place = np.searchsorted(self.keys, key)
-                if (place == len(self.keys)).any() or (self.keys[np.minimum(place, len(self.keys) - 1)] != key).any():
-                    self._learn(part, at[where], stop[where], key)  # the store was emptied: learn this chunk's pieces again
-                    place = np.searchsorted(self.keys, key)
-            size = self.size[place][back]
-            ids = self.ids[kernel.ragged(self.first[place][back], size)]
+            if len(self.spans) > KEEP:
+                self._reset()
+            before = len(self.spans)
+            piece = self.spans.number(part, at, np.append(at[1:], len(part)))
+            if len(self.spans) > before:
+                self._learn(before)
+            size = self.ends[piece + 1] - self.ends[piece]
+            ids = self.ids[kernel.ragged(self.ends[piece], size)]
             total = np.concatenate([[0], np.cumsum(size)])
             yield i, j, ids, total[np.searchsorted(at, ends)]
 
 
-
 def with_end(ids: np.ndarray, bounds: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
     """The ids with ``end`` after every text, and the new bounds."""
     return np.insert(ids, bounds[1:], end), bounds + np.arange(len(bounds))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalith.llm import audit, chat, kernel, langid, lexicon, metricjoin, neardup, packing, quality, suffixes, tokenfile, toxicity, vptree
+from catalith.llm import alignment, audit, chat, kernel, langid, lexicon, metricjoin, neardup, packing, quality, suffixes, tokenfile, toxicity, vptree
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -184,3 +184,15 @@ def chat_format(spark: SparkSession, folder: str) -> DataFrame:
     rows = chat.canonical(table(spark, folder, "conversations").select("conv_id", "turn", "role", "text"))
     probe = chat.turns_of(chat.records(spark.createDataFrame([(-7, PROBE)], "conv_id long, record string")))
     return chat.read(kernel.stored(chat.formatted(rows.unionByName(probe)), "chat"))
+
+
+def piece_tokenizer() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+@query("op11_token_alignment")
+def token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    """Groups and links of two tokenizers' ids in every document, scored over the corpus."""
+    return alignment.align(table(spark, folder, "documents"), byte_tokenizer(), piece_tokenizer())
