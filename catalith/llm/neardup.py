@@ -22,6 +22,8 @@ rows; other columns are ignored.
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -35,14 +37,15 @@ SIMILARITY = 0.8
 BANDS = 23
 ROWS = 6
 DF_LOG2 = 18
+GROUP = 48_000
 _SLICES = 64
 _PARTS = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
-_tables: dict[str, np.ndarray] = {}
 
 
 def _gamma_tables() -> tuple[np.ndarray, np.ndarray]:
     """Quantiles of Gamma(2, 1) at 65,536 places, and their logarithms."""
-    if "r" not in _tables:
+    kept = kernel.cache("neardup")
+    if not kept:
         u = (np.arange(65_536) + 0.5) / 65_536
         x = np.full(65_536, 1.7)
         low, high = np.zeros(65_536), np.full(65_536, 40.0)
@@ -50,13 +53,26 @@ def _gamma_tables() -> tuple[np.ndarray, np.ndarray]:
             x = (low + high) / 2
             over = 1 - (1 + x) * np.exp(-x) > u
             high, low = np.where(over, x, high), np.where(over, low, x)
-        _tables["r"], _tables["log"] = x.astype(np.float32), np.log(x).astype(np.float32)
-    return _tables["r"], _tables["log"]
+        kept["r"], kept["log"] = x.astype(np.float32), np.log(x).astype(np.float32)
+    return kept["r"], kept["log"]
 
 
 def _words(raw: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     starts, ends, doc = kernel.words(raw, bounds)
-    return kernel.hashes(kernel.prefix(raw), starts, ends), doc
+    return kernel.block_hashes(raw, starts, ends), doc
+
+
+def _digests(raw: np.ndarray, bounds: np.ndarray) -> list[bytes]:
+    """128-bit digest of the words of every document that has one, one space between them."""
+    starts, ends, doc = kernel.words(raw, bounds)
+    size = ends - starts
+    follows = np.zeros(len(doc), bool)
+    follows[1:] = doc[1:] == doc[:-1]
+    data = raw[kernel.ragged(starts - follows, size + follows)]  # with the blank before a word
+    at = np.cumsum(size + follows) - size - follows
+    data[at[follows]] = 32
+    text, edge = data.tobytes(), np.append(at[~follows], len(data)).tolist()
+    return [hashlib.blake2b(text[s:e], digest_size=16).digest() for s, e in zip(edge, edge[1:], strict=False)]
 
 
 def shingles(word: np.ndarray, doc: np.ndarray, idf: np.ndarray, n_docs: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -84,30 +100,52 @@ def shingles(word: np.ndarray, doc: np.ndarray, idf: np.ndarray, n_docs: int) ->
 
 
 def band_keys(doc: np.ndarray, shingle: np.ndarray, weight: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> np.ndarray:
-    """Bucket keys, one row for each document that has a shingle, one column per band."""
-    r_table, log_table = _gamma_tables()
+    """Bucket keys, one row for each document that has a shingle, one column per band.
+
+    Documents go in groups of about ``GROUP`` shingles, whose work arrays stay in the
+    processor's cache and are used again for every draw.
+    """
     first = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]]))
-    size = np.diff(np.append(first, len(doc)))
-    log_weight = np.log(weight)
+    edge = np.append(first, len(doc))
     out = np.empty((len(first), bands), np.uint64)
-    low = np.uint64(0xFFFF)
-    for band in range(bands):
-        key = np.full(len(first), band + 1, np.uint64)
+    log_weight = np.log(weight)
+    for i, j in kernel.chunks(edge, GROUP):
+        own = slice(edge[i], edge[j])
+        _draw(shingle[own], log_weight[own], edge[i : j + 1] - edge[i], out[i:j], rows)
+    return out
+
+
+def _draw(shingle: np.ndarray, log_weight: np.ndarray, edge: np.ndarray, out: np.ndarray, rows: int) -> None:
+    r_table, log_table = _gamma_tables()
+    at, size, n = edge[:-1], np.diff(edge), len(shingle)
+    x, y = np.empty((2, n), np.uint64)
+    lanes = x.view("<u2").reshape(-1, 4)
+    r, beta, level, a = np.empty((4, n), np.float32)
+    place = np.empty(n, np.int64)
+    for band in range(out.shape[1]):
+        key = np.full(len(at), band + 1, np.uint64)
         for row in range(rows):
             seed = np.uint64((0x9E3779B97F4A7C15 * (2 * (band * rows + row) + 1) + 0x632BE59BD9B4E019 * 2) & (2**64 - 1) | 1)
-            x = shingle * seed
-            x ^= x >> np.uint64(32)
-            x *= np.uint64(0xD6E8FEB86659FD93)
-            r = r_table[(x & low).astype(np.int64)]
-            beta = ((x >> np.uint64(16)) & low).astype(np.float32) * np.float32(1 / 65_536)
-            level = np.floor(log_weight / r + beta)
-            a = log_table[(x >> np.uint64(48)).astype(np.int64)] - r * (level - beta + np.float32(1))
-            least = np.minimum.reduceat(a, first)
-            hit = np.flatnonzero(a == np.repeat(least, size))
-            pick = hit[np.searchsorted(hit, first)]  # the least shingle of equal ones
+            np.multiply(shingle, seed, out=x)
+            np.right_shift(x, np.uint64(32), out=y)
+            np.bitwise_xor(x, y, out=x)
+            np.multiply(x, np.uint64(0xD6E8FEB86659FD93), out=x)
+            np.copyto(place, lanes[:, 0])
+            np.take(r_table, place, out=r, mode="clip")
+            np.multiply(lanes[:, 1], np.float32(1 / 65_536), out=beta)
+            np.divide(log_weight, r, out=level)
+            np.add(level, beta, out=level)
+            np.floor(level, out=level)
+            np.subtract(level, beta, out=beta)
+            np.add(beta, np.float32(1), out=beta)
+            np.multiply(r, beta, out=r)
+            np.copyto(place, lanes[:, 3])
+            np.take(log_table, place, out=a, mode="clip")
+            np.subtract(a, r, out=a)
+            hit = np.flatnonzero(a == np.repeat(np.minimum.reduceat(a, at), size))
+            pick = hit if len(hit) == len(at) else hit[np.searchsorted(hit, at)]  # the least shingle of equal ones
             key = kernel.mix(key * _PARTS[1] + shingle[pick] + level[pick].astype(np.int64).astype(np.uint64) * _PARTS[2])
         out[:, band] = key
-    return out
 
 
 def word_idf(docs: DataFrame, text: str = "text") -> np.ndarray:
@@ -145,18 +183,12 @@ def signatures(texts: DataFrame, idf: np.ndarray, bands: int = BANDS, rows: int
                 if not len(d):
                     continue
                 keys = band_keys(d, s, w, bands, rows)
-                first = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]]))
-                at = np.arange(len(doc)) - np.repeat(first, np.diff(np.append(first, len(doc))))
-                same = []
-                for prime in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F):
-                    power, _ = kernel.power_table(int(at.max()) + 1, prime)
-                    same.append(np.add.reduceat(word * power[at], first))
-                digest = np.stack(same, 1)
+                digest = _digests(raw[bounds[i] : bounds[j]], bounds[i : j + 1] - bounds[i])
                 here = np.unique(doc)
                 yield kernel.batch(
                     "doc_id same total keys",
                     b.column(0).take(pa.array(here + i)),
-                    kernel.blobs([x.tobytes() for x in digest]),
+                    kernel.blobs(digest),
                     np.add.reduceat(w.astype(np.float64), np.flatnonzero(np.concatenate([[True], d[1:] != d[:-1]]))),
                     pa.ListArray.from_arrays(pa.array(np.arange(0, (len(here) + 1) * bands, bands, dtype=np.int32)), pa.array(keys.view(np.int64).ravel())),
                 )
