@@ -46,14 +46,14 @@ BLOCK_DOCS = 1 << 16
 BLOCK_PAIRS = 3_000_000
 _WORDS = BLOCK_DOCS // 64
 _B_BITS = 15
-_aligners: dict[tuple[str, str], Aligner] = {}
 
 
 def aligner(first: str, second: str) -> Aligner:
     """The worker's aligner of two tokenizer files."""
-    if (first, second) not in _aligners:
-        _aligners[first, second] = Aligner(first, second)
-    return _aligners[first, second]
+    kept = kernel.cache("alignment")
+    if (first, second) not in kept:
+        kept[first, second] = Aligner(first, second)
+    return kept[first, second]
 
 
 def byte_alphabet() -> dict[str, int]:

@@ -7,6 +7,9 @@ a single longer document is one chunk of its own and is never cut.
 
 from __future__ import annotations
 
+import ctypes
+import gc
+import hashlib
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator, Sequence
@@ -25,6 +28,28 @@ _PRIME = 0x9E3779B97F4A7C15 | 1
 _powers: dict[str, np.ndarray] = {}
 
 
+_caches: dict[str, dict] = {}
+
+
+def cache(operator: str) -> dict:
+    """What an operator keeps in its worker between batches and tasks.
+
+    Workers serve one operator after the other, so when another one asks, the things
+    that the last ones kept are let go and the memory is given back.
+    """
+    others = [name for name, kept in _caches.items() if kept and name != operator]
+    if others:
+        for name in others:
+            _caches[name].clear()
+        _powers.clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim is not None:
+            trim(0)
+    return _caches.setdefault(operator, {})
+
+
 def prepared(spark: SparkSession) -> SparkSession:
     """Ships the package to the executors; bounds the Arrow batches, as texts are long."""
     ship(spark)
@@ -172,6 +197,31 @@ def prefix(raw: np.ndarray, prime: int = _PRIME) -> np.ndarray:
     return out
 
 
+def unaligned(raw: np.ndarray) -> np.ndarray:
+    """The eight bytes from every place of ``raw`` on, but for its last seven places."""
+    return np.ndarray(max(len(raw) - 7, 0), "<u8", np.ascontiguousarray(raw), strides=(1,))
+
+
+def block_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, longest: int = 256) -> np.ndarray:
+    """64-bit hash of every span, eight bytes a step, each step scrambled.
+
+    Spans of up to eight bytes have different hashes.  Unlike polynomials modulo 2**64
+    this has no texts that are known to collide.
+    """
+    word = unaligned(np.concatenate([raw, np.zeros(8, np.uint8)]))
+    size = ends - starts
+    out = size.astype(np.uint64) * np.uint64(_PRIME)
+    left, at = np.flatnonzero((size > 0) & (size <= longest)), 0
+    while len(left):
+        shift = (8 * (8 - np.minimum(size[left] - at, 8))).astype(np.uint64)
+        out[left] = mix((out[left] ^ (word[starts[left] + at] << shift)) + np.uint64(0x9E3779B97F4A7C15))
+        at += 8
+        left = left[size[left] > at]
+    for i in np.flatnonzero(size > longest).tolist():
+        out[i] = int.from_bytes(hashlib.blake2b(raw[starts[i] : ends[i]].tobytes(), digest_size=8).digest(), "little")
+    return out
+
+
 def hashes(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray, prime: int = _PRIME) -> np.ndarray:
     """64-bit hash of every span, equal for equal bytes."""
     _, inverse = power_table(len(sums), prime)
@@ -299,16 +349,13 @@ class Spans:
 
     def bytes_of(self, first: int) -> list[bytes]:
         """The spans numbered ``first`` and up."""
-        data, base = self.raw.tobytes() if not first else None, 0
-        if data is None:
-            base = int(self.first[first]) if first < len(self) else 0
-            data = self.raw[base:].tobytes()
+        base = int(self.first[first]) if first < len(self) else 0
+        data = self.raw[base:].tobytes()
         return [data[s : s + n] for s, n in zip((self.first[first:] - base).tolist(), self.size[first:].tolist(), strict=True)]
 
     def _equal(self, raw: np.ndarray, starts: np.ndarray, sizes: np.ndarray, ids: np.ndarray) -> np.ndarray:
         same = self.size[ids] == sizes
-        padded = np.concatenate([raw, np.zeros(8, np.uint8)])
-        mine, theirs = (np.ndarray(len(x) - 7, "<u8", x, strides=(1,)) for x in (padded, self.raw))
+        mine, theirs = unaligned(np.concatenate([raw, np.zeros(8, np.uint8)])), unaligned(self.raw)
         left, at = np.flatnonzero(same), 0
         while len(left):
             rest = np.minimum(sizes[left] - at, 8)
@@ -323,7 +370,7 @@ class Spans:
     def number(self, raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """The number of every span, none empty; new ones are numbered from ``len(self)`` on."""
         sizes = ends - starts
-        key, where, back = np.unique(hashes(prefix(raw), starts, ends) ^ sizes.astype(np.uint64), return_index=True, return_inverse=True)
+        key, where, back = np.unique(block_hashes(raw, starts, ends), return_index=True, return_inverse=True)
         place = np.searchsorted(self.keys, key)
         known = place < len(self.keys)
         known[known] = self.keys[place[known]] == key[known]

@@ -26,14 +26,14 @@ KEEP = 1_200_000
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 28, 29, 30, 31, 32]] = True
 _WIDE = np.array([0xC2, 0xE1, 0xE2, 0xE3], np.uint8)  # lead bytes of the wider spaces
-_encoders: dict[str, PieceEncoder] = {}
 
 
 def encoder(path: str) -> PieceEncoder:
     """The worker's encoder of a tokenizer file."""
-    if path not in _encoders:
-        _encoders[path] = PieceEncoder(path)
-    return _encoders[path]
+    kept = kernel.cache("pieces")
+    if path not in kept:
+        kept[path] = PieceEncoder(path)
+    return kept[path]
 
 
 class PieceEncoder:
