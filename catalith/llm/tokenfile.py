@@ -45,6 +45,30 @@ def _bits(x: np.ndarray) -> np.ndarray:
     return np.where(x > 0, np.floor(np.log2(np.maximum(x, 1))).astype(np.int64) + 1, 0)
 
 
+def _pack(x: np.ndarray, w: int) -> np.ndarray:
+    """Rows of 8 values of up to 16 bits, each row in ``w`` bytes; the first value lowest."""
+    x = x.astype(np.uint64).reshape(-1, 8)
+    at = (np.arange(4) * w).astype(np.uint64)
+    low, high = np.bitwise_or.reduce(x[:, :4] << at, axis=1), np.bitwise_or.reduce(x[:, 4:] << at, axis=1)
+    both = np.empty((len(x), 2), "<u8")
+    both[:, 0] = low | high << np.uint64(4 * w) if w < 16 else low
+    both[:, 1] = high >> np.uint64(64 - 4 * w)
+    return both.view(np.uint8).reshape(len(x), 16)[:, :w]
+
+
+def _unpack(packed: np.ndarray, w: int) -> np.ndarray:
+    """The values of ``_pack``, eight a row."""
+    full = np.zeros((len(packed), 16), np.uint8)
+    full[:, :w] = packed
+    low, high = full.view("<u8").T
+    at, mask = (np.arange(4) * w).astype(np.uint64), np.uint64((1 << w) - 1)
+    out = np.empty((len(packed), 8), np.uint32)
+    out[:, :4] = low[:, None] >> at & mask
+    upper = low >> np.uint64(4 * w) | high << np.uint64(64 - 4 * w) if w < 16 else high
+    out[:, 4:] = upper[:, None] >> at & mask
+    return out
+
+
 def pack_blocks(ids: np.ndarray) -> tuple[bytes, np.ndarray]:
     """The blocks of ``ids`` and their starts; the last block is filled up with its minimum."""
     n = len(ids)
@@ -70,8 +94,11 @@ def pack_blocks(ids: np.ndarray) -> tuple[bytes, np.ndarray]:
     out[starts[:-1, None] + np.arange(7)] = head
     for w in np.unique(width[width > 0]).tolist():
         own = np.flatnonzero(width == w)
-        bits = (x[own][:, :, None] >> np.arange(w, dtype=np.uint32)) & np.uint32(1)
-        packed = np.packbits(bits.astype(np.uint8).reshape(len(own), -1), axis=1, bitorder="little")
+        if w <= 16:
+            packed = _pack(x[own] & np.uint32((1 << w) - 1), w).reshape(len(own), -1)
+        else:
+            bits = (x[own][:, :, None] >> np.arange(w, dtype=np.uint32)) & np.uint32(1)
+            packed = np.packbits(bits.astype(np.uint8).reshape(len(own), -1), axis=1, bitorder="little")
         out[starts[own][:, None] + 7 + np.arange(packed.shape[1])] = packed
     row, place = np.nonzero(patched)
     rank = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
@@ -94,6 +121,9 @@ def unpack_blocks(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
     for w in np.unique(width[width > 0]).tolist():
         own = np.flatnonzero(width == w)
         packed = data[starts[own][:, None] + 7 + np.arange(w * BLOCK // 8)]
+        if w <= 16:
+            out[own] = _unpack(packed.reshape(-1, w), w).reshape(len(own), BLOCK)
+            continue
         bits = np.unpackbits(packed, axis=1, bitorder="little").reshape(len(own), BLOCK, w)
         for k in range(w):
             out[own] |= bits[:, :, k].astype(np.uint32) << np.uint32(k)
