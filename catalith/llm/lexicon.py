@@ -43,7 +43,6 @@ LONG = 256
 _FAR = np.int32(2**31 - 1)
 _BLANK = np.zeros(256, bool)
 _BLANK[[9, 10, 11, 12, 13, 32]] = True
-_loaded: dict[tuple[str, str], Encoder] = {}
 
 
 def byte_letters() -> list[str]:
@@ -300,9 +299,8 @@ class Encoder:
         self.spelled = _store([f"{t} ".encode() for t in rules.tokens])
 
     def _reset(self) -> None:
-        self.keys = np.empty(0, np.uint64)
-        self.first = np.empty(0, np.int64)
-        self.size = np.empty(0, np.int64)
+        self.spans = kernel.Spans()
+        self.ends = np.zeros(1, np.int64)
         self.ids = np.empty(0, np.int32)
 
     def encode_words(self, words: Sequence[bytes]) -> list[np.ndarray]:
@@ -327,16 +325,11 @@ class Encoder:
         single = [known[place[p[0]]] if len(p) == 1 and isinstance(p[0], bytes) else np.concatenate([known[place[w]] if isinstance(w, bytes) else np.array([w], np.int32) for w in p] or [np.empty(0, np.int32)]) for p in split]
         return np.fromiter(map(len, single), np.int64, len(single)), np.concatenate([*single, np.empty(0, np.int32)])
 
-    def _learn(self, part: np.ndarray, starts: np.ndarray, ends: np.ndarray, keys: np.ndarray) -> None:
-        if len(self.keys) + len(keys) > KEEP:
-            self._reset()
-        data = part.tobytes()
-        size, ids = self._encode_chunks([data[s:e].decode() for s, e in zip(starts.tolist(), ends.tolist(), strict=True)])
-        merged = np.concatenate([self.keys, keys])
-        order = np.argsort(merged, kind="stable")
-        first = np.concatenate([self.first, len(self.ids) + np.cumsum(size) - size])
-        self.keys, self.first, self.size = merged[order], first[order], np.concatenate([self.size, size])[order]
+    def _learn(self, first: int) -> None:
+        """Ids of the chunks numbered ``first`` and up."""
+        size, ids = self._encode_chunks([x.decode() for x in self.spans.bytes_of(first)])
         self.ids = np.concatenate([self.ids, ids.astype(np.int32)])
+        self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(size)])
 
     def encode(self, column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
         """For ranges of texts: first, last, all ids and the id bounds of each text."""
@@ -344,19 +337,14 @@ class Encoder:
         for i, j in kernel.chunks(bounds, 1_000_000):
             part, edges = raw[bounds[i] : bounds[j]], bounds[i : j + 1] - bounds[i]
             at, stop, doc = kernel.spans(~_BLANK[part], edges)
-            h = kernel.hashes(kernel.prefix(part), at, stop) ^ (stop - at).astype(np.uint64)
-            key, where, back = np.unique(h, return_index=True, return_inverse=True)
-            for new in (None, np.arange(len(key))):
-                place = np.minimum(np.searchsorted(self.keys, key), max(len(self.keys) - 1, 0))
-                missing = np.flatnonzero(self.keys[place] != key) if len(self.keys) else np.arange(len(key))
-                if not len(missing):
-                    break
-                # the second time all of them: the store was emptied in between
-                pick = missing if new is None else new
-                self._learn(part, at[where[pick]], stop[where[pick]], key[pick])
-            place = np.searchsorted(self.keys, key)
-            size = self.size[place][back]
-            ids = self.ids[kernel.ragged(self.first[place][back], size)]
+            if len(self.spans) > KEEP:
+                self._reset()
+            before = len(self.spans)
+            chunk = self.spans.number(part, at, stop)
+            if len(self.spans) > before:
+                self._learn(before)
+            size = self.ends[chunk + 1] - self.ends[chunk]
+            ids = self.ids[kernel.ragged(self.ends[chunk], size)]
             count = np.bincount(doc, size, minlength=j - i).astype(np.int64) if len(doc) else np.zeros(j - i, np.int64)
             yield i, j, ids, np.concatenate([[0], np.cumsum(count)])
 
@@ -384,57 +372,40 @@ def _joined(store: tuple[np.ndarray, np.ndarray, np.ndarray], ids: np.ndarray, b
 
 def encoder(tokenizer: str, lexicon: str) -> Encoder:
     """The worker's encoder of a tokenizer file and a lexicon file sent by Spark."""
-    key = (tokenizer, lexicon)
-    if key not in _loaded:
-        rules = next((e.rules for k, e in _loaded.items() if k[0] == tokenizer), None) or Rules(tokenizer)
-        _loaded.clear()
-        _loaded[key] = Encoder(rules, Lexicon(SparkFiles.get(lexicon)))
-    return _loaded[key]
+    kept, key = kernel.cache("lexicon"), (tokenizer, lexicon)
+    if key not in kept:
+        rules = next((e.rules for k, e in kept.items() if k[0] == tokenizer), None) or Rules(tokenizer)
+        kept.clear()
+        kept[key] = Encoder(rules, Lexicon(SparkFiles.get(lexicon)))
+    return kept[key]
 
 
 def build(docs: DataFrame, tokenizer: str, text: str = "text", words: int = WORDS) -> str:
     """Counts the words of all rows, compiles the most frequent and sends the file.
 
-    At most ``words`` words: those above the lowest count that no more words reach.
+    At most ``words`` words, the more frequent ones, ties in byte order.
     Returns the file's name among Spark's files.
     """
 
     def count(batches):
         rules = Rules(tokenizer)
-        held = np.empty(0, np.uint64)
-        total = np.empty(0, np.int64)
-        spelled: dict[int, bytes] = {}
+        held, total = kernel.Spans(), np.empty(0, np.int64)
         for b in batches:
             raw, bounds = kernel.utf8(b.column(0))
             for i, j in kernel.chunks(bounds, 4_000_000):
                 part = raw[bounds[i] : bounds[j]]
                 at, stop, _ = kernel.spans(~_BLANK[part], bounds[i : j + 1] - bounds[i])
-                h = kernel.hashes(kernel.prefix(part), at, stop)
-                key, where, n = np.unique(h, return_index=True, return_counts=True)
-                new = ~np.isin(key, held, assume_unique=True)
-                data = part.tobytes()
-                for k, s, e in zip(key[new].tolist(), at[where[new]].tolist(), stop[where[new]].tolist(), strict=True):
-                    spelled[k] = data[s:e]
-                merged, back = np.unique(np.concatenate([held, key]), return_inverse=True)
-                total = np.bincount(back, np.concatenate([total, n])).astype(np.int64)
-                held = merged
+                seen = held.number(part, at, stop)
+                total = np.bincount(seen, minlength=len(held)) + np.pad(total, (0, len(held) - len(total)))
                 if len(held) >= 500_000:
-                    yield from _spelled_out(rules, held, total, spelled)
-                    held, total = held[:0], total[:0]
-                    spelled.clear()
-        yield from _spelled_out(rules, held, total, spelled)
+                    yield from _spelled_out(rules, held, total)
+                    held, total = kernel.Spans(), np.empty(0, np.int64)
+        yield from _spelled_out(rules, held, total)
 
     source = kernel.narrow(docs, text=(text, "string")).where("text IS NOT NULL")
     counted = source.mapInArrow(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")).where("n > 1")
     counted = kernel.stored(counted, "words")
-    ladder = counted.groupBy("n").agg(F.count(F.lit(1)).alias("words")).orderBy(F.col("n").desc()).collect()
-    least, taken = None, 0
-    for r in ladder:
-        taken += r["words"]
-        if taken > words:
-            break
-        least = r["n"]
-    picked = sorted(bytes(r["word"]) for r in counted.where(F.col("n") >= least).select("word").collect()) if least is not None else []
+    picked = sorted(bytes(r["word"]) for r in counted.orderBy(F.col("n").desc(), "word").limit(words).select("word").collect())
     data = compile_lexicon(picked, Rules(tokenizer).merge(picked))
     name = f"lexicon-{uuid.uuid4().hex}.bin"
     path = os.path.join(tempfile.mkdtemp(prefix="catalith-"), name)
@@ -444,10 +415,10 @@ def build(docs: DataFrame, tokenizer: str, text: str = "text", words: int = WORD
     return name
 
 
-def _spelled_out(rules: Rules, held: np.ndarray, total: np.ndarray, spelled: dict[int, bytes]):
+def _spelled_out(rules: Rules, held: kernel.Spans, total: np.ndarray):
     counts: dict[bytes, int] = {}
-    for k, n in zip(held.tolist(), total.tolist(), strict=True):
-        for w in rules.words(spelled[k].decode()):
+    for chunk, n in zip(held.bytes_of(0), total.tolist(), strict=True):
+        for w in rules.words(chunk.decode()):
             if isinstance(w, bytes):
                 counts[w] = counts.get(w, 0) + n
     names = list(counts)
