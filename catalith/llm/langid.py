@@ -28,15 +28,15 @@ UNKNOWN = "und"
 GRAMS = 400
 _BITS = 21
 _NONE = (1 << _BITS) - 1
-_table: dict[str, np.ndarray] = {}
 
 
-def _letters() -> np.ndarray:
-    """One flag for each code point: is it a letter."""
-    if "letter" not in _table:
-        _table["letter"] = np.fromiter((chr(i).isalpha() for i in range(0x110000)), bool, 0x110000)
-        _table["place"] = np.zeros(0x110000, np.int32)
-    return _table["letter"]
+def _letters() -> tuple[np.ndarray, np.ndarray]:
+    """One flag for each code point, is it a letter, and one place to fill in."""
+    kept = kernel.cache("langid")
+    if not kept:
+        kept["letter"] = np.fromiter((chr(i).isalpha() for i in range(0x110000)), bool, 0x110000)
+        kept["place"] = np.zeros(0x110000, np.int32)
+    return kept["letter"], kept["place"]
 
 
 def _chunked(texts: list[str | None], size: int = 250_000):
@@ -51,6 +51,17 @@ def _chunked(texts: list[str | None], size: int = 250_000):
         yield first, len(texts)
 
 
+def _halves(texts: list[str | None], groups: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``gram_counts`` of fewer groups at a time; a group's texts stay together."""
+    kinds = np.unique(groups)
+    found = []
+    for some in (kinds[: len(kinds) // 2], kinds[len(kinds) // 2 :]):
+        own = np.flatnonzero(np.isin(groups, some))
+        g, k, n = gram_counts([texts[i] for i in own.tolist()], np.searchsorted(some, groups[own]))
+        found.append((some[g], k, n))
+    return tuple(np.concatenate(c) for c in zip(*found, strict=True))
+
+
 def gram_counts(texts: list[str | None], groups: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(group, gram, count) sorted by group and gram; a gram packs up to three code points.
 
@@ -59,13 +70,15 @@ def gram_counts(texts: list[str | None], groups: np.ndarray) -> tuple[np.ndarray
     lowered = [(t or "").lower() + " " for t in texts]
     sizes = np.fromiter(map(len, lowered), np.int64, len(lowered))
     code = np.frombuffer((" " + "".join(lowered)).encode("utf-32-le", "surrogatepass"), np.uint32)
-    code = np.where(_letters()[code], code, 0)
+    letter, place = _letters()
+    code = np.where(letter[code], code, 0)
     seen = np.zeros(0x110000, bool)
     seen[code] = True
     seen[0] = False
     alphabet = np.flatnonzero(seen)
     base = len(alphabet) + 2  # 0 is the edge, base - 1 stands for no letter
-    place = _table["place"]
+    if (int(groups.max(initial=0)) + 1) * base**3 >= 1 << 62:  # (group, gram) would not fit 64 bits
+        return _halves(texts, groups)
     place[alphabet] = np.arange(1, len(alphabet) + 1)
     x = place[code].astype(np.int64)
     group = np.concatenate([[0], np.repeat(groups, sizes)])

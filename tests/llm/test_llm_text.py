@@ -61,10 +61,18 @@ def test_components(spark):
 # ------------------------------------------------------------------ tokens
 
 
+def thue_morse():
+    """Two texts with equal polynomial hashes modulo 2**64, whatever the base."""
+    a, b = "a", "b"
+    for _ in range(10):
+        a, b = a + b, b + a
+    return [a, b]
+
+
 def test_pieces_equal_the_library():
     rng = np.random.default_rng(0)
     letters = list("ab 's\n\t1!é 日　가\U0001f600\x1c ") + ["<|endoftext|>"]
-    texts = ["".join(rng.choice(letters, rng.integers(0, 40))) for _ in range(1500)] + [t for _, t in ODD if t] + ["", "a\n\nb", "x\n y", " a"]
+    texts = ["".join(rng.choice(letters, rng.integers(0, 40))) for _ in range(1500)] + [t for _, t in ODD if t] + ["", "a\n\nb", "x\n y", " a", *thue_morse()]
     encoder = pieces.PieceEncoder(BYTE)
     want = [e.ids for e in encoder.tokenizer.encode_batch(texts, add_special_tokens=False)]
     for keep in (pieces.KEEP, 50):
@@ -151,7 +159,7 @@ def test_lexicon_bpe(spark):
 
     rng = np.random.default_rng(0)
     letters = list("ab 's\n\t1!é 日　가\U0001f600\x1c ΣİßAB<|>'") + ["<|endoftext|>", "the", "ing", "é"]
-    texts = ["".join(rng.choice(letters, rng.integers(0, 40))) for _ in range(400)] + ["ab" * 2_000, "x" * 3_000, *sample_texts(30)]
+    texts = ["".join(rng.choice(letters, rng.integers(0, 40))) for _ in range(400)] + ["ab" * 2_000, "x" * 3_000, *thue_morse(), *sample_texts(30)]
     rows = [*enumerate(texts), *ODD]
     docs = docs_of(spark, rows, extra=True)
     tokenizer = Tokenizer.from_file(WORD)
@@ -233,7 +241,7 @@ def test_near_duplicates(spark):
     for i in range(10):  # one word of more than a hundred changed
         w = (texts[i] + " " + texts[i + 10]).split()
         rows += [(300 + i, " ".join(w)), (100 + i, " ".join([*w[:3], "changed", *w[4:]]))]
-    rows += [(200 + i, texts[5]) for i in range(25)] + ODD
+    rows += [(200 + i, texts[5]) for i in range(25)] + ODD + [*zip((400, 401), thue_morse(), strict=True), (402, " ".join("xy"[c == "b"] for c in thue_morse()[0])), (403, "other " * 3)]
     got = {r.doc_id: r for r in neardup.classes(docs_of(spark, rows, extra=True)).collect()}
     assert set(got) == {i for i, _ in rows if i is not None}
     by_text = dict(rows)
@@ -241,6 +249,7 @@ def test_near_duplicates(spark):
         assert got[300 + i].class_id == got[100 + i].class_id and not got[300 + i].kept
     assert {got[200 + i].class_id for i in range(25)} == {5}
     assert got[906].class_id == got[907].class_id == 906
+    assert all(got[i].kept for i in (400, 401, 402, 403))
     for empty in (900, 901, 902):
         assert got[empty].class_id == empty and got[empty].kept
     for i, r in got.items():
@@ -264,6 +273,48 @@ def test_links_across_labels_are_found(spark):
     assert set(got.values()) == {0}
 
 
+def weights(text, idf):
+    """Shingles of one text with their weights, word by word."""
+    raw = np.frombuffer(text.encode(), np.uint8)
+    words = [w.encode() for w in text.split()]
+    own = [float(idf[int(kernel.block_hashes(np.frombuffer(w, np.uint8), np.zeros(1, int), np.full(1, len(w)))[0]) >> (64 - neardup.DF_LOG2)]) for w in words]
+    n = min(5, len(words))
+    found = {}
+    for i in range(len(words) - n + 1 if raw.size else 0):
+        found.setdefault(tuple(words[i : i + n]), []).append(sum(own[i : i + n]) / n)
+    return {k: v[0] * (1 + np.log(len(v))) for k, v in found.items()}
+
+
+def test_recall_against_all_pairs(spark):
+    """Classes against the weighted Jaccard similarity of every pair of texts."""
+    rng = np.random.default_rng(11)
+    words = [f"w{i}" for i in range(3000)]
+    texts = []
+    for _ in range(140):
+        base = [words[i] for i in rng.integers(0, 3000, rng.integers(60, 300))]
+        texts.append(" ".join(base))
+        for changes in rng.integers(0, 12, rng.integers(0, 4)):
+            copy = list(base)
+            for at in rng.integers(0, len(base), changes):
+                copy[at] = words[rng.integers(0, 3000)]
+            texts.append(" ".join(copy))
+    docs = docs_of(spark, list(enumerate(texts)))
+    idf = neardup.word_idf(kernel.texts_of(docs))
+    held = [weights(t, idf) for t in texts]
+    label = np.arange(len(texts))
+    links = 0
+    for i, x in enumerate(held):
+        for j, y in enumerate(held[:i]):
+            common = sum(min(v, y[k]) for k, v in x.items() if k in y)
+            if common and common / (sum(x.values()) + sum(y.values()) - common) >= 0.8:
+                links += 1
+                label[label == max(label[i], label[j])] = min(label[i], label[j])
+    got = {r.doc_id: r.class_id for r in neardup.classes(docs).collect()}
+    missed = sum(got[i] != got[int(label[i])] for i in range(len(texts)))
+    assert links > 40 and missed <= 0.02 * links
+    assert all(label[i] == label[got[i]] for i in got)
+
+
 def test_consistent_sampling_estimates_similarity():
     rng = np.random.default_rng(2)
     common, own = rng.integers(0, 2**63, 800).astype(np.uint64), rng.integers(0, 2**63, (2, 200)).astype(np.uint64)
@@ -342,6 +393,16 @@ def test_language(spark):
     assert {900, 901, 902, 908}.isdisjoint({r.doc_id for r in kept.collect()}) and "place" in kept.columns
 
 
+def test_many_letters_in_many_texts():
+    """More (text, gram) numbers than fit 64 bits."""
+    letters = [chr(i) for i in range(0x4E00, 0x4E00 + 60_000) if chr(i).isalpha()]
+    texts = ["".join(letters[i : i + 3]) for i in range(0, len(letters) - 3, 2)] + ["ab"] * 40_000
+    g, k, n = langid.gram_counts(texts, np.arange(len(texts)))
+    assert len(np.unique(g)) == len(texts) and (np.diff(g) >= 0).all() and n.min() > 0
+    few = langid.gram_counts(texts[:50], np.arange(50))
+    assert all((x[g < 50] == y).all() for x, y in zip((g, k, n), few, strict=True))
+
+
 def test_out_of_place_distance_is_exact():
     texts = ["abab ba", "aab", None, "12"]
     profiles = {"x": langid.gram_counts(["abba"], np.zeros(1, np.int64))[1][:5]}
