@@ -14,8 +14,7 @@ HITS = (
     EDGES
     + f""", VT AS (SELECT e.* FROM V_emb e JOIN V_tab t ON t.table_id = e.vec_id WHERE coalesce(t.is_valid, true)),
 TH AS (SELECT qid, vec_id AS table_id, rank FROM ({ranked(5, 'VT e, V_req r')}) AS x),
-FC AS (SELECT table_id, min(column_id) AS column_id FROM V_col GROUP BY table_id),
-VC AS (SELECT c.column_id AS vec_id, f.table_id, e.embedding FROM FC f JOIN V_col c ON c.column_id = f.column_id JOIN V_emb e ON e.vec_id = f.table_id JOIN V_tab t ON t.table_id = f.table_id WHERE coalesce(t.is_valid, true) AND coalesce(c.is_valid, true)),
+VC AS (SELECT c.column_id AS vec_id, c.table_id, e.embedding FROM V_col c JOIN V_emb e ON e.vec_id = c.table_id JOIN V_tab t ON t.table_id = c.table_id WHERE coalesce(t.is_valid, true) AND coalesce(c.is_valid, true)),
 CH AS (SELECT qid, table_id FROM ({ranked(10, 'VC e, V_req r', extra=', e.table_id')}) AS x),
 MB AS (SELECT qid, table_id FROM TH UNION SELECT qid, table_id FROM CH),
 H AS (SELECT TH.qid, TH.rank, t.table_id, t.schema_name, coalesce(t.original_name, t.name) AS table_name, t.description FROM TH JOIN V_tab t ON t.table_id = TH.table_id),

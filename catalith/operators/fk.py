@@ -273,9 +273,9 @@ def related_tables(
     if loaded is not None:
         pairs = loaded.select("seed_table_id", "related_table_id").distinct().withColumn("there", F.lit(1))
         marked = shown.join(pairs, ["seed_table_id", "related_table_id"], "left")
-        # one pass: every row carries how many of its seed's tables are loaded
-        marked = marked.withColumn("excluded", F.count("there").over(Window.partitionBy("seed_table_id")))
-        shown = marked.where(F.col("there").isNull()).drop("there")
+        counts = marked.groupBy("seed_table_id").agg(F.count("there").alias("excluded"))
+        left_over = marked.where(F.col("there").isNull()).drop("there")
+        shown = left_over.join(counts, "seed_table_id").select(*shown.columns, "excluded")
     order = [F.col("score").desc(), F.col("related_table_id").asc()]
     top = top_per_group(shown, ["seed_table_id"], order, limit)
     return top if loaded is not None else top.withColumn("excluded", F.lit(0))

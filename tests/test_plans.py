@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from catalith.operators.usage import containing
-from catalith.plans.nesting import attach, nest
+from catalith.plans.nesting import _in_parts, attach, nest
 from catalith.plans.ranking import first_per_key, frequencies, newest_per_key, top_per_group
 
 
@@ -23,6 +23,36 @@ def test_hot_parent_is_split_and_stays_whole(spark):
     assert out["none"] == (0, 0) and out["k1"][0] == 0
 
 
+def test_repeated_items_and_missing_keys_are_split(spark):
+    rows = [(None, 7)] * 260 + [(None, i) for i in range(90)] + [("a", None)] * 3 + [("b", i % 40) for i in range(200)]
+    child = spark.createDataFrame(rows, "k string, v int").repartition(4)
+    got = sorted(nest(child, ["k"], ["v"], "vs", max_items=50).collect(), key=lambda r: (r["k"] or "", r["part"]))
+    order = lambda vs: sorted(vs, key=lambda v: (v is not None, v))
+    for key in (None, "a", "b"):
+        parts = [r for r in got if r["k"] == key]
+        assert [r["part"] for r in parts] == list(range(len(parts))) and all(len(r["vs"]) == 50 for r in parts[:-1])
+        assert [x["v"] for r in parts for x in r["vs"]] == order(v for k, v in rows if k == key)
+    unique = nest(child, ["k"], ["v"], "vs", max_items=50, distinct=True).where("k IS NULL").collect()
+    assert sorted(len(r["vs"]) for r in unique) == [40, 50]
+
+
+def test_a_third_of_all_rows_spreads_over_tasks(spark):
+    """The rows of the hot parent are numbered in many tasks, and no window is over raw rows of a parent."""
+    child = spark.range(30_000).selectExpr("CASE WHEN id % 3 = 0 THEN -1 ELSE id % 5000 END AS k", "id AS v")
+    once = child.select("k", F.struct("v").alias("__item"), F.lit(1).cast("long").alias("__times"))
+    large = spark.createDataFrame([(-1, 10_000)], "k long, __kinds long")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        placed = _in_parts(once, large, ["k"], 1000).withColumn("task", F.spark_partition_id())
+        tasks = [r["count"] for r in placed.groupBy("task").count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(tasks) >= 6 and max(tasks) < 5000
+    nested = nest(child, ["k"], ["v"], "vs", max_items=1000)
+    rows = {(r["k"], r["part"]): [x["v"] for x in r["vs"]] for r in nested.where("k = -1").collect()}
+    assert [v for part in range(10) for v in rows[-1, part]] == list(range(0, 30_000, 3))
+
+
 def test_two_lists_do_not_multiply_parts(spark):
     child = spark.range(130).selectExpr("'p' AS k", "id AS v")
     more = spark.range(70).selectExpr("'p' AS k", "id AS v")
