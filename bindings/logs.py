@@ -114,26 +114,27 @@ def scratch(b: Bound) -> str:
 
 
 def parted(b: Bound, table: str, part: str, root: str):
-    """A stream of ``table`` cut by the expression ``part`` into files, one per trigger.
+    """A stream of ``table`` cut by the expression ``part``, each part written in parallel.
 
     The greatest part is written first and comes again at the end, so the stream is out
     of order and delivers events twice.
     """
     rows = getattr(b, table)
     numbered = rows.withColumn("part", F.expr(part))
-    for k in (3, 2, 1, 0, 3):
-        numbered.where(F.col("part") == k).drop("part").coalesce(1).write.mode("append").parquet(f"{root}/{table}")
-    return streaming.read_event_files(b.spark, f"{root}/{table}", rows.schema, "*.parquet", max_files=1)
+    for at, k in enumerate((3, 2, 1, 0, 3)):
+        numbered.where(F.col("part") == k).drop("part").write.parquet(f"{root}/{table}/{at}")
+    files = b.spark.read.parquet(*[f"{root}/{table}/{at}" for at in range(5)]).inputFiles()
+    return streaming.read_event_files(b.spark, f"{root}/{table}", rows.schema, "*.parquet", max_files=max(1, -(-len(files) // 5)))
 
 
 @query("stream_query_log_fold", FOLD_SQL)
 def stream_query_log_fold(b: Bound):
-    """The log in four files, newest first, one of them twice, one file per trigger."""
+    """The log in four parts, newest first, one of them twice, one part per trigger."""
     root = scratch(b)
     week = "least(3, CAST(floor((dayofmonth(ts) - 1) / 8) AS INT))"
     events = b.spark.sql(VIEWS["V_log"].replace("FROM events", "FROM {events}"), events=parted(b, "events", week, root))
-    streaming.start_fold(events, f"{root}/store", f"{root}/checkpoint", available_now=True, buckets=8).awaitTermination()
-    return shown(streaming.read_folded(b.spark, f"{root}/store", streaming.folded_schema(b.V_log)))
+    streaming.start_fold(events, f"{root}/checkpoint", available_now=True).awaitTermination()
+    return shown(streaming.read_folded(b.spark, f"{root}/checkpoint", streaming.folded_schema(b.V_log)))
 
 
 @query(
@@ -142,9 +143,9 @@ def stream_query_log_fold(b: Bound):
     + "SELECT qt.table_id, count(*) AS usage_count FROM V_qt qt JOIN V_query q ON q.query_id = qt.query_id WHERE q.status = 'completed' GROUP BY qt.table_id",
 )
 def stream_table_usage(b: Bound):
-    """Uses in four files, one of them twice, one file per trigger."""
+    """Uses in four parts, one of them twice, one part per trigger."""
     root = scratch(b)
     lines = parted(b, "lineitem", "CAST(l_orderkey % 4 AS INT)", root).selectExpr("l_orderkey AS query_id", "l_partkey AS table_id")
     uses = lines.join(b.V_query.select("query_id", "status"), "query_id")
-    streaming.start_usage_counts(uses, f"{root}/store", f"{root}/checkpoint", available_now=True, buckets=8).awaitTermination()
-    return streaming.read_counts(b.spark, f"{root}/store")
+    streaming.start_usage_counts(uses, f"{root}/checkpoint", available_now=True).awaitTermination()
+    return streaming.read_counts(b.spark, f"{root}/checkpoint")

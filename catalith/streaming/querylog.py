@@ -1,70 +1,45 @@
-"""Streaming query-log fold and usage counts.
+"""Streaming query-log fold and usage counts in Spark's state store.
 
-No event is ever dropped for being late.  Both streams keep their state in Parquet
-stores partitioned by a bucket of the key, and a micro-batch reads and writes only the
-buckets that it touches:
+No event is ever dropped for being late, and a micro-batch costs what its own events
+cost, however many batches came before:
 
-* an append-only record of what was seen (events, or pairs), which duplicates are
-  checked against, whenever they arrive;
-* the state of each key, where a batch writes new versions of its buckets and readers
-  take the newest version of each.
+* the fold keeps the events of a query in segments of bounded size, in time order, with
+  the state of the fold before each.  A new event is put into its segment, and the fold
+  goes on from there until a segment starts from the state that it had before; for an
+  event in time order that is the last segment alone.  One segment at a time is in memory;
+* the counts keep every (query, table) pair that was seen, spread by the pair, and one
+  number for each table, which batches add to after a partial aggregation.
 
-A batch writes under its own number and reads lower numbers only, so a batch replayed
-after a failure writes the same again.
+Results are read from the state of the last committed batch.
 """
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from bisect import bisect_right
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.errors import PySparkException
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StatefulProcessor
 
-from catalith.functions.values import epoch_millis
-from catalith.operators.querylog import query_log_fold
+from catalith.operators.querylog import CONTEXT, EPSILON, INSERTED, prepared, query_log_fold
 
-BUCKETS = 64
+SEGMENT = 512
+_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+_ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_LONG = T.LongType()
+# An event in the state: these fields, then the columns that go with it.
+_EVENT = T.StructType([T.StructField(n, k) for n, k in zip("ms seq s n t m brings holds score".split(), (_LONG, _LONG, T.IntegerType(), _LONG, T.DoubleType(), _LONG, T.IntegerType(), T.IntegerType(), T.DoubleType()), strict=True)])
+_WIDTH = len(_EVENT)
 
 
 def read_event_files(spark: SparkSession, folder: str, schema, pattern: str = "*", max_files: int = 1_000) -> DataFrame:
-    """File stream of event parquet files."""
+    """File stream of event parquet files, under sub-folders too."""
     reader = spark.readStream.schema(schema).option("pathGlobFilter", pattern).option("maxFilesPerTrigger", max_files)
-    return reader.parquet(folder)
-
-
-def _bucket(key: str, buckets: int) -> Column:
-    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
-
-
-class Store:
-    """Parquet rows under ``bucket=../batch=..``; ``batch`` is the number of the writer."""
-
-    def __init__(self, spark: SparkSession, path: str, schema: T.StructType):
-        self.spark, self.path = spark, path
-        self.schema = T.StructType([*schema.fields, T.StructField("bucket", T.IntegerType()), T.StructField("batch", T.LongType())])
-
-    def append(self, rows: DataFrame, batch: int) -> None:
-        """Write ``rows`` (with their ``bucket``) under ``batch``, in place of an earlier attempt."""
-        writer = rows.withColumn("batch", F.lit(batch).cast("long")).write.mode("overwrite")
-        writer.option("partitionOverwriteMode", "dynamic").partitionBy("bucket", "batch").parquet(self.path)
-
-    def read(self, before: int | None = None, touched: DataFrame | None = None) -> DataFrame:
-        """Rows of batches below ``before``, in the buckets of ``touched``."""
-        try:
-            rows = self.spark.read.schema(self.schema).parquet(self.path)
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return self.spark.createDataFrame([], self.schema)  # nothing was written yet
-        if before is not None:
-            rows = rows.where(F.col("batch") < before)
-        return rows if touched is None else rows.join(touched.select("bucket").distinct(), "bucket", "left_semi")
-
-    def newest(self, before: int | None = None, touched: DataFrame | None = None) -> DataFrame:
-        """The newest version of every bucket."""
-        rows = self.read(before, touched)
-        last = rows.groupBy("bucket").agg(F.max("batch").alias("batch"))
-        return rows.join(last, ["bucket", "batch"], "left_semi")
+    return reader.option("recursiveFileLookup", True).parquet(folder)
 
 
 def folded_schema(events: DataFrame) -> T.StructType:
@@ -73,78 +48,245 @@ def folded_schema(events: DataFrame) -> T.StructType:
     return query_log_fold(empty).schema
 
 
-def fold_batch(store: str, buckets: int = BUCKETS):
-    """``foreachBatch`` function that folds every micro-batch into the store.
-
-    A query whose new events all come after those seen goes on from its state.  A
-    query with a late event is folded again from all its events, so the result is the
-    fold in time order whatever the order of arrival.
-    """
-
-    def run(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        new = batch.dropDuplicates(["query_id", "seq"]).withColumn("bucket", _bucket("query_id", buckets))
-        events = Store(spark, f"{store}/events", batch.schema)
-        state = Store(spark, f"{store}/state", folded_schema(batch))
-        seen = events.read(batch_id, new)
-        events.append(new.join(seen.select("bucket", "query_id", "seq"), ["bucket", "query_id", "seq"], "left_anti"), batch_id)
-        new = events.read(batch_id + 1).where(F.col("batch") == batch_id)
-        current = state.newest(batch_id, new).drop("batch")
-        millis = epoch_millis("ts", dict(batch.dtypes)["ts"])
-        first = new.groupBy("query_id").agg(F.min(millis).alias("first_ms"))
-        late = current.join(first, "query_id").where(F.col("first_ms") <= F.col("last_seen_ms")).select("query_id")
-        on_time = new.join(late, "query_id", "left_anti")
-        again = seen.drop("batch").unionByName(new.drop("batch")).join(late, "query_id", "left_semi")
-        kept = current.drop("bucket").join(late, "query_id", "left_anti")
-        folded = query_log_fold(on_time.drop("bucket", "batch"), kept).unionByName(query_log_fold(again.drop("bucket")))
-        state.append(folded.withColumn("bucket", _bucket("query_id", buckets)), batch_id)
-
-    return run
-
-
-def start_fold(events: DataFrame, store: str, checkpoint: str, available_now: bool = False, buckets: int = BUCKETS):
+def _flat(events: DataFrame) -> DataFrame:
+    """Prepared events with the fields of the state."""
+    ready = prepared(events)
+    own = ["ms", "seq", *[F.col(f"rank.{f}").alias(f) for f in ("s", "n", "t", "m")], "brings", "holds", "score"]
+    carried = [c for c in ready.columns if c not in ("query_id", "ms", "seq", "rank", "brings", "holds", "score")]
+    typed = [F.col(f.name).cast(f.dataType).alias(f.name) for f in _EVENT]
+    return ready.select("query_id", *own, *carried).select("query_id", *typed, *carried)
+
+
+class QueryFold(StatefulProcessor):
+    """The fold of one query; ``columns`` go with an event, ``result`` is the row of a query."""
+
+    def __init__(self, columns: T.StructType, result: T.StructType, segment: int = SEGMENT):
+        self.columns, self.result, self.size = columns, result, segment
+        self.names = columns.names
+
+    def init(self, handle) -> None:
+        event = T.StructType([*_EVENT.fields, *self.columns.fields])
+        place = T.StructType(_EVENT.fields[:2])
+        self.index = handle.getValueState("index", T.StructType([T.StructField("starts", T.ArrayType(place))]))
+        self.events = handle.getMapState("events", place, T.StructType([T.StructField("rows", T.ArrayType(event))]))
+        self.before = handle.getMapState("before", place, T.StructType([T.StructField("core", event), T.StructField("context", event)]))
+        self.counts = handle.getValueState("counts", "seen_count long")
+        rest = [f for f in self.result.fields if f.name != "query_id"]
+        self.row = handle.getValueState("row", T.StructType(rest))
+
+    # -- segments
+
+    def _rows(self, start: tuple) -> list[tuple]:
+        return [tuple(e) for e in self.events.getValue(start)[0]]
+
+    def _insert(self, starts: list[tuple], new: list[tuple]) -> tuple[tuple | None, int]:
+        """Put sorted events into their segments: the first segment changed, and how many are new."""
+        first, added, at = None, 0, 0
+        while at < len(new):
+            if not starts:
+                starts.append(new[0][:2])
+                held: list[tuple] = []
+                place = 0
+            else:
+                place = max(bisect_right(starts, new[at][:2]) - 1, 0)
+                held = self._rows(starts[place])
+            bound = starts[place + 1] if place + 1 < len(starts) else None
+            known, fresh = {e[:2] for e in held}, []
+            while at < len(new) and (bound is None or new[at][:2] < bound):
+                if new[at][:2] not in known:
+                    known.add(new[at][:2])
+                    fresh.append(new[at])
+                at += 1
+            if not fresh:
+                continue
+            added += len(fresh)
+            rows = sorted([*held, *fresh], key=lambda e: e[:2])
+            old = starts.pop(place)
+            if held and rows[0][:2] != old:
+                self.events.removeKey(old)
+                self._forget(old)
+            cuts = [rows[i : i + self.size] for i in range(0, len(rows), self.size)]
+            for i, part in enumerate(cuts):
+                starts.insert(place + i, part[0][:2])
+                self.events.updateValue(part[0][:2], (part,))
+                if i or part[0][:2] != old:
+                    self._forget(part[0][:2])
+            self._touched.update(p[0][:2] for p in cuts)
+            lowest = cuts[0][0][:2]
+            first = lowest if first is None else min(first, lowest)
+        return first, added
+
+    def _forget(self, start: tuple) -> None:
+        if self.before.containsKey(start):
+            self.before.removeKey(start)
+
+    def _state_at(self, start: tuple) -> tuple | None:
+        found = self.before.getValue(start) if self.before.containsKey(start) else None
+        return found and (tuple(found[0]), tuple(found[1]))
+
+    def _refold(self, starts: list[tuple], first: tuple) -> tuple | None:
+        """Fold from the segment before ``first`` on; the last state, or None if it stays as it was."""
+        at = starts.index(first)
+        while at and self._state_at(starts[at]) is None:
+            at -= 1
+        state = self._state_at(starts[at]) if at else None
+        while at < len(starts):
+            for e in self._rows(starts[at]):
+                state = _advanced(state, e)
+            self._touched.discard(starts[at])
+            at += 1
+            if at < len(starts):
+                if self._state_at(starts[at]) == state and starts[at] not in self._touched:
+                    later = [s for s in starts[at:] if s in self._touched]
+                    if not later:
+                        return None
+                    at = starts.index(later[0])
+                    state = self._state_at(starts[at])
+                    continue
+                self.before.updateValue(starts[at], state)
+        return state
+
+    # -- rows
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        starts = [tuple(s) for s in self.index.get()[0]] if self.index.exists() else []
+        self._touched: set[tuple] = set()
+        added, chunk, firsts = 0, [], []
+
+        def put():
+            nonlocal added
+            first, n = self._insert(starts, sorted(chunk, key=lambda e: e[:2]))
+            chunk.clear()
+            added += n
+            if first is not None:
+                firsts.append(first)
+
+        for r in rows:
+            chunk.append(tuple(r[1:]))
+            if len(chunk) >= 8 * self.size:
+                put()
+        put()
+        if not added:
+            return
+        self.index.update((starts,))
+        total = added + (self.counts.get()[0] if self.counts.exists() else 0)
+        self.counts.update((total,))
+        lowest = starts[max(bisect_right(starts, min(firsts)) - 1, 0)]
+        state = self._refold(starts, lowest)
+        if state is None:
+            row = self.row.get()
+            state = self._events_of(row)
+        out = self._row(state, starts, total)
+        self.row.update(out)
+        yield Row(*["query_id", *[f.name for f in self.result.fields if f.name != "query_id"]])(key[0], *out)
+
+    def _events_of(self, row) -> tuple:
+        """The core and context events of a stored row."""
+        found = []
+        for name in ("core", "context"):
+            place = getattr(row, name) if hasattr(row, name) else row[[f.name for f in self.result.fields if f.name != "query_id"].index(name)]
+            starts = [tuple(s) for s in self.index.get()[0]]
+            own = self._rows(starts[max(bisect_right(starts, (place[0], place[1])) - 1, 0)])
+            found.append(next(e for e in own if e[:2] == (place[0], place[1])))
+        return tuple(found)
+
+    def _row(self, state: tuple, starts: list[tuple], total: int) -> tuple:
+        core, context = state
+        first, last = self._rows(starts[0])[0], self._rows(starts[-1])[-1]
+        value = {"core": _struct(core), "context": _struct(context), "seen_count": total, "created_ms": first[0], "last_seen_ms": last[0]}
+        for name, event in [(n, context if n in CONTEXT else first if n in INSERTED else core) for n in self.names]:
+            value[name] = event[_WIDTH + self.names.index(name)]
+        return tuple(value[f.name] for f in self.result.fields if f.name != "query_id")
+
+    def close(self) -> None:
+        pass
+
+
+def _struct(event: tuple) -> tuple:
+    ms, seq, s, n, t, m, brings, holds, score = event[:_WIDTH]
+    return ms, seq, (s, n, t, m), brings, holds, score
+
+
+def _advanced(state: tuple | None, event: tuple) -> tuple:
+    """The (core, context) events after ``event``; the rules of the batch fold."""
+    if state is None:
+        return event, event
+    core, context = state
+    if event[2:6] < core[2:6] or event[6] & ~core[7]:
+        core = event
+    if event[8] > context[8] + EPSILON or (event[8] >= context[8] and event[0] > context[0]):
+        context = event
+    return core, context
+
+
+@contextmanager
+def _rocks(spark: SparkSession):
+    """The state store that keyed state needs, for queries started inside."""
+    old = spark.conf.get(_PROVIDER, None)
+    spark.conf.set(_PROVIDER, _ROCKS)
+    try:
+        yield
+    finally:
+        spark.conf.unset(_PROVIDER) if old is None else spark.conf.set(_PROVIDER, old)
+
+
+def _start(rows: DataFrame, checkpoint: str, available_now: bool):
+    writer = rows.writeStream.outputMode("update").format("noop").option("checkpointLocation", checkpoint)
+    with _rocks(rows.sparkSession):
+        return (writer.trigger(availableNow=True) if available_now else writer).start()
+
+
+def folded(events: DataFrame, segment: int = SEGMENT) -> DataFrame:
+    """The stream of rows of ``query_log_fold``, a new one whenever a query has new events."""
+    flat, result = _flat(events), folded_schema(events)
+    columns = T.StructType([f for f in flat.schema.fields if f.name != "query_id" and f.name not in _EVENT.names])
+    return flat.groupBy("query_id").transformWithState(QueryFold(columns, result, segment), result, "update", "None")
+
+
+def start_fold(events: DataFrame, checkpoint: str, available_now: bool = False, segment: int = SEGMENT):
     """Start the fold; ``events`` has the columns of the batch operator.
 
-    An event is one (query, sequence) and counts once, however often and late it is
+    An event is one (query, time, sequence) and counts once, however often and late it is
     delivered.
     """
-    writer = events.writeStream.foreachBatch(fold_batch(store, buckets)).option("checkpointLocation", checkpoint)
-    return (writer.trigger(availableNow=True) if available_now else writer).start()
+    return _start(folded(events, segment), checkpoint, available_now)
 
 
-def read_folded(spark: SparkSession, store: str, schema: T.StructType) -> DataFrame:
-    """The folded queries; ``schema`` as of ``folded_schema``, so a stream without input gives no rows."""
-    return Store(spark, f"{store}/state", schema).newest().drop("bucket", "batch")
+def _state(spark: SparkSession, checkpoint: str, **options: str) -> DataFrame | None:
+    """A state of the last committed batch; None before the first one."""
+    try:
+        return spark.read.format("statestore").options(**options).load(checkpoint)
+    except PySparkException as error:
+        if "STDS_" not in str(error.getCondition() or error):
+            raise
+        return None
 
 
-PAIRS = T.StructType([T.StructField("table_id", T.LongType()), T.StructField("query_id", T.LongType())])
-COUNTS = T.StructType([T.StructField("table_id", T.LongType()), T.StructField("usage_count", T.LongType())])
+def read_folded(spark: SparkSession, checkpoint: str, schema: T.StructType) -> DataFrame:
+    """The folded queries; ``schema`` as of ``folded_schema``, so a stream without input gives no rows."""
+    found = _state(spark, checkpoint, stateVarName="row")
+    if found is None:
+        return spark.createDataFrame([], schema)
+    return found.select("key.query_id", "value.*").select(*schema.names)
 
 
-def count_batch(store: str, buckets: int = BUCKETS):
-    """``foreachBatch`` function that adds the new (query, table) pairs to the counts."""
+COUNTS = T.StructType([T.StructField("table_id", _LONG), T.StructField("usage_count", _LONG)])
 
-    def run(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        done = batch.where(F.col("status") == "completed").select(*[F.col(f.name).cast(f.dataType) for f in PAIRS])
-        new = done.distinct().withColumn("bucket", _bucket("table_id", buckets))
-        pairs, counts = Store(spark, f"{store}/pairs", PAIRS), Store(spark, f"{store}/counts", COUNTS)
-        pairs.append(new.join(pairs.read(batch_id, new), ["bucket", "table_id", "query_id"], "left_anti"), batch_id)
-        new = pairs.read(batch_id + 1).where(F.col("batch") == batch_id)
-        added = new.groupBy("table_id").agg(F.count(F.lit(1)).alias("usage_count"))
-        current = counts.newest(batch_id, new).select("table_id", "usage_count")
-        total = current.unionByName(added).groupBy("table_id").agg(F.sum("usage_count").alias("usage_count"))
-        counts.append(total.withColumn("bucket", _bucket("table_id", buckets)), batch_id)
 
-    return run
+def usage_counts(uses: DataFrame) -> DataFrame:
+    """The stream of (table_id, usage_count); a (query, table) pair counts once, ever."""
+    done = uses.where(F.col("status") == "completed").select(F.col("table_id").cast("long"), F.col("query_id").cast("long"))
+    return done.dropDuplicates(["table_id", "query_id"]).groupBy("table_id").agg(F.count(F.lit(1)).alias("usage_count"))
 
 
-def start_usage_counts(uses: DataFrame, store: str, checkpoint: str, available_now: bool = False, buckets: int = BUCKETS):
-    """Completed-query count per table of ``uses(query_id, table_id, status)``; a pair counts once, ever."""
-    writer = uses.writeStream.foreachBatch(count_batch(store, buckets)).option("checkpointLocation", checkpoint)
-    return (writer.trigger(availableNow=True) if available_now else writer).start()
+def start_usage_counts(uses: DataFrame, checkpoint: str, available_now: bool = False):
+    """Completed-query count per table of ``uses(query_id, table_id, status)``."""
+    return _start(usage_counts(uses), checkpoint, available_now)
 
 
-def read_counts(spark: SparkSession, store: str) -> DataFrame:
+def read_counts(spark: SparkSession, checkpoint: str) -> DataFrame:
     """(table_id, usage_count); empty for a stream that had no input yet."""
-    return Store(spark, f"{store}/counts", COUNTS).newest().select("table_id", "usage_count")
+    found = _state(spark, checkpoint, operatorId="0")
+    if found is None:
+        return spark.createDataFrame([], COUNTS)
+    return found.select("key.table_id", F.col("value.count").alias("usage_count"))
