@@ -11,7 +11,7 @@ from bindings.views import Bound, duck
 from catalith.operators import graph, lineage, paths
 from catalith.operators import merge as M
 from catalith.plans.ranking import frequencies
-from catalith.sources import dumps
+from catalith.sources import arrays, dumps
 
 VE = ("V_node", "V_edge")
 
@@ -37,6 +37,17 @@ def graph_nodes_from_dump(b: Bound):
     return nodes.select("id", F.element_at("labels", -1).alias("label"), F.col("props")["name"].alias("name"))
 
 
+@query("graph_dump_array", duck(*VE) + "SELECT id, label, name, CAST(length(name) AS BIGINT) AS size FROM V_node")
+def graph_dump_array(b: Bound):
+    """Nodes written as array files and read in byte ranges, their properties with types."""
+    path = f"{scratch(b)}/nodes"
+    value = "to_json(named_struct('id', id, 'labels', array(label), 'properties', named_struct('name', name, 'note', concat('}{\"[', name, '\\\\'), 'size', length(name)))) AS value"
+    arrays.write_array(b.V_node.selectExpr(value), path)
+    nodes = dumps.typed_nodes(arrays.read_array(b.spark, path))
+    at = lambda name, kind: F.try_variant_get("props", f"$.{name}", kind).alias(name)
+    return nodes.select("id", F.col("labels")[0].alias("label"), at("name", "string"), at("size", "bigint"))
+
+
 @query("graph_edges_from_dump", duck(*VE) + "SELECT src, dst, type FROM V_edge")
 def graph_edges_from_dump(b: Bound):
     dumped = b.V_edge.selectExpr(
@@ -361,25 +372,47 @@ def model_field_links(b: Bound):
     return rows.selectExpr("id", "linkType AS link_type", "featureName AS feature", "lag", "grangerPValue AS p_value")
 
 
+# Tables with a list of measures, which is left out where it is as long as a vector.
+PROFILE = "CASE WHEN table_id % 3 = 0 THEN sequence(1, 100 + table_id % 60) END"
+
+
 @query(
     "graph_export",
     duck(*CAT)
     + EDGES
-    + """SELECT 'node' AS part, CAST(table_id AS VARCHAR) AS key, 'Analyzer_Table' AS kind, name AS detail FROM V_tab
-UNION ALL SELECT 'node', concat('col:', CAST(column_id AS VARCHAR)), 'Analyzer_Column', name FROM V_col
-UNION ALL SELECT 'relationship', concat('hc:', CAST(table_id AS VARCHAR), ':', CAST(column_id AS VARCHAR)), 'HAS_COLUMN', concat(CAST(table_id AS VARCHAR), '>col:', CAST(column_id AS VARCHAR)) FROM V_col
-UNION ALL SELECT 'relationship', concat('rel:', CAST(from_column_id AS VARCHAR), '-', CAST(to_column_id AS VARCHAR)), 'FK_TO_TABLE', concat(CAST(from_table_id AS VARCHAR), '>', CAST(to_table_id AS VARCHAR)) FROM E""",
+    + f""", P AS (SELECT *, len({PROFILE.replace("sequence(1, 100 + table_id % 60)", "range(100 + table_id % 60)")}) AS n FROM V_tab)
+SELECT 'node' AS part, CAST(table_id AS VARCHAR) AS key, 'Analyzer_Table' AS kind, name, concat_ws('|', db, schema_name, original_name, coalesce(description, '-'), CASE WHEN is_valid THEN 1 WHEN NOT is_valid THEN 0 END) AS detail, CASE WHEN n < 128 THEN CAST(n * (n + 1) // 2 AS BIGINT) END AS total FROM P
+UNION ALL SELECT 'node', concat('col:', CAST(column_id AS VARCHAR)), 'Analyzer_Column', name, concat_ws('|', dtype, CASE WHEN nullable THEN 1 ELSE 0 END, CASE WHEN is_primary_key THEN 1 ELSE 0 END), NULL FROM V_col
+UNION ALL SELECT 'relationship', concat('hc:', CAST(table_id AS VARCHAR), ':', CAST(column_id AS VARCHAR)), 'HAS_COLUMN', NULL, concat(CAST(table_id AS VARCHAR), '>col:', CAST(column_id AS VARCHAR)), NULL FROM V_col
+UNION ALL SELECT 'relationship', concat('rel:', CAST(from_column_id AS VARCHAR), '-', CAST(to_column_id AS VARCHAR)), 'FK_TO_TABLE', NULL, concat(CAST(from_table_id AS VARCHAR), '>', CAST(to_table_id AS VARCHAR), ':', from_column, '>', to_column), NULL FROM E""",
 )
 def graph_export(b: Bound):
+    """All nodes and relationships with typed properties; vectors and lists as long as one are left out."""
     rels = edges(b).selectExpr(
         "concat(from_column_id, '-', to_column_id) AS rel_id", "from_table_id", "to_table_id", "'FK_TO_TABLE' AS rel_type",
         "from_column AS source_column", "to_column AS target_column",
     )
-    nodes, relationships = graph.graph_export(b.V_tab, b.V_col, rels)
-    left = nodes.selectExpr("'node' AS part", "node_id AS key", "label AS kind", "get_json_object(properties, '$.name') AS detail")
-    return left.unionByName(
-        relationships.selectExpr("'relationship' AS part", "relationship_id AS key", "type AS kind", "concat(start_id, '>', end_id) AS detail")
+    tables = b.V_tab.withColumn("profile", F.expr(PROFILE)).withColumn("Vector", F.array(F.lit(1.0)))
+    nodes, relationships = graph.graph_export(tables, b.V_col, rels)
+
+    def at(name: str, kind: str):
+        return F.try_variant_get("properties", f"$.{name}", kind)
+
+    flag = lambda c: at(c, "boolean").cast("int").cast("string")
+    of_table = F.concat_ws("|", at("db", "string"), at("schema_name", "string"), at("original_name", "string"), F.coalesce(at("description", "string"), F.lit("-")), flag("is_valid"))
+    of_column = F.concat_ws("|", at("dtype", "string"), flag("nullable"), flag("is_primary_key"))
+    total = F.aggregate(at("profile", "array<bigint>"), F.lit(0).cast("long"), lambda a, x: a + x)
+    left = nodes.where(at("Vector", "variant").isNull()).select(
+        F.lit("node").alias("part"), F.col("node_id").alias("key"), F.col("label").alias("kind"), at("name", "string").alias("name"),
+        F.when(F.col("label") == "Analyzer_Table", of_table).otherwise(of_column).alias("detail"), total.alias("total"),
+    )
+    ends = F.concat_ws(">", "start_id", "end_id")
+    pair = F.concat(ends, F.lit(":"), at("sourceColumn", "string"), F.lit(">"), at("targetColumn", "string"))
+    right = relationships.select(
+        F.lit("relationship").alias("part"), F.col("relationship_id").alias("key"), F.col("type").alias("kind"), F.lit(None).cast("string").alias("name"),
+        F.coalesce(pair, ends).alias("detail"), F.lit(None).cast("long").alias("total"),
     )
+    return left.unionByName(right)
 
 
 @query(

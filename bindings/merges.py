@@ -455,6 +455,19 @@ UNION ALL SELECT 'fk', from_column_id, to_column_id FROM V_fk WHERE from_column_
 UNION ALL SELECT 'mapping', mapping_id, CASE WHEN mapping_id IN (SELECT table_id FROM g) THEN NULL ELSE mapping_id END FROM (SELECT p_partkey AS mapping_id FROM part) AS m""",
 )
 def delete_cascade(b: Bound):
+    frames, references = stores(b)
+    left = M.delete_cascade(frames, "tables", b.V_tab.where("NOT is_valid"), ["table_id"], references)
+    return (
+        left["tables"]
+        .selectExpr("'table' AS part", "table_id AS id", "CAST(NULL AS BIGINT) AS other")
+        .unionByName(left["columns"].selectExpr("'column' AS part", "column_id AS id", "table_id AS other"))
+        .unionByName(left["fks"].selectExpr("'fk' AS part", "from_column_id AS id", "to_column_id AS other"))
+        .unionByName(left["mappings"].selectExpr("'mapping' AS part", "mapping_id AS id", "table_id AS other"))
+    )
+
+
+def stores(b: Bound):
+    """Stores and their references, children and parents in no order."""
     frames = {
         "tables": b.V_tab,
         "columns": b.V_col,
@@ -462,16 +475,57 @@ def delete_cascade(b: Bound):
         "mappings": b.V_vm.selectExpr("mapping_id", "mapping_id AS table_id"),
     }
     references = [
+        ("fks", {"to_column_id": "column_id"}, "columns"),
+        ("?mappings", {"table_id": "table_id"}, "tables"),
+        ("fks", {"from_column_id": "column_id"}, "columns"),
+        ("columns", {"table_id": "table_id"}, "tables"),
+    ]
+    return frames, references
+
+
+@query(
+    "delete_counts",
+    duck(*CAT)
+    + """, g AS (SELECT table_id FROM V_tab WHERE NOT is_valid), c AS (SELECT column_id, table_id IN (SELECT table_id FROM g) AS gone FROM V_col),
+k AS (SELECT coalesce(a.gone, false) OR coalesce(z.gone, false) AS gone FROM V_fk f LEFT JOIN c a ON a.column_id = f.from_column_id LEFT JOIN c z ON z.column_id = f.to_column_id)
+SELECT 'tables' AS store, count(*) FILTER (WHERE NOT coalesce(is_valid, true)) AS deleted, count(*) FILTER (WHERE coalesce(is_valid, true)) AS kept FROM V_tab
+UNION ALL SELECT 'columns', count(*) FILTER (WHERE gone), count(*) FILTER (WHERE NOT gone) FROM c
+UNION ALL SELECT 'fks', count(*) FILTER (WHERE gone), count(*) FILTER (WHERE NOT gone) FROM k""",
+)
+def delete_counts(b: Bound):
+    """Rows that a delete of the invalid tables takes from every store, and leaves."""
+    frames, references = stores(b)
+    return M.delete_counts(M.delete_marks(frames, "tables", b.V_tab.where("NOT is_valid"), ["table_id"], references))
+
+
+@query(
+    "clean_up",
+    duck(*CAT, "V_qt", "V_query", "V_qc")
+    + """SELECT CAST(0 AS BIGINT) AS step, 'fks' AS store, count(*) AS deleted FROM V_fk UNION ALL SELECT 0, 'query_tables', count(*) FROM V_qt
+UNION ALL SELECT 0, 'query_columns', count(*) FROM V_qc UNION ALL SELECT 1, 'columns', count(*) FROM V_col UNION ALL SELECT 1, 'queries', count(*) FROM V_query
+UNION ALL SELECT 2, 'tables', count(*) FROM V_tab UNION ALL SELECT 3, 'schemas', count(*) FROM (SELECT DISTINCT db, schema_name FROM V_tab) AS s""",
+)
+def clean_up(b: Bound):
+    """All stores emptied in the order of their references; the data sources stay."""
+    frames = {
+        "sources": b.V_tab.select("db").distinct(),
+        "schemas": b.V_tab.select("db", "schema_name").distinct(),
+        "tables": b.V_tab,
+        "columns": b.V_col,
+        "fks": b.V_fk,
+        "queries": b.V_query,
+        "query_tables": b.V_qt,
+        "query_columns": b.V_qc,
+    }
+    references = [
+        ("schemas", {"db": "db"}, "sources"),
+        ("tables", {"schema_name": "schema_name"}, "schemas"),
         ("columns", {"table_id": "table_id"}, "tables"),
         ("fks", {"from_column_id": "column_id"}, "columns"),
         ("fks", {"to_column_id": "column_id"}, "columns"),
-        ("?mappings", {"table_id": "table_id"}, "tables"),
+        ("query_tables", {"table_id": "table_id"}, "tables"),
+        ("query_tables", {"query_id": "query_id"}, "queries"),
+        ("query_columns", {"column_id": "column_id"}, "columns"),
+        ("query_columns", {"query_id": "query_id"}, "queries"),
     ]
-    left = M.delete_cascade(frames, "tables", b.V_tab.where("NOT is_valid"), ["table_id"], references)
-    return (
-        left["tables"]
-        .selectExpr("'table' AS part", "table_id AS id", "CAST(NULL AS BIGINT) AS other")
-        .unionByName(left["columns"].selectExpr("'column' AS part", "column_id AS id", "table_id AS other"))
-        .unionByName(left["fks"].selectExpr("'fk' AS part", "from_column_id AS id", "to_column_id AS other"))
-        .unionByName(left["mappings"].selectExpr("'mapping' AS part", "mapping_id AS id", "table_id AS other"))
-    )
+    return M.clean_up(frames, references, keep=["sources"])[1]

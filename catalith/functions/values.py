@@ -113,7 +113,10 @@ def secret_keys(source: str | Column) -> Column:
 
 
 def without_vectors(props: str | Column) -> Column:
-    """Drop vector-like properties from a map of JSON texts."""
+    """Drop vector-like properties: those with a vector's name, and lists of 128 values or more.
+
+    ``props`` is a map of JSON texts.
+    """
 
     def keep(k: Column, v: Column) -> Column:
         length = F.coalesce(F.json_array_length(v), F.lit(0))
@@ -122,6 +125,14 @@ def without_vectors(props: str | Column) -> Column:
     return F.map_filter(col(props), keep)
 
 
+def typed_without_vectors(props: str | Column) -> Column:
+    """``without_vectors`` for a VARIANT object; null stays null."""
+    entries = col(props).cast("map<string,variant>")
+    length = lambda v: F.coalesce(F.json_array_length(F.to_json(v)), F.lit(0))
+    kept = F.map_filter(entries, lambda k, v: ~F.lower(k).isin(*VECTOR_KEYS) & (length(v) < VECTOR_LENGTH))
+    return F.to_variant_object(kept)
+
+
 def safe_properties(props: str | Column) -> Column:
     """Property map with sanitised keys and without NULL values; the last of equal keys wins."""
     named = F.transform(

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from catalith.functions.text import contains_any
-from catalith.functions.values import json_or_empty, primary_label, safe_properties
+from catalith.functions.values import json_or_empty, primary_label, safe_properties, typed_without_vectors
 from catalith.operators import merge as M
 from catalith.plans.nesting import attach, nest
 from catalith.plans.ranking import first_per_key
@@ -214,20 +214,25 @@ def field_links(links: DataFrame) -> DataFrame:
     return known.select(*rest, feature, *numbers)
 
 
+def _exported(rows: DataFrame, ids: Sequence[str]) -> Column:
+    return typed_without_vectors(F.to_variant_object(F.struct(*[c for c in rows.columns if c not in ids])))
+
+
 def graph_export(tables: DataFrame, columns: DataFrame, relationships: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Whole catalog as graph rows ``(nodes, relationships)`` with generated ids.
 
     ``relationships(rel_id, from_table_id, to_table_id, rel_type, source_column, target_column)``.
+    Properties are VARIANT objects with all other columns of a row, but for vectors.
     """
     table_nodes = tables.select(
         F.col("table_id").cast("string").alias("node_id"),
         F.lit("Analyzer_Table").alias("label"),
-        F.to_json(F.struct("name", "schema_name", "db", "description")).alias("properties"),
+        _exported(tables, ["table_id"]).alias("properties"),
     )
     column_nodes = columns.select(
         F.concat(F.lit("col:"), F.col("column_id").cast("string")).alias("node_id"),
         F.lit("Analyzer_Column").alias("label"),
-        F.to_json(F.struct("name", "dtype", "nullable", "is_primary_key")).alias("properties"),
+        _exported(columns, ["column_id", "table_id"]).alias("properties"),
     )
     tid, cid = F.col("table_id").cast("string"), F.col("column_id").cast("string")
     owns = columns.where(F.col("table_id").isNotNull()).select(
@@ -235,14 +240,14 @@ def graph_export(tables: DataFrame, columns: DataFrame, relationships: DataFrame
         F.lit("HAS_COLUMN").alias("type"),
         tid.alias("start_id"),
         F.concat(F.lit("col:"), cid).alias("end_id"),
-        F.lit("{}").alias("properties"),
+        F.parse_json(F.lit("{}")).alias("properties"),
     )
     related = relationships.select(
         F.concat(F.lit("rel:"), F.col("rel_id").cast("string")).alias("relationship_id"),
         F.col("rel_type").alias("type"),
         F.col("from_table_id").cast("string").alias("start_id"),
         F.col("to_table_id").cast("string").alias("end_id"),
-        F.to_json(F.struct(F.col("source_column").alias("sourceColumn"), F.col("target_column").alias("targetColumn"))).alias("properties"),
+        F.to_variant_object(F.struct(F.col("source_column").alias("sourceColumn"), F.col("target_column").alias("targetColumn"))).alias("properties"),
     )
     return table_nodes.unionByName(column_nodes), owns.unionByName(related)
 

@@ -257,38 +257,105 @@ def replace_scope(current: DataFrame, fresh: DataFrame, scope: Sequence[str], sc
     return current.join(cleared, list(scope), "left_anti").unionByName(fresh)
 
 
+Reference = tuple[str, Mapping[str, str], str]
+
+
+def delete_order(stores: Sequence[str], references: Sequence[Reference]) -> tuple[list[list[str]], list[Reference]]:
+    """Levels of stores, those that nothing refers to first, and the references cut for it.
+
+    A reference whose child name starts with ``?`` sets NULL and needs no order.  Where
+    only cycles are left, their first remaining reference is cut, so it has to be set to
+    NULL before.
+    """
+    held = [r for r in references if not r[0].startswith("?") and r[0] != r[2]]
+    left, levels, cut = list(stores), [], []
+    while left:
+        inside = [r for r in held if r[0] in left and r[2] in left]
+        level = [s for s in left if all(r[2] != s for r in inside)]
+        if level:
+            levels.append(level)
+            left = [s for s in left if s not in level]
+            continue
+        # a reference on a cycle: follow children until a store comes again
+        store, seen = left[0], []
+        while store not in seen:
+            seen.append(store)
+            store = next(r[0] for r in inside if r[2] == store)
+        first = next(r for r in inside if r[2] == store and r[0] in seen[seen.index(store) :])
+        held.remove(first)
+        cut.append(first)
+    return levels, cut
+
+
+def delete_marks(frames: Mapping[str, DataFrame], root: str, doomed: DataFrame, root_keys: Sequence[str], references: Sequence[Reference]) -> dict[str, DataFrame]:
+    """Every frame at or below ``root`` with a flag ``__gone``, parents marked before children.
+
+    Needs references without cycles below the root; the order of ``references`` is free.
+    """
+
+    def marked(rows: DataFrame, parents: DataFrame, link: Sequence[str]) -> DataFrame:
+        flagged = rows.join(parents.distinct().withColumn("__hit", F.lit(True)), list(link), "left")
+        gone = F.coalesce(F.col("__gone"), F.lit(False)) if "__gone" in rows.columns else F.lit(False)
+        return flagged.select(*[F.col(c) for c in rows.columns if c != "__gone"], (gone | F.col("__hit").isNotNull()).alias("__gone"))
+
+    levels, cut = delete_order(list(frames), references)
+    if cut:
+        raise ValueError(f"references in a cycle: {sorted({r[0] for r in cut})}")
+    marks = {root: marked(frames[root], doomed.select(*root_keys), root_keys)}
+    for parent in [s for level in reversed(levels) for s in level]:
+        for child, link, above in references:
+            if above != parent or parent not in marks or child.startswith("?"):
+                continue
+            keys = marks[parent].where("__gone").select(*[F.col(p).alias(c) for c, p in link.items()])
+            marks[child] = marked(marks.get(child, frames[child]), keys, list(link))
+    return marks
+
+
+def delete_counts(marks: Mapping[str, DataFrame]) -> DataFrame:
+    """(store, deleted, kept) of marked frames, one pass over each."""
+    counts = None
+    for store, rows in marks.items():
+        gone = F.col("__gone").cast("long")
+        part = rows.agg(F.coalesce(F.sum(gone), F.lit(0)).alias("deleted"), F.coalesce(F.sum(1 - gone), F.lit(0)).alias("kept"))
+        part = part.select(F.lit(store).alias("store"), "deleted", "kept")
+        counts = part if counts is None else counts.unionByName(part)
+    return counts
+
+
+def clean_up(frames: Mapping[str, DataFrame], references: Sequence[Reference], keep: Sequence[str] = ()) -> tuple[dict[str, DataFrame], DataFrame]:
+    """Empty every store but those to keep; the stores, and (step, store, deleted) in order."""
+    levels, _ = delete_order(list(frames), references)
+    steps, left = None, dict(frames)
+    for step, level in enumerate(levels):
+        for store in level:
+            if store in keep:
+                continue
+            left[store] = frames[store].where(F.lit(False))
+            part = frames[store].agg(F.count(F.lit(1)).alias("deleted")).select(F.lit(step).alias("step"), F.lit(store).alias("store"), "deleted")
+            steps = part if steps is None else steps.unionByName(part)
+    return left, steps
+
+
 def delete_cascade(
     frames: Mapping[str, DataFrame],
     root: str,
     doomed: DataFrame,
     root_keys: Sequence[str],
-    references: Sequence[tuple[str, Mapping[str, str], str]],
+    references: Sequence[Reference],
 ) -> dict[str, DataFrame]:
     """Delete rows of ``root`` and everything below them.
 
-    ``references`` lists, parents first, ``(child, {child column: parent column},
-    parent)``; a reference whose child name starts with ``?`` sets its columns to
-    NULL instead of deleting the row.  Deleted rows of every frame are found with
-    semi joins along the tree and removed with anti joins.
+    ``references`` lists ``(child, {child column: parent column}, parent)`` in any order;
+    a reference whose child name starts with ``?`` sets its columns to NULL instead of
+    deleting the row.
     """
-    gone = {root: frames[root].join(doomed.select(*root_keys).distinct(), list(root_keys), "left_semi")}
-    left = dict(frames)
-    nulled: list[tuple[str, Mapping[str, str], str]] = []
+    marks = delete_marks(frames, root, doomed, root_keys, references)
+    left = {s: marks[s].where("NOT __gone").drop("__gone") if s in marks else frames[s] for s in frames}
     for child, link, parent in references:
-        if child.startswith("?"):
-            nulled.append((child[1:], link, parent))
-            continue
-        if parent not in gone:
-            continue
-        parents = gone[parent].select(*[F.col(p).alias(c) for c, p in link.items()]).distinct()
-        hit = frames[child].join(parents, list(link), "left_semi")
-        gone[child] = hit if child not in gone else gone[child].unionByName(hit)
-        left[child] = left[child].join(parents, list(link), "left_anti")
-    left[root] = frames[root].join(doomed.select(*root_keys).distinct(), list(root_keys), "left_anti")
-    for child, link, parent in nulled:
-        if parent not in gone:
+        if not child.startswith("?") or parent not in marks:
             continue
-        parents = gone[parent].select(*[F.col(p).alias(c) for c, p in link.items()]).distinct()
+        child = child[1:]
+        parents = marks[parent].where("__gone").select(*[F.col(p).alias(c) for c, p in link.items()]).distinct()
         flagged = left[child].join(parents.withColumn("__gone", F.lit(True)), list(link), "left")
         left[child] = flagged.select(
             *[F.when(F.col("__gone"), F.lit(None)).otherwise(F.col(c)).alias(c) if c in link else F.col(c) for c in frames[child].columns]

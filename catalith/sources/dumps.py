@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from catalith.sources.arrays import read_array
+
 # Field names of the dump files.
 NODE_SCHEMA = "id string, neo4j_id string, labels array<string>, properties map<string,string>"
 EDGE_SCHEMA = "rel_id string, rel_type string, start_id string, end_id string, properties map<string,string>"
@@ -30,13 +32,19 @@ def _edges(raw: DataFrame) -> DataFrame:
 
 
 def read_nodes(spark: SparkSession, path: str, array_file: bool = False) -> DataFrame:
-    """``(id, labels, props)``; JSON lines by default, splittable; ``array_file`` for one JSON array per file."""
-    return _nodes(spark.read.schema(NODE_SCHEMA).json(path, multiLine=array_file))
+    """``(id, labels, props)``; JSON lines by default, ``array_file`` for one JSON array per file; both split."""
+    return parse_nodes(read_array(spark, path)) if array_file else _nodes(spark.read.schema(NODE_SCHEMA).json(path))
 
 
 def read_edges(spark: SparkSession, path: str, array_file: bool = False) -> DataFrame:
     """``(edge_id, src, dst, type, props)``."""
-    return _edges(spark.read.schema(EDGE_SCHEMA).json(path, multiLine=array_file))
+    return parse_edges(read_array(spark, path)) if array_file else _edges(spark.read.schema(EDGE_SCHEMA).json(path))
+
+
+def typed_nodes(lines: DataFrame, column: str = "value") -> DataFrame:
+    """``(id, labels, props)`` with the properties as VARIANT, so that every value keeps its type."""
+    kind = NODE_SCHEMA.replace("map<string,string>", "variant")
+    return _nodes(lines.select(F.from_json(column, kind).alias("j")).select("j.*"))
 
 
 def parse_nodes(lines: DataFrame, column: str = "value") -> DataFrame:
