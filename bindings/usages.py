@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from bindings.logs import scratch
 from bindings.registry import query
 from bindings.views import Bound, duck
 from catalith.operators import usage
+from catalith.sources import schemas
 
 USES = """, u AS (SELECT qt.table_id, q.query_id, q.question, q.created_at FROM V_qt qt JOIN V_query q ON q.query_id = qt.query_id WHERE q.status = 'completed'),
 s AS (SELECT table_id, string_agg(question, '|' ORDER BY question) AS sample_questions FROM (SELECT DISTINCT table_id, question FROM (SELECT *, row_number() OVER (PARTITION BY table_id ORDER BY created_at DESC, query_id) AS rn FROM u) AS x WHERE rn <= 3) AS y GROUP BY table_id),
@@ -148,6 +150,41 @@ def terms_with_tags(b: Bound):
     return rows.select("term_id", "name", "part", *joined)
 
 
+GLOSSARY = """, o AS (SELECT term_id, concat('owner of ', glossary) AS name FROM V_term UNION SELECT term_id, 'second reader' FROM V_term WHERE quality = 0),
+u AS (SELECT term_id, string_agg(name, '|' ORDER BY name) AS owners FROM o GROUP BY term_id) """
+
+
+@query(
+    "term_details",
+    duck("V_term")
+    + GLOSSARY
+    + """SELECT t.term_id, t.glossary, t.name, CASE WHEN t.toxic = 0 THEN concat('about ', t.name) ELSE '' END AS description,
+CASE t.quality WHEN 1 THEN 'Approved' WHEN 0 THEN 'Review' ELSE 'Draft' END AS status, CASE WHEN t.toxic = 1 THEN concat(upper(t.glossary), '|', t.glossary) ELSE '' END AS synonyms,
+CAST(0 AS BIGINT) AS part, coalesce(t.domain, '') AS domains, concat_ws('|', CASE t.quality WHEN 1 THEN 'good' WHEN 0 THEN 'poor' END, CASE t.toxic WHEN 1 THEN 'toxic' END) AS tags, u.owners
+FROM V_term t JOIN u ON u.term_id = t.term_id""",
+)
+def term_details(b: Bound):
+    """All terms with status, synonyms, domains, tags and owners, from stores of the declared schemas."""
+    root = scratch(b)
+    base = b.V_term.select("term_id", "glossary", "name", "domain", "quality", "toxic")
+    named = F.xxhash64("name")
+    owned = base.selectExpr("term_id", "concat('owner of ', glossary) AS name").unionByName(base.where("quality = 0").selectExpr("term_id", "'second reader' AS name"))
+    tagged = base.selectExpr("term_id", "CASE quality WHEN 1 THEN 'good' WHEN 0 THEN 'poor' END AS name").unionByName(base.selectExpr("term_id", "CASE toxic WHEN 1 THEN 'toxic' END AS name"))
+    placed = base.select("term_id", F.col("domain").alias("name"))
+    for store, rows in (("owner", owned), ("tag", tagged), ("domain", placed)):
+        rows = rows.where("name IS NOT NULL").withColumn(f"{store}_id", named)
+        schemas.save(rows.select(f"{store}_id", "name").distinct(), root, f"{store}s")
+        schemas.save(rows, root, f"term_{store}s")
+    links = {f"{s}s": schemas.scan(b.spark, root, f"term_{s}s").join(schemas.scan(b.spark, root, f"{s}s"), f"{s}_id").select("term_id", "name") for s in ("domain", "tag", "owner")}
+    terms = base.selectExpr(
+        "term_id", "glossary", "name", "CASE WHEN toxic = 0 THEN concat('about ', name) END AS description",
+        "CASE quality WHEN 1 THEN 'Approved' WHEN 0 THEN 'Review' END AS status", "CASE WHEN toxic = 1 THEN array(upper(glossary), glossary) END AS synonyms",
+    )
+    rows = usage.terms_with_tags(terms, links)
+    joined = [F.array_join(f"{c}.name", "|").alias(c) for c in links]
+    return rows.select("term_id", "glossary", "name", "description", "status", F.array_join("synonyms", "|").alias("synonyms"), "part", *joined)
+
+
 MAPPED = """, w AS (SELECT o_orderpriority AS request_id, p_name AS term FROM orders JOIN lineitem ON l_orderkey = o_orderkey JOIN part ON p_partkey = l_partkey WHERE o_orderstatus = 'F'
 UNION SELECT concat('nation ', CAST(s_nationkey AS VARCHAR)), upper(substring(s_name, 3, 6)) FROM supplier
 UNION SELECT p_brand, upper(substring(p_name, 3, 5)) FROM part),

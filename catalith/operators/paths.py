@@ -1,8 +1,8 @@
 """Bounded path search with unrolled joins.
 
-Each level is one equi-join of a frontier with the edges.  Shortest paths keep one
-path per (start, node), so a level never holds more rows than pairs; enumeration
-keeps every path, as asked, up to the required depth.
+Each level is one equi-join of a frontier with the edges.  Shortest paths are searched
+from both ends and keep one path per (start, node) or (end, node); enumeration keeps
+every path, as asked, up to the required depth.
 """
 
 from __future__ import annotations
@@ -23,39 +23,34 @@ def shortest_paths(edges: DataFrame, pairs: DataFrame, max_depth: int = MAX_DEPT
     """First depth at which each pair is connected, with the smallest path.
 
     ``pairs(start, end)``; returns ``(start, end, found, depth, path)``.  A start
-    equal to its end is found through a self loop or a cycle.  A level only holds
-    nodes its start has not seen; starts with nothing left to find drop out, and
-    the last level, the widest, is cut to the asked pairs before it is aggregated.
+    equal to its end is found through a self loop or a cycle.
+
+    The search goes from both ends: walks of ``depth`` edges are those of the first half
+    from the start and of the second half to the end that meet in a node, so no level is
+    deeper than half of ``max_depth``.  A level keeps the smallest path for each
+    (start, node) or (end, node).  At the first depth of a pair all walks are shortest
+    paths, and the smallest of them is put together from smallest halves.  Edges are
+    shuffled once by each end, and all levels read that.
     """
-    # Every level meets the edges and the pairs again, so they are derived once.
-    hops = cut(edges.select("src", "dst").distinct())
-    wanted = cut(pairs.select("start", "end").distinct())
-    asked = wanted.withColumnRenamed("end", "node")
-    level = hops.join(wanted.select(F.col("start").alias("src")).distinct(), "src", "left_semi").select(
-        F.col("src").alias("start"), F.col("dst").alias("node"), F.array("src", "dst").alias("path")
-    )
-    seen = found = None
+    hops = edges.select("src", "dst").distinct()
+    wanted = pairs.select("start", "end").distinct()
+    ahead = [wanted.select("start", F.col("start").alias("node"), F.array("start").alias("path")).distinct()]
+    back = [wanted.select("end", F.col("end").alias("node"), F.array("end").alias("rest")).distinct()]
+    for _ in range((max_depth + 1) // 2):
+        grown = ahead[-1].join(hops, F.col("node") == F.col("src"))
+        ahead.append(grown.groupBy("start", F.col("dst").alias("node")).agg(F.min(F.array_append("path", F.col("dst"))).alias("path")))
+    for _ in range(max_depth // 2):
+        grown = back[-1].join(hops, F.col("node") == F.col("dst"))
+        back.append(grown.groupBy("end", F.col("src").alias("node")).agg(F.min(F.array_prepend("rest", F.col("src"))).alias("rest")))
+    met = None
     for depth in range(1, max_depth + 1):
-        if depth > 1:
-            pending = wanted.join(found, ["start", "end"], "left_anti").select("start").distinct()
-            grown = (
-                level.join(pending, "start", "left_semi")
-                .join(hops.withColumnRenamed("src", "node"), "node")
-                .select("start", F.col("dst").alias("node"), F.array_append("path", F.col("dst")).alias("path"))
-            )
-            if depth == max_depth:
-                grown = grown.join(asked, ["start", "node"], "left_semi")
-            level = grown.groupBy("start", "node").agg(F.min("path").alias("path"))
-            level = level.join(seen, ["start", "node"], "left_anti")
-        if depth < max_depth:
-            level = cut(level)
-        hit = level.join(asked, ["start", "node"], "left_semi")
-        rows = hit.select("start", F.col("node").alias("end"), F.lit(depth).alias("depth"), "path")
-        found = rows if found is None else found.unionByName(rows)
-        marks = level.select("start", "node")
-        seen = marks if seen is None else seen.unionByName(marks)
-    out = wanted.join(found, ["start", "end"], "left")
-    return out.select("start", "end", F.col("depth").isNotNull().alias("found"), "depth", "path")
+        half = ahead[(depth + 1) // 2].join(wanted, "start").join(back[depth // 2], ["end", "node"])
+        path = F.concat("path", F.slice("rest", F.lit(2), F.greatest(F.size("rest") - 1, F.lit(0))))
+        rows = half.select("start", "end", F.lit(depth).alias("depth"), path.alias("path"))
+        met = rows if met is None else met.unionByName(rows)
+    first = met.groupBy("start", "end").agg(F.min(F.struct("depth", "path")).alias("first"))
+    out = wanted.join(first, ["start", "end"], "left")
+    return out.select("start", "end", F.col("first").isNotNull().alias("found"), F.col("first.depth").alias("depth"), F.col("first.path").alias("path"))
 
 
 def reverse_paths(

@@ -214,7 +214,13 @@ def terms_with_tags(
     search: str | None = None,
     per_glossary: int | None = None,
 ) -> DataFrame:
-    """Terms with one sorted name array per link frame ``(term_id, name)``."""
+    """Terms with one sorted name array per link frame ``(term_id, name)``.
+
+    A missing description is empty, a missing status ``Draft`` and missing synonyms an
+    empty list, where the terms have these columns.
+    """
+    defaults = {"description": F.lit(""), "status": F.lit("Draft"), "synonyms": F.array().cast("array<string>")}
+    terms = terms.withColumns({c: F.coalesce(c, d) for c, d in defaults.items() if c in terms.columns})
     rows = terms if not search else terms.where(F.contains(fold("name"), F.lit(search.lower())))
     if per_glossary is not None:
         rows = top_per_group(rows, ["glossary"], [F.col("name"), F.col("term_id")], per_glossary)
