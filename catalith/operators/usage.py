@@ -8,7 +8,7 @@ usage_count, verified)``.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from catalith.functions.text import fold, strip_ws
@@ -19,6 +19,7 @@ from catalith.plans.ranking import top_per_group
 TABLE_REPORT, COLUMN_REPORT, SAMPLE_QUESTIONS = 20, 30, 3
 TABLE_WEIGHT = 2
 OVERLAP_LIMIT, PAGE_SIZE = 5, 20
+SEEK_FROM = 10_000
 MAPPING_LIMIT, LOOKUP_LIMIT = 20, 10
 GRAM = 3
 
@@ -115,18 +116,43 @@ def history_page(
     page: int = 1,
     page_size: int = PAGE_SIZE,
     status: str | None = None,
+    seek_from: int = SEEK_FROM,
 ) -> DataFrame:
     """One page of the history, newest first, with the table names of every query.
 
-    The page is cut first; usage rows meet only its queries.
+    The page is cut first; usage rows meet only its queries.  A page that ends after row
+    ``seek_from`` is found by ``page_rows``, an earlier one by one sort with a limit.
     """
     rows = queries if status is None else queries.where(F.col("status") == status)
-    cut = rows.orderBy(F.col("created_at").desc(), F.col("query_id")).offset((page - 1) * page_size).limit(page_size)
+    first = (page - 1) * page_size
+    if first + page_size > seek_from:
+        cut = page_rows(rows, first, page_size)
+    else:
+        cut = rows.orderBy(F.col("created_at").desc(), F.col("query_id")).offset(first).limit(page_size)
     used = usage.join(cut.select("query_id"), "query_id", "left_semi")
     names = used.join(tables.select("table_id", "name"), "table_id").select("query_id", "name")
     return attach(cut, {"tables": nest(names, ["query_id"], ["name"], "tables")}, ["query_id"])
 
 
+def page_rows(rows: DataFrame, first: int, size: int, unit: str = "hour") -> DataFrame:
+    """Rows ``first`` to ``first + size`` in the order newest first, then by id.
+
+    Rows are counted by time range; only the ranges that hold the page are numbered, each
+    by itself, from the count of all newer ranges on.  One row for each range is ordered
+    as a whole.  Rows without a time come last, as one range.
+    """
+    ranged = rows.withColumn("__range", F.date_trunc(unit, "created_at"))
+    newer = Window.orderBy(F.col("__range").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    counts = ranged.groupBy("__range").agg(F.count(F.lit(1)).alias("__n"))
+    placed = counts.withColumn("__ahead", F.coalesce(F.sum("__n").over(newer), F.lit(0)))
+    holds = placed.where((F.col("__ahead") < first + size) & (F.col("__ahead") + F.col("__n") > first))
+    near = ranged.join(holds.select(F.col("__range").alias("__own"), "__ahead"), F.col("__range").eqNullSafe(F.col("__own")))
+    inside = Window.partitionBy("__range").orderBy(F.col("created_at").desc(), F.col("query_id"))
+    place = F.row_number().over(inside) + F.col("__ahead")
+    numbered = near.withColumn("__place", place)
+    return numbered.where((F.col("__place") > first) & (F.col("__place") <= first + size)).select(*rows.columns)
+
+
 def history_total(queries: DataFrame) -> DataFrame:
     """Row count per status and for all statuses together."""
     rolled = queries.rollup("status").agg(F.count(F.lit(1)).alias("total"), F.grouping("status").alias("g"))

@@ -111,3 +111,13 @@ def test_exists_batch(spark):
     rows = spark.createDataFrame([("d", "f"), ("d", "f")], "directory string, file string")
     wanted = spark.createDataFrame([("d", "f"), ("d", "g")], "directory string, file string")
     assert pairs(catalog.exists_batch(rows, wanted, ["directory", "file"]), "file", F.col("exists")) == [("f", True), ("g", False)]
+
+
+def test_seek_pages_equal_sorted_pages(spark):
+    """Every page, with ties, several ranges, missing times and pages past the end."""
+    rows = [(i, f"2024-01-0{1 + i % 3} 0{i % 4}:{i % 7:02d}:00" if i % 11 else None) for i in range(150)]
+    df = spark.createDataFrame(rows, "query_id long, at string").select("query_id", F.col("at").cast("timestamp").alias("created_at"))
+    order = [r.query_id for r in df.orderBy(F.col("created_at").desc(), "query_id").collect()]
+    for first, size in ((0, 7), (40, 33), (130, 15), (140, 30), (150, 5)):
+        got = usage.page_rows(df, first, size).orderBy(F.col("created_at").desc(), "query_id").collect()
+        assert [r.query_id for r in got] == order[first : first + size]
