@@ -472,6 +472,26 @@ def save_lineage(b: Bound):
     return lineage.save_lineage(stored, known, events)["nodes"].withColumnRenamed(M.ACTION, "action")
 
 
+STORED_PART = "proc LIKE '%0'"
+
+
+@query(
+    "save_lineage_edges",
+    duck("V_lin")
+    + f""", x AS (SELECT tbl AS src, proc AS dst, 'DATA_FLOW_TO' AS edge_type, {STORED_PART} AS stored FROM V_lin WHERE side = 'SOURCE'
+UNION ALL SELECT proc, tbl, 'TRANSFORMS_TO', {STORED_PART} FROM V_lin WHERE side = 'TARGET'
+UNION ALL SELECT s.tbl, t.tbl, 'DATA_FLOW_TO', s.{STORED_PART} FROM V_lin s JOIN V_lin t ON t.proc = s.proc WHERE s.side = 'SOURCE' AND t.side = 'TARGET')
+SELECT src, dst, edge_type, CASE WHEN bool_or(stored) THEN 'stored' ELSE 'new' END AS origin FROM x GROUP BY src, dst, edge_type""",
+)
+def save_lineage_edges(b: Bound):
+    """Stored edges stay, edges of the other processes are added, none comes twice."""
+    nodes = lineage.lineage_nodes(b.V_lin.where(STORED_PART))
+    stored = lineage.lineage_edges(b.V_lin.where(STORED_PART))
+    saved = lineage.save_lineage(nodes, stored, b.V_lin)["edges"].select("src", "dst", "edge_type")
+    known = stored.withColumn("origin", F.lit("stored"))
+    return saved.join(known, ["src", "dst", "edge_type"], "left").withColumn("origin", F.coalesce("origin", F.lit("new")))
+
+
 LIN_NODES = """, n AS (SELECT DISTINCT proc AS name, 'ETLProcess' AS node_type, NULL AS source_type, '{"operation_type": "UNKNOWN"}' AS x FROM V_lin
 UNION ALL SELECT tbl, 'DataSource', max(side), CASE WHEN tbl < 't2' THEN '{"type": "VIEW"}' WHEN tbl < 't3' THEN '{"type": ' END FROM V_lin GROUP BY tbl) """
 

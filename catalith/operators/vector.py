@@ -295,12 +295,19 @@ def fit_cells(corpus: DataFrame, cells: int, *, vector_col: str = "embedding", s
     return corpus.sparkSession.createDataFrame(rows, "cell int, centre array<double>")
 
 
+MAX_CENTRES = 65_536
+
+
 def assign_cells(corpus: DataFrame, centres: DataFrame, *, id_col: str = "id", vector_col: str = "embedding") -> DataFrame:
     """``corpus`` with the nearest ``cell``; written partitioned by cell, probes prune files.
 
     The centres are the request side of a top-1 scan per row, so the assignment is
-    one pass of matrix products in the scan tasks.
+    one pass of matrix products in the scan tasks.  They travel in the task closure: at
+    most ``MAX_CENTRES`` of them, with ``MAX_CLOSURE_FLOATS`` numbers in all.
     """
+    size = centres.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.size("centre")), F.lit(0)).alias("floats")).first()
+    if size["n"] > MAX_CENTRES or size["floats"] > MAX_CLOSURE_FLOATS:
+        raise ValueError(f"{size['n']} centres with {size['floats']} numbers are too many for one task")
     table = centres.orderBy("cell").toArrow()
     cells = table.column(0).to_pylist()
     unit = V.unit_rows(V.to_matrix(table.column(1)))
