@@ -34,6 +34,7 @@ FACTOR = 1.1
 SAMPLE = 4_096
 SHARD_ROWS = 8_192
 LEAF = 64
+ASKED = 20_000
 QUERY_BLOCK = 1_024
 
 
@@ -282,8 +283,14 @@ def _hits(usable: DataFrame, asked: DataFrame, size: int, k: int, factor: float)
     kind = "query_id long, v binary, radius double, cell long, salt int"
 
     def swept(ask: DataFrame) -> DataFrame:
-        found = ask.mapInArrow(routed, kind)
-        return placed.groupBy("cell", "salt").cogroup(found.groupBy("cell", "salt")).applyInArrow(search, schema).drop("v", "rank")
+        """Every shard meets the queries that reach it, at most about ``ASKED`` in one task."""
+        found = kernel.cut(ask.mapInArrow(routed, kind))
+        counts = found.groupBy("cell", "salt").agg(F.ceil(F.count(F.lit(1)) / ASKED).cast("int").alias("blocks"))
+        shard = placed.join(counts, ["cell", "salt"]).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks")
+        block = F.pmod(F.xxhash64("query_id"), F.col("blocks")).cast("int")
+        reached = found.join(counts, ["cell", "salt"]).withColumn("block", block).drop("blocks")
+        key = ["cell", "salt", "block"]
+        return shard.groupBy(*key).cogroup(reached.groupBy(*key)).applyInArrow(search, schema).drop("v", "rank")
 
     home_hits = kernel.cut(swept(asked.withColumn("radius", F.lit(float("inf")))))
     so_far = _best(home_hits, k).select(F.col("query_id").alias("vec_id"), F.when(F.size("best") == k, F.sqrt(F.greatest(F.lit(0.0), 2 + 2 * F.element_at("best", -1)["n"])) + 1e-9).otherwise(F.lit(2.1)).alias("radius"))

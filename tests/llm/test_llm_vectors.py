@@ -33,6 +33,7 @@ def cosines(rows):
 @pytest.mark.parametrize("rows_per_shard", [64, 10_000])
 def test_search(spark, monkeypatch, rows_per_shard):
     monkeypatch.setattr(vptree, "SHARD_ROWS", rows_per_shard)
+    monkeypatch.setattr(vptree, "ASKED", rows_per_shard // 8)  # the queries of a shard are several tasks
     rows = vectors()
     df = frame(spark, [*rows, *ODD, rows[3]])
     ask = df.where("vec_id % 20 = 0 OR vec_id = 150 OR vec_id >= 900")
