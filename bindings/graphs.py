@@ -332,6 +332,20 @@ def graph_causal_enriched(b: Bound):
     return rows.select("target", "depth", "id", "label", "relation_type", "dataset_description", "term_name")
 
 
+@query(
+    "graph_causal_enriched_deep",
+    duck(*VE, "V_tab")
+    + ENRICH
+    + """, h1 AS (SELECT DISTINCT dst AS target, 1 AS depth, src AS id, type FROM V_edge),
+h2 AS (SELECT DISTINCT h.target, 2 AS depth, e.src AS id, e.type FROM h1 h JOIN V_edge e ON e.dst = h.id), h3 AS (SELECT DISTINCT h.target, 3 AS depth, e.src AS id, e.type FROM h2 h JOIN V_edge e ON e.dst = h.id)
+SELECT h.target, CAST(h.depth AS BIGINT) AS depth, n.id, n.label, h.type AS relation_type, d.dataset_description, st.term_name FROM (SELECT * FROM h1 UNION ALL SELECT * FROM h2 UNION ALL SELECT * FROM h3) AS h JOIN V_node n ON n.id = h.id
+LEFT JOIN d ON d.name = concat('t', substring(n.id, 2)) LEFT JOIN st ON st.physical_name = concat('t', substring(n.id, 2))""",
+)
+def graph_causal_enriched_deep(b: Bound):
+    rows = paths.direct_causes(b.V_edge, sourced(b), b.V_node.select("id"), datasets(b), standard_terms(b), max_depth=3)
+    return rows.select("target", "depth", "id", "label", "relation_type", "dataset_description", "term_name")
+
+
 # ---------------------------------------------------------------- documents, models, exports
 
 

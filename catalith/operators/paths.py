@@ -53,6 +53,12 @@ def shortest_paths(edges: DataFrame, pairs: DataFrame, max_depth: int = MAX_DEPT
     return out.select("start", "end", F.col("first").isNotNull().alias("found"), F.col("first.depth").alias("depth"), F.col("first.path").alias("path"))
 
 
+def _steps(edges: DataFrame) -> DataFrame:
+    """Edges with an id of their own; without ``edge_id`` equal edges are one."""
+    own = F.col("edge_id") if "edge_id" in edges.columns else F.xxhash64("src", "dst", "type")
+    return edges.select("src", "dst", "type", own.alias("edge"))
+
+
 def reverse_paths(
     edges: DataFrame, targets: DataFrame, max_depth: int = MAX_DEPTH, limit: int | None = PATH_LIMIT
 ) -> DataFrame:
@@ -62,9 +68,7 @@ def reverse_paths(
     relation_types)``, with ``limit`` the first rows per target by (depth, chain,
     types).  Nodes may repeat.  Only ancestors of the targets are touched.
     """
-    steps = edges.select("src", "dst", "type", F.xxhash64("src", "dst", "type").alias("edge"))
-    if "edge_id" in edges.columns:
-        steps = edges.select("src", "dst", "type", F.col("edge_id").alias("edge"))
+    steps = _steps(edges)
     if max_depth > 2:
         steps = cut(steps)
     asked = targets.select(F.col("id").alias("dst")).distinct()
@@ -105,6 +109,56 @@ def _first(rows: DataFrame, limit: int) -> DataFrame:
     return top_per_group(rows, ["target"], order, limit)
 
 
+def _closing(steps: DataFrame, max_depth: int) -> DataFrame:
+    """``steps`` with ``again``: true for every edge that a walk of ``max_depth`` edges can use twice.
+
+    Up to three edges these are loops and edges with an edge back, exactly.  Beyond, they
+    are the loops and the edges left when nodes without an edge in or without an edge out
+    are taken away ``max_depth`` times: every cycle is left, so none is missed, and of a
+    graph without cycles only what is farther than that from both rims.
+    """
+    loop = F.col("src") == F.col("dst")
+    if max_depth < 3:
+        return steps.withColumn("again", loop)
+    pairs = steps.where(~loop).select("src", "dst").distinct()
+    if max_depth == 3:
+        back = pairs.select(F.col("dst").alias("src"), F.col("src").alias("dst"))
+    else:
+        back = cut(pairs)
+        for _ in range(max_depth):
+            ahead = back.select(F.col("src").alias("dst")).distinct()
+            behind = back.select(F.col("dst").alias("src")).distinct()
+            back = cut(back.join(ahead, "dst", "left_semi").join(behind, "src", "left_semi"))
+    marked = steps.join(back.withColumn("__back", F.lit(True)), ["src", "dst"], "left")
+    return marked.select("src", "dst", "type", "edge", (loop | F.col("__back").isNotNull()).alias("again"))
+
+
+def cause_heads(edges: DataFrame, targets: DataFrame, max_depth: int = 1) -> DataFrame:
+    """``(target, depth, id, relation_type)`` of the first nodes and edges of all paths into the targets.
+
+    The rows are those of ``reverse_paths`` without its chains, but no path is built: a
+    level holds the distinct (target, node, used edges), and of the used edges only those
+    that could come again.  Without cycles these sets are empty, so a level has at most
+    one row for each target and node, however many paths lead there.
+    """
+    steps = _closing(_steps(edges), max_depth) if max_depth > 1 else _steps(edges).withColumn("again", F.lit(False))
+    asked = targets.select(F.col("id").alias("dst")).distinct()
+    used = F.array_compact(F.array(F.when(F.col("again"), F.col("edge"))))
+    level = steps.join(asked, "dst", "left_semi").select(
+        F.col("dst").alias("target"), F.col("src").alias("id"), F.col("type").alias("relation_type"), used.alias("used")
+    )
+    out = None
+    for depth in range(1, max_depth + 1):
+        if depth > 1:
+            states = level.select("target", F.col("id").alias("dst"), "used").distinct()
+            grown = states.join(steps, "dst").where(~F.array_contains("used", F.col("edge")))
+            kept = F.when(F.col("again"), F.array_sort(F.array_append("used", F.col("edge")))).otherwise(F.col("used"))
+            level = grown.select("target", F.col("src").alias("id"), F.col("type").alias("relation_type"), kept.alias("used"))
+        heads = level.select("target", F.lit(depth).alias("depth"), "id", "relation_type")
+        out = heads if out is None else out.unionByName(heads)
+    return out.distinct()
+
+
 def direct_causes(
     edges: DataFrame, nodes: DataFrame, targets: DataFrame, datasets: DataFrame, terms: DataFrame, max_depth: int = 1
 ) -> DataFrame:
@@ -112,11 +166,5 @@ def direct_causes(
 
     ``nodes`` carries ``data_source``.
     """
-    paths = reverse_paths(edges, targets, max_depth, limit=None)
-    heads = paths.select(
-        "target",
-        "depth",
-        F.element_at("chain", 1).alias("id"),
-        F.element_at("relation_types", 1).alias("relation_type"),
-    ).distinct()
+    heads = cause_heads(edges, targets, max_depth)
     return node_enrich(heads.join(nodes, "id"), datasets, terms)

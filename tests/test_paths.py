@@ -54,6 +54,32 @@ def test_reverse_set_is_the_forward_set_of_the_reversed_graph(spark):
     assert forward == backward
 
 
+def test_cause_heads_are_the_heads_of_all_paths(spark):
+    targets = spark.createDataFrame([("n0",), ("n1",), ("n4",)], "id string")
+    for seed in (1, 5, 8):
+        edges = random_edges(6, 9, seed)
+        df = spark.createDataFrame(edges, "src string, dst string, type string")
+        for depth in (1, 2, 3, 4):
+            want = sorted({(t, n, c[0], k[0]) for t, n, c, k in brute_paths(edges, ["n0", "n1", "n4"], depth)})
+            rows = paths.cause_heads(df, targets, depth)
+            got = sorted((r["target"], r["depth"], r["id"], r["relation_type"]) for r in rows.collect())
+            assert got == want, (seed, depth)
+    named = spark.createDataFrame([("a", "a", "A", "e1"), ("a", "a", "A", "e2"), ("a", "b", "A", "e3")], "src string, dst string, type string, edge_id string")
+    rows = paths.cause_heads(named, spark.createDataFrame([("b",)], "id string"), 4).collect()
+    assert sorted((r["depth"], r["id"]) for r in rows) == [(1, "a"), (2, "a"), (3, "a")]  # e3, then each loop once
+
+
+def test_causes_do_not_multiply_by_paths(spark):
+    """Three ladders of ten rungs hold 10**3 paths a target at depth 4, and one state for each node."""
+    rungs = [(f"r{k}_{i}", f"r{k - 1}_{j}", "A") for k in (1, 2, 3) for i in range(10) for j in range(10)]
+    edges = spark.createDataFrame(rungs + [(f"r0_{i}", "end", "A") for i in range(10)], "src string, dst string, type string")
+    targets = spark.createDataFrame([("end",)], "id string")
+    steps = paths._closing(paths._steps(edges), 4)
+    assert steps.where("again").count() == 0
+    rows = paths.cause_heads(edges, targets, 4).collect()
+    assert len(rows) == 40 and {r["depth"] for r in rows} == {1, 2, 3, 4}
+
+
 def test_shortest_paths(spark):
     edges = random_edges(12, 18, 2)
     df = spark.createDataFrame(edges, "src string, dst string, type string")
