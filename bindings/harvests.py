@@ -416,6 +416,37 @@ def recon_props_full(b: Bound):
     return recon.properties(b.V_node, damaged(b)[0], sample=None)
 
 
+def both_sides(b: Bound):
+    """Nodes of ``relabelled`` and ``damaged`` and their edges, tagged by side, each table read once for them."""
+    nodes = (
+        b.region.selectExpr("concat('R', r_regionkey) AS id", "'Region' AS original", "r_name AS name", "0.0D AS bal")
+        .union(b.nation.selectExpr("concat('N', n_nationkey)", "'Nation'", "n_name", "0.0D"))
+        .union(b.supplier.selectExpr("concat('S', s_suppkey)", "'Supplier'", "s_name", "CAST(s_acctbal AS DOUBLE)"))
+        .union(b.customer.selectExpr("concat('C', c_custkey)", "'Customer'", "c_name", "CAST(c_acctbal AS DOUBLE)"))
+        .union(b.part.selectExpr("concat('P', p_partkey)", "'Part'", "p_name", "0.0D"))
+    )
+    source = """named_struct('migrated', false, 'id', id, 'label', CAST(NULL AS STRING), 'name', name,
+        'labels', CASE WHEN original = 'Region' THEN array() WHEN original = 'Nation' THEN array('Area', '1 Nation-x')
+                       WHEN original IN ('Customer', 'Part') THEN array(original) ELSE array('Thing', original) END)"""
+    target = """named_struct('migrated', true, 'id', id, 'label', CASE original WHEN 'Region' THEN 'UnknownNode' WHEN 'Nation' THEN '_1_Nation_x' ELSE original END,
+        'name', CASE WHEN original = 'Supplier' AND bal < 0 THEN lower(name) ELSE name END, 'labels', CAST(NULL AS ARRAY<STRING>))"""
+    kept = "filter(array({}, {}), s -> NOT (s.migrated AND {}))".format(source, target, "original = 'Customer' AND bal < 0")
+    rels = (
+        b.nation.selectExpr("'PART_OF' AS type", "false AS lost")
+        .union(b.supplier.selectExpr("'LOCATED_IN'", "false"))
+        .union(b.customer.selectExpr("'LOCATED_IN'", "c_acctbal < 0"))
+        .union(b.lineitem.select("l_partkey", "l_suppkey").distinct().selectExpr("'SUPPLIED_BY'", "false"))
+    )
+    renamed = "named_struct('migrated', true, 'type', CASE type WHEN 'PART_OF' THEN 'INSIDE' ELSE type END)"
+    ends = f"filter(array(named_struct('migrated', false, 'type', type), {renamed}), s -> NOT (s.migrated AND lost))"
+    return nodes.selectExpr(f"inline({kept})"), rels.selectExpr(f"inline({ends})")
+
+
+@query("recon_differences", duck("V_node", "V_edge") + DAMAGE + "SELECT * FROM (" + PROPS.format(n="V_node") + ") AS r WHERE status = 'FAIL'")
+def recon_differences(b: Bound):
+    return recon.differences(both_sides(b)[0])
+
+
 @query(
     "recon_summary",
     duck("V_node", "V_edge")
@@ -424,6 +455,4 @@ def recon_props_full(b: Bound):
     + f"SELECT count(*) FILTER (WHERE status = 'PASS') AS passed, count(*) FILTER (WHERE status = 'FAIL') AS failed, count(*) AS total FROM (({TOTALS}) UNION ALL ({TYPES}) UNION ALL ({LABELS}) UNION ALL ({PROPS.format(n='V_node')})) AS r",
 )
 def recon_summary(b: Bound):
-    nodes, rels = damaged(b)
-    results = recon_totals_of(b).unionByName(recon.types(b.V_edge, rels)).unionByName(recon.labels(relabelled(b), nodes))
-    return recon.result_summary(results.unionByName(recon.properties(b.V_node, nodes, sample=None)))
+    return recon.summary(*both_sides(b))

@@ -1,6 +1,7 @@
 """Dumps, snapshots, versioned stores, physical layer and reconciliation."""
 
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -127,3 +128,56 @@ def test_reconciliation_passes_on_itself_and_finds_the_damage(spark):
     assert sorted(r["test"] for r in bad.collect()) == ["node:3", "node:7"]
     summary = recon.result_summary(recon.properties(source, damaged, sample=None)).first()
     assert tuple(summary) == (28, 2, 30)
+
+
+def two_sides(spark, seed):
+    """A graph and a damaged copy: names changed, lost and null, labels of one, two and no part, nodes and types on one side only."""
+    rnd = random.Random(seed)
+    source, target = [], []
+    for i in range(300):
+        labels = rnd.choice([[], ["A"], ["B"], ["x", "A"], ["y", "A"], ["x", "Only"]])
+        name = rnd.choice(["n", None, "m" * (i % 4), "\u00e9"])
+        source.append((f"i{i}", labels, name))
+        fate = rnd.random()
+        if fate < 0.03:
+            continue
+        label = labels[-1] if labels else "UnknownNode"
+        target.append((f"i{i}", label, name if fate > 0.06 else rnd.choice(["z", None])))
+    target += [("new1", "Fresh", "n"), ("new2", "A", None)]
+    rels = [(False, rnd.choice(["T", "U", "V"])) for _ in range(90)]
+    rels += [(True, t) for _, t in rels if t != "V"] + [(True, "W"), (True, "U")]
+    return (
+        spark.createDataFrame(source, "id string, labels array<string>, name string"),
+        spark.createDataFrame(target, "id string, label string, name string"),
+        spark.createDataFrame(rels, "migrated boolean, type string"),
+    )
+
+
+def test_digest_reconciliation_equals_the_joined_checks(spark):
+    for seed, ranges in ((1, 1), (2, 7), (3, 4096)):
+        source, target, rels = two_sides(spark, seed)
+        old, new = rels.where("NOT migrated"), rels.where("migrated")
+        checks = (
+            recon.totals({"n": source, "e": old}, {"n": target, "e": new})
+            .unionByName(recon.types(old, new))
+            .unionByName(recon.labels(source, target))
+        )
+        props = recon.properties(source, target)
+        tagged = recon.tagged_nodes(source, target)
+        want = recon.result_summary(checks.unionByName(props)).collect()
+        assert [tuple(r) for r in recon.summary(tagged, rels, ranges=ranges).collect()] == [tuple(r) for r in want]
+        failed = sorted(map(tuple, props.where("status = 'FAIL'").collect()))
+        assert failed and sorted(map(tuple, recon.differences(tagged, ranges=ranges).collect())) == failed
+
+
+def test_digest_reconciliation_reads_equal_ranges_once(spark):
+    source, target, rels = two_sides(spark, 4)
+    same = source.select("id", F.when(F.size("labels") > 0, F.element_at("labels", -1)).otherwise("UnknownNode").alias("label"), "name")
+    tagged = recon.tagged_nodes(source, same)
+    assert recon.differences(tagged).count() == 0
+    rows = recon._with_values(recon.tagged_nodes(source, same.withColumn("name", F.when(F.col("id") == "i7", "other").otherwise(F.col("name")))), ["name"], 64)
+    assert rows.groupBy("__range").agg(*recon._digests()).where(~recon._equal()).count() == 1
+    empty = tagged.where("false")
+    assert [tuple(r) for r in recon.summary(empty, rels.where("false")).collect()] == [(2, 0, 2)]
+    with pytest.raises(ValueError):
+        recon.differences(tagged, ranges=recon.MAX_RANGES + 1)
