@@ -590,12 +590,11 @@ SELECT 'node' AS part, id AS key, label FROM V_node WHERE label IN ('Customer',
 UNION ALL SELECT 'edge', concat(src, 'n>', dst, 'n'), type FROM V_edge WHERE src IN (SELECT id FROM fresh) AND dst IN (SELECT id FROM fresh)""",
 )
 def replace_scope(b: Bound):
-    # the scope of a label is data, looked up by an equi-join
-    scopes = b.V_node.groupBy("label").agg(F.max(F.expr("CASE WHEN label IN ('Supplier', 'Nation') THEN 's1' ELSE 's2' END")).alias("schema_id"))
-    scoped = b.V_node.join(scopes, "label")
+    # taken from the id, so that the scope is data and joins on it stay equi-joins
+    schema = "CASE WHEN substring({}, 1, 1) IN ('S', 'N') THEN 's1' ELSE 's2' END AS schema_id"
+    scoped = b.V_node.selectExpr("id", "label", schema.format("id"))
     nodes = scoped.selectExpr("id", "CASE label WHEN 'Region' THEN 'KPI' ELSE label END AS label", "schema_id")
-    ends = scoped.selectExpr("id AS src", "schema_id")
-    old = b.V_edge.join(ends, "src").select("src", "dst", "type", "schema_id")
+    old = b.V_edge.selectExpr("src", "dst", "type", schema.format("src"))
     fresh_nodes = scoped.where("label IN ('Supplier', 'Nation')").selectExpr(
         "concat(id, 'n') AS id", "CASE label WHEN 'Supplier' THEN 'Resource' ELSE label END AS label", "schema_id"
     )

@@ -295,17 +295,29 @@ def replace_schema(
     node go with it.
     """
     label = F.when(F.col("label").isin(*LAYERS), F.col("label")).otherwise(TYPE_LABEL)
-    fresh = fresh_nodes.withColumn("label", label)
-    ends = fresh.select(scope, F.col("id").alias("src")).distinct()
-    kept = fresh_edges.join(ends, [scope, "src"], "left_semi").join(
-        ends.withColumnRenamed("src", "dst"), [scope, "dst"], "left_semi"
+    fresh = fresh_nodes.withColumn("label", label).select(*nodes.columns)
+    cleared = fresh.select(scope).distinct().withColumn("__hit", F.lit(True))
+    hit = F.col("__hit").isNotNull()
+    tagged = (
+        nodes.join(cleared, scope, "left")
+        .select(*nodes.columns, hit.alias("__removed"), F.lit(False).alias("__fresh"))
+        .unionByName(fresh.withColumns({"__removed": F.lit(False), "__fresh": F.lit(True)}))
     )
-    cleared = fresh.select(scope).distinct()
-    removed = nodes.join(cleared, scope, "left_semi").select("id").distinct()
-    old = edges.join(cleared, scope, "left_anti")
+    # an id with the schemas in which it is fresh, and whether it was removed anywhere
+    ends = (
+        tagged.where("__removed OR __fresh")
+        .groupBy("id")
+        .agg(F.max("__removed").alias("removed"), F.collect_set(F.when(F.col("__fresh"), F.col(scope))).alias("scopes"))
+    )
+    links = edges.withColumn("__new", F.lit(False)).unionByName(fresh_edges.select(*edges.columns).withColumn("__new", F.lit(True)))
+    links = links.join(cleared, scope, "left").withColumn("__old", hit).drop("__hit")
+    inside, touched = F.col("__new"), F.col("__old")
     for end in ("src", "dst"):
-        old = old.join(removed.withColumnRenamed("id", end), end, "left_anti")
-    return M.replace_scope(nodes, fresh, [scope]), old.unionByName(kept)
+        links = links.join(ends.select(F.col("id").alias(end), F.struct("removed", "scopes").alias(f"__{end}")), end, "left")
+        inside = inside & F.array_contains(F.col(f"__{end}.scopes"), F.col(scope))
+        touched = touched | F.coalesce(F.col(f"__{end}.removed"), F.lit(False))
+    kept = F.when(F.col("__new"), F.coalesce(inside, F.lit(False))).otherwise(~touched)
+    return tagged.where("NOT __removed").select(*nodes.columns), links.where(kept).select(*edges.columns)
 
 
 def detach_delete(nodes: DataFrame, edges: DataFrame, doomed: DataFrame) -> tuple[DataFrame, DataFrame]:

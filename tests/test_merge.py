@@ -1,8 +1,10 @@
 """Merge policies, scoped replace and cascading delete on hand-made rows."""
 
+import random
+
 from pyspark.sql import functions as F
 
-from catalith.operators import loads
+from catalith.operators import graph, loads
 from catalith.operators import merge as M
 
 KEEP = "keep"
@@ -119,3 +121,25 @@ def test_ddl_counts_and_stub_table(spark):
     out = loads.merge_ddl(store, schemas, tables, columns, fks)
     assert [out[k].count() for k in ("schemas", "tables", "columns", "relationships")] == [1, 3, 3, 2]
     assert rows(out["tables"].where("name = 'ghost'"), "name", "description", M.ACTION) == [("ghost", None, "insert")]
+
+
+def test_replace_schema_equals_a_plain_rewrite(spark):
+    rnd = random.Random(3)
+    schemas = ["s1", "s2", "s3", None]
+    nodes = [(f"n{i}", rnd.choice(["KPI", "x"]), schemas[i % 4]) for i in range(24)]
+    edges = [(f"n{rnd.randrange(26)}", f"n{rnd.randrange(26)}", "T", rnd.choice(schemas)) for _ in range(120)] + [(None, "n1", "T", "s2")]
+    fresh = [("n0", "KPI", "s1"), ("f1", "odd", "s1"), ("f1", "odd", "s3"), ("f2", None, "s3"), ("f3", "KPI", None)]
+    names = ["n0", "n1", "f1", "f2", "f3", None]
+    fresh_edges = [(a, c, "N", s) for a in names for c in names for s in ("s1", "s3", None)]
+    frames = [spark.createDataFrame(rows, schema) for rows, schema in (
+        (nodes, "id string, label string, schema_id string"), (edges, "src string, dst string, type string, schema_id string"),
+        (fresh, "id string, label string, schema_id string"), (fresh_edges, "src string, dst string, type string, schema_id string"),
+    )]
+    got_nodes, got_edges = graph.replace_schema(*frames)
+    gone = {i for i, _, s in nodes if s in ("s1", "s3")}
+    want_nodes = [n for n in nodes if n[2] not in ("s1", "s3")] + [(i, "KPI" if k == "KPI" else graph.TYPE_LABEL, s) for i, k, s in fresh]
+    known = {(s, i) for i, _, s in fresh if s}
+    want_edges = [e for e in edges if e[3] not in ("s1", "s3") and e[0] not in gone and e[1] not in gone]
+    want_edges += [e for e in fresh_edges if {(e[3], e[0]), (e[3], e[1])} <= known]
+    order = lambda rows: sorted(map(str, map(tuple, rows)))
+    assert order(got_nodes.collect()) == order(want_nodes) and order(got_edges.collect()) == order(want_edges)
