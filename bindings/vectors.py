@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from bindings.logs import scratch
 from bindings.registry import query
 from bindings.views import Bound, duck
 from catalith.functions.vectors import format_vector, parse_vector
 from catalith.operators import vector
+from catalith.sources import cells
 
 def r6():
     return F.round("similarity", 6).alias("similarity")
@@ -154,8 +156,19 @@ def celled(b: Bound):
     duck("V_emb", "V_req") + CELLS + "SELECT CAST(qid AS BIGINT) AS qid, vec_id, round(sim, 6) AS similarity, rank FROM a WHERE rank <= 5",
 )
 def vec_topk_approx(b: Bound):
-    cells, centres = celled(b)
-    hits = vector.vector_topk_approx(cells, centres, b.V_req, 5, id_col="vec_id")
+    rows, centres = celled(b)
+    hits = vector.vector_topk_approx(rows, centres, b.V_req, 5, id_col="vec_id")
+    return hits.select("qid", "vec_id", r6(), "rank")
+
+
+@query("vec_topk_stored", duck("V_emb", "V_req") + CELLS + "SELECT CAST(qid AS BIGINT) AS qid, vec_id, round(sim, 6) AS similarity, rank FROM a WHERE rank <= 5")
+def vec_topk_stored(b: Bound):
+    """Vectors written by cell in two insertions, and searched in the files of the probed cells."""
+    root = f"{scratch(b)}/cells"
+    centres = b.V_req.selectExpr("CAST(qid AS INT) AS cell", "vector AS centre")
+    for rows in ("grp % 2 = 0", "grp % 2 <> 0 OR grp IS NULL"):
+        cells.insert_vectors(b.V_emb.where(rows), centres, root, id_col="vec_id")
+    hits = vector.vector_topk_approx(cells.read_cells(b.spark, root), centres, b.V_req, 5, id_col="vec_id")
     return hits.select("qid", "vec_id", r6(), "rank")
 
 
@@ -167,9 +180,9 @@ def vec_topk_approx(b: Bound):
 SELECT CAST(x.qid AS BIGINT) AS qid, round(avg(CASE WHEN a.vec_id IS NULL THEN 0 ELSE 1 END), 4) AS recall FROM x LEFT JOIN a ON a.qid = x.qid AND a.vec_id = x.vec_id AND a.rank <= 5 GROUP BY x.qid""",
 )
 def vec_recall(b: Bound):
-    cells, centres = celled(b)
+    rows, centres = celled(b)
     exact = vector.vector_topk(b.V_emb, b.V_req, 5, id_col="vec_id")
-    approx = vector.vector_topk_approx(cells, centres, b.V_req, 5, id_col="vec_id")
+    approx = vector.vector_topk_approx(rows, centres, b.V_req, 5, id_col="vec_id")
     return vector.recall(exact, approx, id_col="vec_id")
 
 

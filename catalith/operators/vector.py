@@ -59,9 +59,7 @@ def vector_topk(
     asked = requests.select(*wanted).where(F.col(request_vector).isNotNull())
     stored = corpus.select(id_col, vector_col, *([group_col] if has_groups else []))
     stored = stored.where(F.col(vector_col).isNotNull())
-    out_types = [(request_id, requests.schema[request_id].dataType), (id_col, corpus.schema[id_col].dataType)]
-    ddl = ", ".join(f"`{n}` {t.simpleString()}" for n, t in out_types) + ", sim double"
-    schema = pa.schema([pa.field(n, to_arrow_type(t)) for n, t in out_types] + [pa.field("sim", pa.float64())])
+    schema, ddl = _hit_types(requests, request_id, corpus, id_col)
 
     block = _small_requests(asked, max_closure_floats)
     if block is not None:
@@ -71,6 +69,12 @@ def vector_topk(
     return _ranked(pairs, request_id, id_col, k)
 
 
+def _hit_types(requests: DataFrame, request_id: str, corpus: DataFrame, id_col: str) -> tuple[pa.Schema, str]:
+    types = [(request_id, requests.schema[request_id].dataType), (id_col, corpus.schema[id_col].dataType)]
+    ddl = ", ".join(f"`{n}` {t.simpleString()}" for n, t in types) + ", sim double"
+    return pa.schema([pa.field(n, to_arrow_type(t)) for n, t in types] + [pa.field("sim", pa.float64())]), ddl
+
+
 def _ranked(pairs: DataFrame, request_id: str, id_col: str, k: int) -> DataFrame:
     window = Window.partitionBy(request_id).orderBy(F.col("sim").desc(), F.col(id_col).asc())
     ranked = pairs.withColumn("rank", F.row_number().over(window)).where(F.col("rank") <= k)
@@ -113,16 +117,45 @@ def _cells(stored: DataFrame, asked: DataFrame, kernel, schema: pa.Schema, ddl:
         copies = F.explode(F.sequence(F.lit(0), F.lit(other_n - 1)))
         return df.select(own_block.alias(own), copies.alias(other), *df.columns)
 
-    left = placed(asked, "rb", request_blocks, "cb", corpus_blocks).groupBy("rb", "cb")
-    right = placed(stored, "cb", corpus_blocks, "rb", request_blocks).groupBy("rb", "cb")
+    left = placed(asked, "rb", request_blocks, "cb", corpus_blocks)
+    right = placed(stored, "cb", corpus_blocks, "rb", request_blocks)
+    return _cogrouped(left, right, ["rb", "cb"], kernel, schema, ddl)
 
+
+def _cogrouped(left: DataFrame, right: DataFrame, keys: list[str], kernel, schema: pa.Schema, ddl: str) -> DataFrame:
     def cell(requests: pa.Table, rows: pa.Table) -> pa.Table:
         if not requests.num_rows or not rows.num_rows:
             return schema.empty_table()
-        block = _requests(requests.drop_columns(["rb", "cb"]))
-        return pa.Table.from_batches(kernel(block, rows.drop_columns(["rb", "cb"])), schema)
+        block = _requests(requests.drop_columns(keys))
+        return pa.Table.from_batches(kernel(block, rows.drop_columns(keys)), schema)
+
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(cell, ddl)
+
+
+def _probed_blocks(stored: DataFrame, asked: DataFrame, k: int, floor: float | None, schema: pa.Schema, ddl: str, request_block: int, corpus_block: int) -> DataFrame:
+    """Pairs of ``stored(id, vector, cell)`` and ``asked(request, vector, cell)`` within each cell.
+
+    Rows and requests of a cell are cut into blocks by hash, so a hot cell is many tasks.
+    The numbers of blocks are one row for each cell, at most ``MAX_CENTRES``.
+    """
+    rows = stored.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / corpus_block).alias("__rows"))
+    asks = asked.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / request_block).alias("__asks"))
+    sizes = F.broadcast(rows.join(asks, "cell"))
 
-    return left.cogroup(right).applyInArrow(cell, ddl)
+    def placed(df: DataFrame, own: str, own_n: str, other: str, other_n: str) -> DataFrame:
+        block = F.pmod(F.xxhash64(df.columns[0]), F.col(own_n)).alias(own)
+        copies = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(other_n) - 1)).alias(other)
+        return df.join(sizes, "cell").select("cell", block, copies, *df.columns[:2])
+
+    def kernel(block: V.Requests, part: pa.Table):
+        running = V.Running(block, k, floor)
+        running.add(part.column(0).to_pylist(), V.to_matrix(part.column(1)), None)
+        return [running.batch(schema)]
+
+    left, right = placed(asked, "rb", "__asks", "cb", "__rows"), placed(stored, "cb", "__rows", "rb", "__asks")
+    keys = ["cell", "rb", "cb"]
+    order = lambda df: df.select(*keys, *[c for c in df.columns if c not in keys])
+    return _cogrouped(order(left), order(right), keys, kernel, schema, ddl)
 
 
 def vector_topk_filtered(corpus: DataFrame, requests: DataFrame, k: int, condition=None, **names) -> DataFrame:
@@ -298,6 +331,12 @@ def fit_cells(corpus: DataFrame, cells: int, *, vector_col: str = "embedding", s
 MAX_CENTRES = 65_536
 
 
+def _check_centres(centres: DataFrame) -> None:
+    size = centres.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.size("centre")), F.lit(0)).alias("floats")).first()
+    if size["n"] > MAX_CENTRES or size["floats"] > MAX_CLOSURE_FLOATS:
+        raise ValueError(f"{size['n']} centres with {size['floats']} numbers are too many for one task")
+
+
 def assign_cells(corpus: DataFrame, centres: DataFrame, *, id_col: str = "id", vector_col: str = "embedding") -> DataFrame:
     """``corpus`` with the nearest ``cell``; written partitioned by cell, probes prune files.
 
@@ -305,9 +344,7 @@ def assign_cells(corpus: DataFrame, centres: DataFrame, *, id_col: str = "id", v
     one pass of matrix products in the scan tasks.  They travel in the task closure: at
     most ``MAX_CENTRES`` of them, with ``MAX_CLOSURE_FLOATS`` numbers in all.
     """
-    size = centres.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.size("centre")), F.lit(0)).alias("floats")).first()
-    if size["n"] > MAX_CENTRES or size["floats"] > MAX_CLOSURE_FLOATS:
-        raise ValueError(f"{size['n']} centres with {size['floats']} numbers are too many for one task")
+    _check_centres(centres)
     table = centres.orderBy("cell").toArrow()
     cells = table.column(0).to_pylist()
     unit = V.unit_rows(V.to_matrix(table.column(1)))
@@ -325,22 +362,48 @@ def assign_cells(corpus: DataFrame, centres: DataFrame, *, id_col: str = "id", v
 
 
 def vector_topk_approx(
-    celled: DataFrame, centres: DataFrame, requests: DataFrame, k: int = DEFAULT_TABLES_K, probes: int = 4, **names
+    celled: DataFrame,
+    centres: DataFrame,
+    requests: DataFrame,
+    k: int = DEFAULT_TABLES_K,
+    probes: int = 4,
+    *,
+    id_col: str = "id",
+    vector_col: str = "embedding",
+    request_id: str = "qid",
+    request_vector: str = "vector",
+    floor: float | None = None,
+    max_closure_floats: int = MAX_CLOSURE_FLOATS,
+    request_block: int = REQUEST_BLOCK,
+    corpus_block: int = CORPUS_BLOCK,
 ) -> DataFrame:
     """Approximate top-k: every request looks only into its ``probes`` nearest cells, exactly.
 
-    A request is multiplied with the rows of the cells that it probes and no others;
+    A request is multiplied with the rows of the cells that it probes and no others, in
+    any batch size: a batch that fits the closure limit in the scan tasks, a larger one in
+    blocks of each cell.  The numbers of the probed cells, at most ``MAX_CENTRES``, come to
+    the driver and are a filter on ``cell``, so the scan of rows stored by cell
+    (``sources/cells.py``) skips the files of others.  A join would not: the ranked probes
+    are a window, whose broadcast the pruning subquery of the scan cannot reuse.
     ``centres`` may be any vectors, k-means ones or given ones.
     """
-    request_id = names.get("request_id", "qid")
-    request_vector = names.get("request_vector", "vector")
+    _check_centres(centres)
     near = vector_topk(
         centres, requests, probes, id_col="cell", vector_col="centre", request_id=request_id, request_vector=request_vector
-    )
+    ).select(request_id, "cell")
+    asked = requests.select(request_id, request_vector).where(F.col(request_vector).isNotNull())
+    stored = celled.select(id_col, vector_col, "cell").where(F.col(vector_col).isNotNull())
+    probed_cells = [r["cell"] for r in near.select("cell").distinct().collect()]
+    stored = stored.where(F.col("cell").isin(probed_cells))
+    schema, ddl = _hit_types(requests, request_id, celled, id_col)
     probed = near.groupBy(request_id).agg(F.collect_set(F.col("cell").cast("string")).alias("cells"))
-    asked = requests.join(probed, request_id)
-    rows = celled.join(near.select("cell").distinct(), "cell", "left_semi")
-    return vector_topk(rows, asked, k, group_col="cell", request_groups="cells", **names)
+    block = _small_requests(asked.join(probed, request_id), max_closure_floats)
+    if block is not None:
+        pairs = stored.mapInArrow(V.scan(block, k, floor, schema), ddl)
+    else:
+        by_cell = asked.join(near, request_id).select(request_id, request_vector, "cell")
+        pairs = _probed_blocks(stored, by_cell, k, floor, schema, ddl, request_block, corpus_block)
+    return _ranked(pairs, request_id, id_col, k)
 
 
 def recall(exact: DataFrame, approximate: DataFrame, *, request_id: str = "qid", id_col: str = "id") -> DataFrame:

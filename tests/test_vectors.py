@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from catalith.functions.vectors import cosine, format_vector, parse_vector
 from catalith.operators import vector as V
+from catalith.sources import cells
 
 SCHEMA = "id long, grp string, embedding array<float>"
 
@@ -105,6 +106,56 @@ def test_all_probes_give_the_exact_answer(frames):
     assert {r["recall"] for r in V.recall(exact, approx).collect()} == {1.0}
 
 
+def test_large_batches_prune_as_small_ones(spark, frames):
+    _, corpus, requests = frames
+    usable = corpus.where("id <> 900")
+    centres = V.fit_cells(usable, 4)
+    celled = V.assign_cells(usable, centres)
+    small = V.vector_topk_approx(celled, centres, requests, 5, probes=2)
+    blocks = V.vector_topk_approx(celled, centres, requests, 5, probes=2, max_closure_floats=1, request_block=1, corpus_block=7)
+    assert got(blocks) == got(small)
+
+
+def test_stored_cells_skip_files_and_take_insertions(spark, tmp_path):
+    rnd = random.Random(11)
+    axis = lambda c: [float(c == i) for i in range(8)]
+    rows = [(i, [x + rnd.gauss(0, 0.05) for x in axis(i % 8 if i % 3 else 0)]) for i in range(900)]
+    corpus = spark.createDataFrame(rows, "id long, embedding array<double>")
+    centres = spark.createDataFrame([(c, axis(c)) for c in range(8)], "cell int, centre array<double>")
+    root = str(tmp_path / "cells")
+    with pytest.raises(ValueError):
+        cells.read_cells(spark, root)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # so few rows would be one task
+    try:
+        assert cells.insert_vectors(corpus.where("id < 500"), centres, root) == 0
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    first = cells.read_cells(spark, root)
+    assert first.count() == 500
+    # data without its record is not seen, and the next insertion takes its place
+    V.assign_cells(corpus, centres).write.partitionBy("cell").parquet(f"{root}/part=1")
+    assert cells.read_cells(spark, root).count() == 500
+    assert cells.insert_vectors(corpus.where("id >= 500"), centres, root) == 1
+    stored = cells.read_cells(spark, root)
+    assert stored.count() == 900
+    hot = stored.where("cell = 0 AND part = 0").select(F.input_file_name()).distinct().count()
+    assert 1 < hot <= cells.SPREAD
+    requests = spark.createDataFrame([(1, axis(2)), (2, [x + 0.01 for x in axis(3)])], "qid int, vector array<double>")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # the metrics of a final adaptive plan are not at hand
+    try:
+        hits = V.vector_topk_approx(stored, centres, requests, 5, probes=1).select("*")
+        leaves = hits._jdf.queryExecution().executedPlan().collectLeaves()
+        hits._jdf.javaToPython().count()
+        assert leaves.size() == 1
+        read = leaves.apply(0).metrics().apply("numFiles").value()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    probed = stored.where("cell IN (2, 3)").select(F.input_file_name()).distinct().count()
+    assert read == probed < len(stored.inputFiles())
+    found = got(hits)
+    assert found == got(V.vector_topk(corpus, requests, 5))
+
+
 def test_vector_text_and_cosine(spark):
     df = spark.createDataFrame([("[1,2.5]", [1.0, 0.0]), ("oops", [0.0, 0.0])], "t string, v array<double>")
     rows = df.select(parse_vector("t").alias("p"), cosine("v", F.array(F.lit(2.0), F.lit(0.0))).alias("c"), format_vector("v").alias("f")).collect()
