@@ -76,13 +76,13 @@ def harvest_fks(b: Bound):
 
 
 def key_frames(b: Bound):
-    cols = system_columns(b).join(b.V_col.selectExpr("table_id", "name AS column_name", "is_primary_key", "description"), ["table_id", "column_name"])
+    names = b.V_tab.selectExpr("table_id", "schema_name AS table_schema", "name AS table_name")
+    cols = b.V_col.join(names, "table_id").withColumnRenamed("name", "column_name")
     constraints = b.V_tab.selectExpr(
         "schema_name AS table_schema", "explode(array(named_struct('n', concat('pk_', name), 't', 'PRIMARY KEY'), named_struct('n', concat('uq_', name), 't', 'UNIQUE'))) AS c"
     ).selectExpr("table_schema", "c.n AS constraint_name", "c.t AS constraint_type")
-    pk = cols.where("is_primary_key").selectExpr("table_schema", "table_name", "column_name", "concat('pk_', table_name) AS constraint_name")
-    uq = cols.where("description IS NULL").selectExpr("table_schema", "table_name", "column_name", "concat('uq_', table_name) AS constraint_name")
-    return constraints, pk.unionByName(uq)
+    held = "filter(array(CASE WHEN is_primary_key THEN concat('pk_', table_name) END, CASE WHEN description IS NULL THEN concat('uq_', table_name) END), c -> c IS NOT NULL)"
+    return constraints, cols.selectExpr("table_schema", "table_name", "column_name", f"explode({held}) AS constraint_name")
 
 
 @query(
@@ -214,12 +214,11 @@ def ingest_audit(b: Bound):
 
 def physical_layer(b: Bound):
     tables, columns = flat_tables(b), flat_columns(b)
-    pks = columns.where("is_primary_key").select("meta_db_label", "schema", "table_name", "column_name")
-    cols = columns.drop("is_primary_key")
+    named = system_columns(b).selectExpr(f"{LABEL} AS meta_db_label", "table_schema AS schema", "table_name", "column_name")
     fks = harvest.fk_positions(harvest.harvest_fks(constraint_keys(b), attributes(b)))
     scope = b.V_tab.selectExpr(f"{LABEL} AS meta_db_label", "schema_name AS schema", "name AS from_table")
     scoped = fks.join(scope, "from_table")
-    return physical.vertices(tables, cols, pks), physical.physical_edges(tables, cols, scoped)
+    return physical.vertices(tables, columns), physical.physical_edges(tables, named, scoped)
 
 
 PHYS = f""", P AS (SELECT {DUCK_LABEL} AS label, * FROM C),

@@ -64,8 +64,11 @@ def _props(kind: str, values: dict[str, Column]) -> Column:
     return F.create_map(*pairs)
 
 
-def vertices(tables: DataFrame, columns: DataFrame, primary_keys: DataFrame) -> DataFrame:
-    """``(id, label, meta_db_label, props)`` of the Database, Table and Column vertices."""
+def vertices(tables: DataFrame, columns: DataFrame, primary_keys: DataFrame | None = None) -> DataFrame:
+    """``(id, label, meta_db_label, props)`` of the Database, Table and Column vertices.
+
+    Without ``primary_keys`` the columns carry ``is_primary_key`` themselves, so they need no join.
+    """
     db = F.col("meta_db_label")
     databases = tables.groupBy("meta_db_label").agg(F.max("source_engine").alias("source_engine"))
     database_rows = databases.select(
@@ -103,7 +106,10 @@ def vertices(tables: DataFrame, columns: DataFrame, primary_keys: DataFrame) ->
         ).alias("props"),
     )
     keys = ["meta_db_label", "schema", "table_name", "column_name"]
-    flagged = columns.join(primary_keys.select(*keys).distinct().withColumn("pk", F.lit(True)), keys, "left")
+    if primary_keys is None:
+        flagged = columns.withColumn("pk", F.col("is_primary_key"))
+    else:
+        flagged = columns.join(primary_keys.select(*keys).distinct().withColumn("pk", F.lit(True)), keys, "left")
     column_id = column_vertex(db, "schema", "table_name", "column_name")
     column_rows = flagged.select(
         column_id.alias("id"),

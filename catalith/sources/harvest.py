@@ -75,22 +75,18 @@ def harvest_fks(constraints: DataFrame, attributes: DataFrame) -> DataFrame:
     )
 
 
-def key_columns(constraints: DataFrame, usage: DataFrame, kind: str) -> DataFrame:
-    """Distinct ``(table_schema, table_name, column_name)`` under constraints of ``kind``, e.g. PRIMARY KEY or UNIQUE."""
-    wanted = constraints.where(F.col("constraint_type") == kind).select("constraint_name", "table_schema")
-    hit = usage.join(wanted, ["constraint_name", "table_schema"], "left_semi")
-    return hit.select("table_schema", "table_name", "column_name").distinct()
-
-
 def harvest_flags(columns: DataFrame, constraints: DataFrame, usage: DataFrame) -> DataFrame:
-    """Columns with primary-key and unique flags."""
-    pk = key_columns(constraints, usage, "PRIMARY KEY").withColumn("is_primary_key", F.lit(True))
-    unique = key_columns(constraints, usage, "UNIQUE").withColumn("is_unique", F.lit(True))
+    """Columns with primary-key and unique flags, from one reading of the key usage."""
     keys = ["table_schema", "table_name", "column_name"]
-    rows = columns.join(pk, keys, "left").join(unique, keys, "left")
-    return rows.withColumn("is_primary_key", F.coalesce("is_primary_key", F.lit(False))).withColumn(
-        "is_unique", F.coalesce("is_unique", F.lit(False))
+    kinds = constraints.where(F.col("constraint_type").isin("PRIMARY KEY", "UNIQUE")).select("constraint_name", "table_schema", "constraint_type")
+    kind = F.col("constraint_type")
+    flags = (
+        usage.join(kinds, ["constraint_name", "table_schema"])
+        .groupBy(*keys)
+        .agg(F.max(kind == "PRIMARY KEY").alias("is_primary_key"), F.max(kind == "UNIQUE").alias("is_unique"))
     )
+    rows = columns.join(flags, keys, "left")
+    return rows.withColumns({c: F.coalesce(c, F.lit(False)) for c in ("is_primary_key", "is_unique")})
 
 
 def fk_positions(fks: DataFrame, order: str = "ordinal") -> DataFrame:
