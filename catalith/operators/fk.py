@@ -81,22 +81,19 @@ def fk_paths(edges: DataFrame, members: DataFrame, limit: int = FK_PATH_LIMIT, m
     """FK paths between different tables of a request's set, shortest first, at most ``limit`` per request."""
     direct = within(edges, members).where(F.col("from_table_id") != F.col("to_table_id"))
     hops = direct.select("request_id", "from_table_id", "to_table_id").distinct()
-    known = hops.withColumn("hops", F.lit(1)).withColumn("path", F.array("from_table_id", "to_table_id"))
-    level = known
-    step = hops.select("request_id", F.col("to_table_id").alias("next_id"), F.col("from_table_id").alias("to_table_id"))
+    known = hops.withColumn("best", F.struct(F.lit(1).alias("hops"), F.array("from_table_id", "to_table_id").alias("path")))
+    step = hops.select(F.col("request_id").alias("__request"), F.col("from_table_id").alias("__at"), F.col("to_table_id").alias("next_id"))
+    pair = ["request_id", "from_table_id", "to_table_id"]
     for depth in range(2, max_hops + 1):
-        grown = level.join(step, ["request_id", "to_table_id"]).where(~F.array_contains("path", F.col("next_id")))
-        level = grown.select(
-            "request_id",
-            "from_table_id",
-            F.col("next_id").alias("to_table_id"),
-            F.lit(depth).alias("hops"),
-            F.array_append("path", F.col("next_id")).alias("path"),
-        )
-        best = level.groupBy("request_id", "from_table_id", "to_table_id").agg(F.min(F.struct("hops", "path")).alias("b"))
-        fresh = best.join(known, ["request_id", "from_table_id", "to_table_id"], "left_anti")
-        level = fresh.select("request_id", "from_table_id", "to_table_id", "b.hops", "b.path")
-        known = known.unionByName(level)
+        # a pair stays and is carried one key further; the best of a pair is kept, so pairs are derived once a hop
+        last = (F.col("best.hops") == depth - 1) & (F.col("request_id") == F.col("__request")) & (F.col("to_table_id") == F.col("__at"))
+        own = F.struct("to_table_id", "best")
+        path = F.array_append("best.path", F.col("next_id"))
+        further = F.struct(F.col("next_id").alias("to_table_id"), F.struct(F.lit(depth).alias("hops"), path.alias("path")).alias("best"))
+        again = F.col("next_id").isNull() | F.array_contains("best.path", F.col("next_id"))
+        grown = known.join(step, last, "left").select("request_id", "from_table_id", F.explode(F.when(again, F.array(own)).otherwise(F.array(own, further))).alias("e"))
+        known = grown.select("request_id", "from_table_id", "e.*").groupBy(*pair).agg(F.min("best").alias("best"))
+    known = known.select(*pair, "best.hops", "best.path")
     order = [F.col("hops"), F.col("from_table_id"), F.col("to_table_id")]
     return top_per_group(known, ["request_id"], order, limit)
 
