@@ -1,5 +1,6 @@
 """The query-log fold against a sequential reading of its rules."""
 
+import json
 import random
 
 from hypothesis import given, settings
@@ -45,12 +46,31 @@ def test_slices_compose_to_the_sequential_fold(raw, sizes):
     state, at, i = None, 0, 0
     while at < len(events):
         size = sizes[i % len(sizes)]
-        state = Q._advance(state, Q._summary_text(events[at : at + size]))
+        state = Q._advance(state, Q._read_summary(Q._summary_text(events[at : at + size])))
         at, i = at + size, i + 1
     want = sequential(events)
     assert [tuple(x) for x in state] == [tuple(x) for x in want]
 
 
+@settings(max_examples=400, deadline=None)
+@given(st.lists(EVENT, min_size=1, max_size=24), st.lists(st.integers(1, 5), min_size=1, max_size=24), st.randoms(use_true_random=False), st.booleans())
+def test_summaries_compose_in_any_tree(raw, sizes, rnd, resumed):
+    events = build(raw)
+    state = None
+    if resumed and len(events) > 1:
+        state, events = sequential(events[:1]), events[1:]
+    parts, at, i = [], 0, 0
+    while at < len(events):
+        size = sizes[i % len(sizes)]
+        parts.append(Q._read_summary(Q._summary_text(events[at : at + size])))
+        at, i = at + size, i + 1
+    while len(parts) > 1:
+        k = rnd.randrange(len(parts) - 1)
+        parts[k : k + 2] = [Q._read_summary(json.dumps(Q._composed(parts[k], parts[k + 1])))]
+    want = sequential(events, state)
+    assert [tuple(x) for x in Q._advance(state, parts[0])] == [tuple(x) for x in want]
+
+
 def log(spark, rows):
     names = "query_id string, seq long, ts timestamp, status string, steps_count int, execution_time_ms double, verified boolean, quality_gate string, steps_summary string, context_score double"
     df = spark.createDataFrame(rows, names.replace("ts timestamp", "sec long"))
@@ -126,3 +146,11 @@ def test_verified_event_of_worse_rank_and_late_tie(spark):
         ("b", 2, 12, "completed", 1, 1.0, False, "", "", 0.5),
     ]
     assert result(Q.query_log_fold(log(spark, rows))) == {"a": (2, 1, 2), "b": (2, 2, 2)}
+
+
+def test_rounds_of_summaries_equal_one_fold(spark):
+    """One query in 27 slices, three of which meet in a task."""
+    rows = [("hot", *r[1:]) for r in random_log(400, 5, 13)]
+    ready = Q.prepared(log(spark, rows)).dropDuplicates(["query_id", "ms", "seq"])
+    got = [(r["core"]["seq"], r["context"]["seq"]) for r in Q.fold_long(ready, None, 27, fan_in=3).collect()]
+    assert got == [brute(rows)["hot"][:2]]
