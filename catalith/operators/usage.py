@@ -165,9 +165,10 @@ def history_total(queries: DataFrame) -> DataFrame:
 def containing(values: DataFrame, value_col: str, terms: DataFrame, term_col: str) -> DataFrame:
     """Join of values and terms where the lowered value contains the lowered term.
 
-    Every value is exploded into its distinct grams of length one, two and three;
-    a term meets them through its rarest gram, an equi-join.  The literal
-    containment test then decides, so the result is exact.
+    Every distinct lowered value is exploded into its distinct grams of length one, two and
+    three; a term meets them through its rarest gram, an equi-join.  The literal
+    containment test then decides, so the result is exact.  An exploded side is many times
+    its file, so none of them may be picked for a broadcast by the size of the file.
     """
     text, word = F.lower(value_col), F.lower(term_col)
 
@@ -176,20 +177,29 @@ def containing(values: DataFrame, value_col: str, terms: DataFrame, term_col: st
         starts = F.when(n >= size, F.sequence(F.lit(1), n - size + 1)).otherwise(F.array().cast("array<int>"))
         return F.transform(starts, lambda i: F.substr(c, i, F.lit(size)))
 
-    all_grams = F.array_distinct(F.concat(*[grams(text, n) for n in range(1, GRAM + 1)]))
-    left = values.where(F.col(value_col).isNotNull()).withColumn("__gram", F.explode(all_grams))
+    all_grams = F.array_distinct(F.concat(*[grams(F.col("__text"), n) for n in range(1, GRAM + 1)]))
+    texts = values.where(F.col(value_col).isNotNull()).select(text.alias("__text")).distinct()
+    left = texts.withColumn("__gram", F.explode(all_grams))
     asked = terms.where(F.length(term_col) > 0)
-    whole = F.when(F.length(word) < GRAM, F.array(word)).otherwise(grams(word, GRAM))
+    own = F.col("__word")
+    whole = F.when(F.length(own) < GRAM, F.array(own)).otherwise(grams(own, GRAM))
     counts = left.groupBy("__gram").agg(F.count(F.lit(1)).alias("__n"))
-    words = asked.select(F.col(term_col).alias("__word"), F.explode(whole).alias("__gram")).distinct()
+    words = asked.select(word.alias("__word")).distinct().select("__word", F.explode(F.array_distinct(whole)).alias("__gram"))
     rarest = (
-        words.join(counts, "__gram", "left")
+        words.hint("merge").join(counts, "__gram", "left")
         .groupBy("__word")
         .agg(F.min(F.struct(F.coalesce("__n", F.lit(0)).alias("n"), F.col("__gram").alias("g"))).alias("__best"))
         .select("__word", F.col("__best.g").alias("__gram"))
     )
-    right = asked.join(rarest, asked[term_col] == rarest["__word"]).drop("__word")
-    return left.join(right, "__gram").where(F.contains(text, word)).drop("__gram")
+    hits = left.hint("merge").join(rarest, "__gram").where(F.contains("__text", "__word")).select("__text", "__word")
+    found = values.withColumn("__text", text).join(hits, "__text")
+    return found.join(asked.withColumn("__word", word), "__word").drop("__text", "__word")
+
+
+def _first_of_values(rows: DataFrame, limit: int) -> DataFrame:
+    """The first mappings of every value; a list of ``limit`` mappings holds no others."""
+    known = rows.where(F.col("natural_value").isNotNull())
+    return top_per_group(known, ["natural_value"], [F.col("usage_count").desc(), F.col("mapping_id").asc()], limit)
 
 
 def value_mapping(
@@ -227,7 +237,8 @@ def value_mapping(
 
 def find_value_mapping(mappings: DataFrame, words: DataFrame, limit: int = LOOKUP_LIMIT) -> DataFrame:
     """Substring lookup of every word of ``words(word)``, by usage."""
-    hits = containing(mappings, "natural_value", words.select("word").distinct(), "word")
+    rows = _first_of_values(mappings, limit)
+    hits = containing(rows, "natural_value", words.select("word").distinct(), "word")
     return top_per_group(hits, ["word"], [F.col("usage_count").desc(), F.col("mapping_id").asc()], limit)
 
 

@@ -121,3 +121,20 @@ def test_seek_pages_equal_sorted_pages(spark):
     for first, size in ((0, 7), (40, 33), (130, 15), (140, 30), (150, 5)):
         got = usage.page_rows(df, first, size).orderBy(F.col("created_at").desc(), "query_id").collect()
         assert [r.query_id for r in got] == order[first : first + size]
+
+
+def test_lookup_keeps_the_first_mappings_of_equal_values_and_plans_no_large_broadcast(spark):
+    """Values told apart by case alone, equal usage, words in several cases; grams are never broadcast by file size."""
+    names = ["Red Bolt", "red bolt", "RED NUT", None, "blé"]
+    rows = [(i, names[i % 5], "c", "f", i % 3, True) for i in range(400)]
+    mappings = spark.createDataFrame(rows, "mapping_id long, natural_value string, code_value string, column_fqn string, usage_count int, verified boolean")
+    words = spark.createDataFrame([("red",), ("RED",), ("t",), ("BLÉ",), ("d b",), ("",), (None,), ("zz",)], "word string")
+    got = usage.find_value_mapping(mappings, words, limit=7)
+    want = []
+    for w in ("red", "RED", "t", "BLÉ", "d b"):
+        held = [r for r in rows if r[1] is not None and w.lower() in r[1].lower()]
+        want += [(w, r[0]) for r in sorted(held, key=lambda r: (-r[4], r[0]))[:7]]
+    assert pairs(got, "word", "mapping_id") == sorted(want)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    grams = [line for line in plan.splitlines() if "__gram" in line and "Join" in line]
+    assert len(grams) == 2 and all("strategy=merge" in line for line in grams)
