@@ -215,17 +215,19 @@ def value_mapping(
     """Mappings of each request's terms, by usage; ``terms(request_id, term)``.
 
     Exact matches first.  Only a request whose terms have no exact match at all
-    falls back to substring matches.
+    falls back to substring matches.  A request gets at most ``limit`` mappings, so only
+    the first ``limit`` of each value are joined with the requests.
     """
     rows = mappings.where(F.coalesce("verified", F.lit(False))) if verified_only else mappings
     asked = terms.select("request_id", strip_ws("term").alias("term")).where(F.length("term") > 0).distinct()
     if max_terms is not None:
         asked = top_per_group(asked, ["request_id"], [F.col("term")], max_terms)
-    exact = rows.join(asked.withColumnRenamed("term", "natural_value"), "natural_value")
+    exact = _first_of_values(rows, limit).join(asked.withColumnRenamed("term", "natural_value"), "natural_value")
     found = exact.select("request_id", *mappings.columns, F.lit("exact").alias("match"))
     if fallback:
         rest = asked.join(exact.select("request_id").distinct(), "request_id", "left_anti")
-        near = containing(rows, "natural_value", rest, "term").select("request_id", *mappings.columns).distinct()
+        once = _first_of_values(rows.distinct(), limit)
+        near = containing(once, "natural_value", rest, "term").select("request_id", *mappings.columns).distinct()
         found = found.unionByName(near.withColumn("match", F.lit("substring")))
     order = [F.col("usage_count").desc(), F.col("mapping_id").asc()]
     top = top_per_group(found, ["request_id"], order, limit)

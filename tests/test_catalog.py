@@ -138,3 +138,19 @@ def test_lookup_keeps_the_first_mappings_of_equal_values_and_plans_no_large_broa
     plan = got._jdf.queryExecution().optimizedPlan().toString()
     grams = [line for line in plan.splitlines() if "__gram" in line and "Join" in line]
     assert len(grams) == 2 and all("strategy=merge" in line for line in grams)
+
+
+def test_requests_meet_the_first_mappings_of_a_value_only(spark):
+    """Equal values far above the limit, rows given twice, a request with several terms of one value."""
+    names = ["red bolt", "red nut", "blue nut"]
+    rows = [(i, names[i % 3], "c", "f", i % 5, True) for i in range(300)]
+    mappings = spark.createDataFrame(rows + rows[:40], "mapping_id long, natural_value string, code_value string, column_fqn string, usage_count int, verified boolean")
+    terms = spark.createDataFrame([("x", "red nut"), ("x", "blue nut"), ("n", "RED"), ("n", "d "), ("m", "NUT")], "request_id string, term string")
+    got = usage.value_mapping(mappings, terms, limit=6)
+    order = lambda r: (-r[4], r[0])
+    want = [("x", r[0], "exact") for r in sorted([r for r in rows + rows[:40] if r[1] != "red bolt" and r[1].endswith("nut")], key=order)[:6]]
+    for who, word in (("n", "red"), ("m", "nut")):
+        want += [(who, r[0], "substring") for r in sorted([r for r in rows if word in r[1]], key=order)[:6]]
+    assert pairs(got, "request_id", "mapping_id", "match") == sorted(want)
+    joined = usage.containing(usage._first_of_values(mappings.distinct(), 6), "natural_value", terms, "term")
+    assert joined.count() <= 6 * len(names) * 5
