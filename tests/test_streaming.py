@@ -147,3 +147,34 @@ def test_harvest_keys_hold_the_schema(spark):
     assert flags == {"a": True, "b": False}
     fks = spark.createDataFrame([(s, "fk", "t", c, "u", c, i) for s in "ab" for i, c in enumerate("xy")], "from_schema string, constraint_name string, from_table string, from_column string, to_table string, to_column string, ordinal int")
     assert sorted(r.position for r in harvest.fk_positions(fks).collect()) == [1, 1, 2, 2]
+
+
+def test_a_short_query_is_read_and_written_at_once():
+    """Three messages for each batch of a short query; one that grows beyond a segment keeps its events."""
+    calls = []
+
+    class Told(Values):
+        def __getattribute__(self, name):
+            if name in ("exists", "get", "update", "getValue", "containsKey", "updateValue", "removeKey"):
+                calls.append(name)
+            return super().__getattribute__(name)
+
+    class Own:
+        def getValueState(self, *_):  # noqa: N802
+            return Told()
+
+        getMapState = getValueState
+
+    names = ["query_id", "core", "context", "seen_count", "created_ms", "last_seen_ms"]
+    fold = streaming.QueryFold(T.StructType([]), T.StructType([T.StructField(n, T.StringType()) for n in names]), 8)
+    fold.init(Own())
+    events = [(ms, ms, ms % 3, 1, 1.0, -ms, 0, 0, 0.0) for ms in range(30)]
+    for i, e in enumerate(reversed(events)):
+        calls.clear()
+        list(fold.handleInputRows(("q",), [("q", *e)], None))
+        assert i >= 8 or calls == ["get", "update", "update"]
+    calls.clear()
+    assert list(fold.handleInputRows(("q",), [("q", *events[4])], None)) == []
+    want = sequential(events)
+    row = fold.row.get()
+    assert (row[0][:2], row[1][:2], row[2:]) == (want[0][:2], want[1][:2], (30, 0, 29))
