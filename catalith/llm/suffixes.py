@@ -40,7 +40,7 @@ from catalith.llm import kernel
 LENGTH = 50
 GRAM = 20
 HOT = 1_000
-FLUSH = 600_000
+FLUSH = 300_000
 DOCS_PER_BUCKET = 1_000
 _OTHER = 0xC2B2AE3D27D4EB4F
 _TRIGGERS, _REMOVED, _WANTED, _PHRASES, _WINDOWS = range(5)
@@ -201,7 +201,7 @@ def _parse(texts: DataFrame, parts: int, buckets: int) -> DataFrame:
             yield from out(flush())
 
     known = texts.where("doc IS NOT NULL").select("row", "doc", "text")
-    return known.mapInArrow(run, _PACKED + ", bucket int")
+    return known.mapInArrow(kernel.alone("suffixes", run), _PACKED + ", bucket int")
 
 
 def _settle(parsed: DataFrame, parts: int, buckets: int) -> DataFrame:
@@ -268,7 +268,7 @@ def _settle(parsed: DataFrame, parts: int, buckets: int) -> DataFrame:
         yield from emit()
 
     n = int(parsed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return parsed.repartition(n, "place").sortWithinPartitions("place", "kind").mapInArrow(run, _PACKED)
+    return parsed.repartition(n, "place").sortWithinPartitions("place", "kind").mapInArrow(kernel.alone("suffixes", run), _PACKED)
 
 
 def _places(blob_rows: np.ndarray, blob_docs: np.ndarray, rows: np.ndarray, docs: np.ndarray) -> np.ndarray:
@@ -301,7 +301,7 @@ def _packed_documents(texts: DataFrame) -> DataFrame:
                     blobs.append(sink.getvalue().to_pybytes())
             yield kernel.batch("place data", pa.array(places, pa.int32()), kernel.blobs(blobs))
 
-    return texts.mapInArrow(run, "place int, data binary")
+    return texts.mapInArrow(kernel.alone("suffixes", run), "place int, data binary")
 
 
 def _opened(blobs: pa.ChunkedArray) -> pa.Table:
@@ -368,7 +368,7 @@ def _fetch(texts: DataFrame, asked: DataFrame, parts: int) -> DataFrame:
         return pa.table([pa.array(c, t.type) for c, t in zip(zip(*made, strict=True), kind_column, strict=True)], schema=kind_column) if made else kind_column.empty_table()
 
     both = texts.groupBy("place").cogroup(asked.groupBy("place"))
-    return both.applyInArrow(run, _PACKED + ", bucket int")
+    return both.applyInArrow(kernel.alone("suffixes", run), _PACKED + ", bucket int")
 
 
 def _window_hashes(raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -464,7 +464,7 @@ def _compare(fetched: DataFrame, buckets: int) -> DataFrame:
         yield from spans.batches()
 
     n = int(fetched.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return fetched.repartition(n, "place").sortWithinPartitions("place", "kind").mapInArrow(run, _PACKED)
+    return fetched.repartition(n, "place").sortWithinPartitions("place", "kind").mapInArrow(kernel.alone("suffixes", run), _PACKED)
 
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
@@ -505,7 +505,7 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text: str = "text", car
         names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept", *[f.name for f in kinds]]
         return pa.table([x if isinstance(x, pa.Array) else pa.array(x, pa.int64()) for x in out], names=names)
 
-    found = dealt.groupBy("place").cogroup(removed.groupBy("place")).applyInArrow(run, schema)
+    found = dealt.groupBy("place").cogroup(removed.groupBy("place")).applyInArrow(kernel.alone("suffixes", run), schema)
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept", *[F.col(f"carry_{i}").alias(c) for i, c in enumerate(carry)])
 
 
@@ -535,6 +535,6 @@ def cleaned(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> Data
             yield pa.RecordBatch.from_arrays([b.column(0), plain, *b.columns[2:]], names=["doc_id", "text", *b.schema.names[2:]])
 
     kinds = "".join(f", {f.name} {f.dataType.simpleString()}" for f in found.schema.fields[2:])
-    back = found.mapInArrow(run, "doc_id long, text string" + kinds)
+    back = found.mapInArrow(kernel.alone("suffixes", run), "doc_id long, text string" + kinds)
     named = {id_col: F.col("doc_id"), text: F.col("text")} | {c: F.col(f"carry_{i}") for i, c in enumerate(others)}
     return back.select(*[named[c].alias(c) for c in docs.columns])

@@ -419,3 +419,14 @@ def test_out_of_place_distance_is_exact():
 def test_held_out_is_crc32(spark):
     df = spark.range(300).select("id", kernel.held_out(F.col("id"), 5, 0).alias("h"))
     assert all(r.h == (zlib.crc32(str(r.id).encode()) % 5 == 0) for r in df.collect())
+
+
+def test_a_task_of_repeated_passages_keeps_nothing_of_others():
+    """What other operators kept in the worker goes before the task, also for groups; results pass through."""
+    kernel.cache("other")["table"] = [1]
+    kernel.power_table(8)
+    assert list(kernel.alone("suffixes", lambda rows: (r + 1 for r in rows))(iter([1, 2]))) == [2, 3]
+    assert not kernel._caches["other"] and not kernel._powers
+    kernel.cache("other")["table"] = [1]
+    assert kernel.alone("suffixes", lambda left, right: left + right)(1, 2) == 3
+    assert not kernel._caches["other"]
