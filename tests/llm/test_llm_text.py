@@ -430,3 +430,5 @@ def test_a_task_of_repeated_passages_keeps_nothing_of_others():
     kernel.cache("other")["table"] = [1]
     assert kernel.alone("suffixes", lambda left, right: left + right)(1, 2) == 3
     assert not kernel._caches["other"]
+    kernel.alone("suffixes", lambda left, right: kernel.power_table(8))(1, 2)
+    assert not kernel._powers
