@@ -52,6 +52,7 @@ def cut_pieces(docs: DataFrame, tokenizer: str, size: int = SIZE, end: int = END
                 parts = [data[p : p + n] for p, n in zip(first.tolist(), (held * 4).tolist(), strict=True)]
                 columns = [b.column(0).slice(i, j - i).take(kernel.pa.array(doc)), piece.astype(np.int32), start, held, np.fromiter(map(zlib.crc32, parts), np.int64, len(parts))]
                 yield kernel.batch("doc_id piece start length ids_crc32" + " ids" * keep_ids, *columns, *[kernel.blobs(parts)] * keep_ids)
+            kernel.trim()
 
     return kernel.texts_of(docs, id_col, text).mapInArrow(run, _SCHEMA + ", ids binary" * keep_ids)
 

@@ -23,6 +23,7 @@ import pyarrow as pa
 from catalith.llm import kernel
 
 KEEP = 1_200_000
+CALL = 4_000  # pieces of one call of the library, whose results are large
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 28, 29, 30, 31, 32]] = True
 _WIDE = np.array([0xC2, 0xE1, 0xE2, 0xE3], np.uint8)  # lead bytes of the wider spaces
@@ -80,11 +81,13 @@ class PieceEncoder:
     def _learn(self, first: int) -> None:
         """Ids of the pieces numbered ``first`` and up, each through the library."""
         data = self.spans.bytes_of(first)
-        for at in range(0, len(data), 20_000):
-            found = [e.ids for e in self.tokenizer.encode_batch_fast([d.decode() for d in data[at : at + 20_000]], add_special_tokens=False)]
-            size = np.fromiter(map(len, found), np.int64, len(found))
-            self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(found), np.uint32, int(size.sum()))])
-            self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(size)])
+        ids, sizes = [self.ids], []
+        for at in range(0, len(data), CALL):
+            found = [e.ids for e in self.tokenizer.encode_batch_fast([d.decode() for d in data[at : at + CALL]], add_special_tokens=False)]
+            sizes.append(np.fromiter(map(len, found), np.int64, len(found)))
+            ids.append(np.fromiter(chain.from_iterable(found), np.uint32, int(sizes[-1].sum())))
+        self.ids = np.concatenate(ids)
+        self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(np.concatenate(sizes))])
 
     def encode(self, column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
         """For ranges of texts: first, last, all ids (uint32) and the id bounds of each text."""
