@@ -18,3 +18,8 @@ def test_nest_reads_the_children_once(spark):
     assert "Range" not in plan_of(nested)
     assert plan_of(nested).count("Relation [") == 1
     assert {r["k"]: [x["v"] for x in r["vs"]] for r in nested.collect()} == {k: list(range(k, 100, 7)) for k in range(7)}
+
+
+def test_system_views_share_the_named_columns(spark):
+    for name in ("harvest_flags", "catalog_assemble"):
+        assert "l_partkey" not in plan_of(load.QUERIES[name](spark, SF))
