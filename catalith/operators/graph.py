@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from catalith.functions.text import contains_any
-from catalith.functions.values import json_or_empty, primary_label, safe_properties, typed_without_vectors
+from catalith.functions.values import VECTOR_KEYS, VECTOR_LENGTH, json_or_empty, primary_label, safe_properties, typed_without_vectors
 from catalith.operators import merge as M
 from catalith.plans.nesting import attach, nest
 from catalith.plans.ranking import first_per_key
@@ -215,7 +215,19 @@ def field_links(links: DataFrame) -> DataFrame:
 
 
 def _exported(rows: DataFrame, ids: Sequence[str]) -> Column:
-    return typed_without_vectors(F.to_variant_object(F.struct(*[c for c in rows.columns if c not in ids])))
+    """All other columns of a row as a VARIANT object, without vectors.
+
+    Only arrays and variants can be as long as a vector, so only rows with such a value
+    are taken apart; the types of the others tell that nothing is left out.
+    """
+    names = [c for c in rows.columns if c not in ids and c.lower() not in VECTOR_KEYS]
+    whole = F.to_variant_object(F.struct(*names))
+    lists = [c for c in names if rows.schema[c].dataType.typeName() in ("array", "variant")]
+    if not lists:
+        return whole
+    sizes = [F.size(c) if rows.schema[c].dataType.typeName() == "array" else F.json_array_length(F.to_json(c)) for c in lists]
+    longest = F.greatest(F.lit(0), *[F.coalesce(n, F.lit(0)) for n in sizes])
+    return F.when(longest < VECTOR_LENGTH, whole).otherwise(typed_without_vectors(whole))
 
 
 def graph_export(tables: DataFrame, columns: DataFrame, relationships: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -1,8 +1,11 @@
 """Frames that a query uses several times are derived once."""
 
+import json
+
 from pyspark.sql import functions as F
 
 from bindings import load
+from catalith.operators.graph import graph_export
 from catalith.plans.nesting import nest
 
 SF = "/root/testdata/sf0.001"
@@ -23,3 +26,18 @@ def test_nest_reads_the_children_once(spark):
 def test_system_views_share_the_named_columns(spark):
     for name in ("harvest_flags", "catalog_assemble"):
         assert "l_partkey" not in plan_of(load.QUERIES[name](spark, SF))
+
+
+def test_export_takes_only_rows_with_lists_apart(spark):
+    tables = spark.createDataFrame(
+        [(1, "a", [0.0] * 127, [1.0]), (2, None, [0.0] * 128, None), (3, "c", None, [1.0])], "table_id long, name string, sizes array<double>, Vector array<double>"
+    ).withColumn("extra", F.parse_json(F.expr("CASE WHEN table_id = 3 THEN to_json(sequence(1, 130)) ELSE '[1]' END")))
+    columns = spark.createDataFrame([(7, 1, "[1,2]")], "column_id long, table_id long, name string")
+    links = spark.createDataFrame([], "rel_id long, from_table_id long, to_table_id long, rel_type string, source_column string, target_column string")
+    nodes, _ = graph_export(tables, columns, links)
+    shown = {r["node_id"]: json.loads(r["p"]) for r in nodes.select("node_id", F.to_json("properties").alias("p")).collect()}
+    assert sorted(shown["1"]) == ["extra", "name", "sizes"] and len(shown["1"]["sizes"]) == 127
+    assert shown["2"] == {"extra": [1], "name": None}
+    assert shown["3"] == {"name": "c", "sizes": None}
+    assert shown["col:7"] == {"name": "[1,2]"}
+    assert "map_filter" not in plan_of(graph_export(tables.select("table_id", "name"), columns, links)[0])
