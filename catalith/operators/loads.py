@@ -12,7 +12,7 @@ from catalith.functions.text import blank, fold, lacks_text
 from catalith.functions.values import usage_type
 from catalith.operators import merge as M
 from catalith.operators.fk import RELATION_TYPES
-from catalith.plans.lineage_cut import cut
+from catalith.plans.lineage_cut import cut, stored
 from catalith.plans.ranking import first_per_key
 
 # Fixed values.
@@ -114,14 +114,18 @@ def merge_ddl(
 RELATION_KEYS = ["from_table_id", "to_table_id", "rel_type", "source_column", "target_column"]
 
 
-def _known_ends(tables: DataFrame, rows: DataFrame) -> DataFrame:
-    """Rows whose two tables exist, with their ids; ``(schema, name)`` picks the lowest id."""
+def _known_ends(tables: DataFrame, rows: DataFrame, how: str = "inner") -> DataFrame:
+    """Rows whose two tables exist, with their ids; ``(schema, name)`` picks the lowest id.
+
+    With ``how="left"`` the other rows stay, and ``from_known`` and ``to_known`` are set where a table exists.
+    """
     ids = tables.groupBy(F.col("schema_name").alias("s"), F.col("name").alias("t")).agg(F.min("table_id").alias("id"))
     for end in ("from", "to"):
         side = ids.select(
-            F.col("s").alias(f"{end}_schema"), F.col("t").alias(f"{end}_table"), F.col("id").alias(f"{end}_table_id")
+            F.col("s").alias(f"{end}_schema"), F.col("t").alias(f"{end}_table"), F.col("id").alias(f"{end}_table_id"),
+            *[F.lit(True).alias(f"{end}_known")] * (how == "left"),
         )
-        rows = rows.join(side, [f"{end}_schema", f"{end}_table"])
+        rows = rows.join(side, [f"{end}_schema", f"{end}_table"], how)
     return rows
 
 
@@ -200,12 +204,15 @@ def merge_relationships(relationships: DataFrame, tables: DataFrame, asked: Data
     """User relationships ``(merged, rejected)``; a bad type or an unknown table is a rejected row.
 
     ``asked(from_schema, from_table, from_column, to_schema, to_table, to_column,
-    rel_type, description, seq)``.
+    rel_type, description, seq)``.  The asked rows are looked up once, and both results read
+    what was found.
     """
-    allowed = asked.where(F.col("rel_type").isin(*RELATION_TYPES))
-    bad_type = asked.where(~F.coalesce(F.col("rel_type").isin(*RELATION_TYPES), F.lit(False)))
-    known = cut(_known_ends(tables, allowed))
-    changes = known.select(
+    allowed = F.coalesce(F.col("rel_type").isin(*RELATION_TYPES), F.lit(False))
+    found = F.col("from_known").isNotNull() & F.col("to_known").isNotNull()
+    reason = F.when(~allowed, "type not allowed").when(~found, "table not found").alias("reason")
+    told = ["from_table_id", "to_table_id", "rel_type", "from_column", "to_column", "description", "seq"]
+    looked_up = stored(_known_ends(tables, asked, "left").select(*told, reason), "asked")
+    changes = looked_up.where("reason IS NULL").select(
         "from_table_id",
         "to_table_id",
         "rel_type",
@@ -217,11 +224,7 @@ def merge_relationships(relationships: DataFrame, tables: DataFrame, asked: Data
     )
     policies = {"source": M.incoming(), "description": M.incoming()}
     merged = M.merge_upsert(relationships, changes, RELATION_KEYS, policies, ["seq"])
-    unknown = allowed.join(known.select("seq"), "seq", "left_anti")
-    rejected = bad_type.select("seq", F.lit("type not allowed").alias("reason")).unionByName(
-        unknown.select("seq", F.lit("table not found").alias("reason"))
-    )
-    return merged, rejected
+    return merged, looked_up.where("reason IS NOT NULL").select("seq", "reason")
 
 
 def merge_value_mappings(current: DataFrame, changes: DataFrame, order_by: Sequence[str]) -> DataFrame:

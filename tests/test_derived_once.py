@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from bindings import load
 from catalith.operators.graph import graph_export
+from catalith.operators.loads import merge_relationships
 from catalith.plans.nesting import nest
 
 SF = "/root/testdata/sf0.001"
@@ -41,3 +42,19 @@ def test_export_takes_only_rows_with_lists_apart(spark):
     assert shown["3"] == {"name": "c", "sizes": None}
     assert shown["col:7"] == {"name": "[1,2]"}
     assert "map_filter" not in plan_of(graph_export(tables.select("table_id", "name"), columns, links)[0])
+
+
+def test_merged_relationships_look_the_ends_up_once(spark):
+    plan = plan_of(load.QUERIES["merge_relationships"](spark, SF))
+    assert "l_partkey" not in plan and "p_partkey" not in plan
+
+
+def test_rejected_relationships_keep_their_row_beside_a_known_one(spark):
+    tables = spark.createDataFrame([(1, "s", "a"), (2, "s", "b")], "table_id long, schema_name string, name string")
+    told = "from_schema string, from_table string, from_column string, to_schema string, to_table string, to_column string, rel_type string, seq string"
+    asked = [("s", "a", "x", "s", "b", "y", "ONE_TO_ONE", "7"), ("s", "a", "x", "s", "gone", "y", "ONE_TO_ONE", "7"), ("s", "a", "x", None, "b", "y", "ODD", "8"), ("s", "a", "x", "s", "b", "y", None, "9")]
+    known = spark.createDataFrame([], "from_table_id long, to_table_id long, rel_type string, source_column string, target_column string, source string, description string")
+    rows = spark.createDataFrame(asked, told).withColumn("description", F.lit("d"))
+    merged, rejected = merge_relationships(known, tables, rows)
+    assert [(r["from_table_id"], r["to_table_id"]) for r in merged.collect()] == [(1, 2)]
+    assert sorted(tuple(r) for r in rejected.collect()) == [("7", "table not found"), ("8", "type not allowed"), ("9", "type not allowed")]
