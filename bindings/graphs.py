@@ -10,6 +10,7 @@ from bindings.registry import query
 from bindings.views import Bound, duck
 from catalith.operators import graph, lineage, paths
 from catalith.operators import merge as M
+from catalith.plans.lineage_cut import stored as once
 from catalith.plans.ranking import frequencies
 from catalith.sources import arrays, dumps
 
@@ -499,11 +500,12 @@ SELECT src, dst, edge_type, CASE WHEN bool_or(stored) THEN 'stored' ELSE 'new' E
 )
 def save_lineage_edges(b: Bound):
     """Stored edges stay, edges of the other processes are added, none comes twice."""
-    nodes = lineage.lineage_nodes(b.V_lin.where(STORED_PART))
-    stored = lineage.lineage_edges(b.V_lin.where(STORED_PART))
-    saved = lineage.save_lineage(nodes, stored, b.V_lin)["edges"].select("src", "dst", "edge_type")
-    known = stored.withColumn("origin", F.lit("stored"))
-    return saved.join(known, ["src", "dst", "edge_type"], "left").withColumn("origin", F.coalesce("origin", F.lit("new")))
+    events = once(b.V_lin, "lineage")
+    nodes = lineage.lineage_nodes(events.where(STORED_PART))
+    stored = once(lineage.lineage_edges(events.where(STORED_PART)), "lineage-edges")
+    saved = lineage.save_lineage(nodes, stored, events)["edges"]
+    origin = F.when(F.col(M.ACTION) == "insert", "new").otherwise("stored")
+    return saved.select("src", "dst", "edge_type", origin.alias("origin"))
 
 
 LIN_NODES = """, n AS (SELECT DISTINCT proc AS name, 'ETLProcess' AS node_type, NULL AS source_type, '{"operation_type": "UNKNOWN"}' AS x FROM V_lin
