@@ -58,3 +58,18 @@ def test_rejected_relationships_keep_their_row_beside_a_known_one(spark):
     merged, rejected = merge_relationships(known, tables, rows)
     assert [(r["from_table_id"], r["to_table_id"]) for r in merged.collect()] == [(1, 2)]
     assert sorted(tuple(r) for r in rejected.collect()) == [("7", "table not found"), ("8", "type not allowed"), ("9", "type not allowed")]
+
+
+def test_saved_lineage_reads_the_events_and_the_stored_edges_once(spark):
+    plan = plan_of(load.QUERIES["save_lineage_edges"](spark, SF))
+    assert "l_orderkey" not in plan and plan.count("Join FullOuter") == 1 and "Join LeftOuter" not in plan
+
+
+def test_relation_details_joins_the_keys_once(spark):
+    assert "l_partkey" not in plan_of(load.QUERIES["relation_details"](spark, SF))
+
+
+def test_related_tables_count_columns_without_expanded_rows(spark):
+    for name in ("related_tables", "related_tables_columns", "related_tables_scored"):
+        plan = plan_of(load.QUERIES[name](spark, SF))
+        assert "Expand" not in plan and ("l_partkey" not in plan or name == "related_tables_scored")
