@@ -14,8 +14,10 @@ from pyspark.sql import functions as F
 from catalith.functions.text import contains_any
 from catalith.functions.values import VECTOR_KEYS, VECTOR_LENGTH, json_or_empty, primary_label, safe_properties, typed_without_vectors
 from catalith.operators import merge as M
+from catalith.plans.lineage_cut import stored
 from catalith.plans.nesting import attach, nest
 from catalith.plans.ranking import first_per_key
+from catalith.plans.sizing import task_count
 
 # Label and edge vocabulary of the model layer.
 LAYERS = ("KPI", "Measure", "Driver", "Process", "Resource")
@@ -43,17 +45,18 @@ def graph_load(nodes: DataFrame, edges: DataFrame) -> tuple[DataFrame, DataFrame
 
 
 def edge_resolution(edges: DataFrame, nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Edges with both ends known, and the rest."""
-    tagged = with_known_ends(edges, nodes)
+    """Edges with both ends known, and the rest; the ends are looked up once for both."""
+    tagged = stored(with_known_ends(edges, nodes), "edges")
     return tagged.where("known").drop("known"), tagged.where("NOT known").drop("known")
 
 
 def with_known_ends(edges: DataFrame, nodes: DataFrame) -> DataFrame:
     """Edges with a flag telling whether both ends exist."""
-    ids = nodes.select("id").distinct()
+    tasks = task_count(edges, nodes)
+    ids = nodes.select("id").repartition(tasks, "id").distinct()
     rows = edges
     for end in ("src", "dst"):
-        rows = rows.join(ids.select(F.col("id").alias(end), F.lit(True).alias(f"__{end}")), end, "left")
+        rows = rows.repartition(tasks, end).join(ids.select(F.col("id").alias(end), F.lit(True).alias(f"__{end}")), end, "left")
     known = F.col("__src").isNotNull() & F.col("__dst").isNotNull()
     return rows.select(*edges.columns, known.alias("known"))
 
@@ -267,8 +270,10 @@ def graph_export(tables: DataFrame, columns: DataFrame, relationships: DataFrame
 def graph_entities(records: DataFrame, order: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """Result rows split into distinct nodes and distinct relationships, the first row per id wins.
 
-    ``records(node_id, id, labels, rel_id, rel_type, start_id, end_id)``.
+    ``records(node_id, id, labels, rel_id, rel_type, start_id, end_id)``.  The rows of an id
+    meet in one task, where they are sorted, on disk if they are very many.
     """
+    tasks = task_count(records)
     node_id = F.coalesce("node_id", "id").cast("string")
     nodes = records.select(node_id.alias("entity_id"), F.coalesce("labels", F.lit("")).alias("labels"), *order)
     rels = records.select(
@@ -278,8 +283,10 @@ def graph_entities(records: DataFrame, order: Sequence[str]) -> tuple[DataFrame,
         F.coalesce("end_id", F.lit("")).alias("end_id"),
         *order,
     )
-    first_nodes = first_per_key(nodes.where(F.col("entity_id").isNotNull()), ["entity_id"], order)
-    first_rels = first_per_key(rels.where(F.col("relationship_id").isNotNull()), ["relationship_id"], order)
+    named = nodes.where(F.col("entity_id").isNotNull()).repartition(tasks, "entity_id")
+    linked = rels.where(F.col("relationship_id").isNotNull()).repartition(tasks, "relationship_id")
+    first_nodes = first_per_key(named, ["entity_id"], order)
+    first_rels = first_per_key(linked, ["relationship_id"], order)
     return first_nodes.drop(*order), first_rels.drop(*order)
 
 
