@@ -14,6 +14,7 @@ from catalith.operators import merge as M
 from catalith.operators.fk import RELATION_TYPES
 from catalith.plans.lineage_cut import cut, stored
 from catalith.plans.ranking import first_per_key
+from catalith.plans.sizing import task_count
 
 # Fixed values.
 INFERRED_SOURCE, DDL_SOURCE, USER_SOURCE = "sample_data_inference", "ddl", "user"
@@ -287,7 +288,8 @@ def usage_rebuild(
     fqn)``.  A table matches by name or original name inside (db, schema); the
     lowest id wins.
     """
-    ids = rewritten.select("query_id").distinct()
+    tasks = task_count(table_usage, column_usage, named_columns, columns)
+    ids = rewritten.select("query_id").repartition(tasks, "query_id").distinct()
     named = named_tables.select(
         "query_id", fold("db").alias("db"), fold(F.trim("schema")).alias("schema"), fold(F.trim("name")).alias("key")
     ).where((F.length("schema") > 0) & (F.length("key") > 0))
@@ -307,11 +309,13 @@ def usage_rebuild(
         F.trim("table").alias("t"),
         F.trim("name").alias("n"),
     ).where((F.length("t") > 0) & (F.length("n") > 0))
-    by_fqn = columns.groupBy(fold("fqn").alias("key")).agg(F.min("column_id").alias("column_id"))
-    fresh_columns = used.join(by_fqn, "key").select("query_id", "column_id", "usage_type").distinct()
+    keyed = columns.select(fold("fqn").alias("key"), "column_id").repartition(tasks, "key")
+    by_fqn = keyed.groupBy("key").agg(F.min("column_id").alias("column_id"))
+    matched = used.select("query_id", "key", "usage_type").repartition(tasks, "key").join(by_fqn, "key")
+    fresh_columns = matched.select("query_id", "column_id", "usage_type").repartition(tasks, "query_id", "column_id").distinct()
     return {
-        "table_usage": table_usage.join(ids, "query_id", "left_anti").unionByName(fresh_tables),
-        "column_usage": column_usage.join(ids, "query_id", "left_anti").unionByName(fresh_columns),
+        "table_usage": table_usage.repartition(tasks, "query_id").join(ids, "query_id", "left_anti").unionByName(fresh_tables),
+        "column_usage": column_usage.repartition(tasks, "query_id").join(ids, "query_id", "left_anti").unionByName(fresh_columns),
     }
 
 

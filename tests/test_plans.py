@@ -1,5 +1,7 @@
 """Ranking and nesting plans, including groups far above the usual size."""
 
+import re
+
 from pyspark.sql import functions as F
 
 from catalith.operators.usage import containing
@@ -91,3 +93,39 @@ def test_substring_join_equals_brute_force(spark):
     assert sorted((r["v"], r["t"]) for r in found.select("v", "t").distinct().collect()) == want
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_wide_steps_get_more_tasks_with_larger_files(spark, tmp_path, monkeypatch):
+    from catalith.operators import fk, graph, loads
+    from catalith.plans import sizing
+
+    spark.range(1000).selectExpr("concat('a', id) AS src", "concat('b', id) AS dst", "'t' AS type").write.parquet(str(tmp_path / "edges"))
+    edges = spark.read.parquet(str(tmp_path / "edges"))
+    own = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert sizing.task_count(edges) == sizing.task_count(spark.range(3)) == own
+    size = sum(f.stat().st_size for f in (tmp_path / "edges").glob("*.parquet"))
+    monkeypatch.setattr(sizing, "TASK_BYTES", 100)
+    tasks = -(-size // 100)
+    assert sizing.task_count(edges) == tasks > own
+
+    def steps(df):
+        return re.findall(r"hashpartitioning\((\w+)#\d+L?[^)]*, (\d+)\), REPARTITION_BY_NUM", df._jdf.queryExecution().executedPlan().toString())
+
+    wide = {(name, str(tasks)) for name in ("src", "dst", "id")}
+    assert wide <= set(steps(graph.with_known_ends(edges, edges.select(F.col("src").alias("id")))))
+    records = edges.selectExpr("src AS node_id", "src AS id", "type AS labels", "dst AS rel_id", "type AS rel_type", "src AS start_id", "dst AS end_id", "dst AS seq")
+    nodes, links = graph.graph_entities(records, ["seq"])
+    assert ("entity_id", str(tasks)) in steps(nodes) and ("relationship_id", str(tasks)) in steps(links)
+    used = edges.selectExpr("src AS statement_id", "dst AS table_id", "type AS ref_type")
+    said = edges.selectExpr("src AS statement_id", "dst AS proc_id", "type AS statement_type", "1 AS start_line")
+    procedures = edges.selectExpr("dst AS proc_id", "src AS procedure_name", "type AS procedure_type")
+    shown = fk.table_references(used, said, procedures, edges.selectExpr("dst AS table_id", "src AS name"))
+    assert shown.count() == 1000 and ("statement_id", str(tasks)) in steps(shown)
+    usage = edges.selectExpr("src AS query_id", "dst AS column_id", "type AS usage_type")
+    named = edges.selectExpr("src AS query_id", "type AS db", "type AS schema", "type AS table", "dst AS name", "type AS purpose")
+    rebuilt = loads.usage_rebuild(
+        usage.selectExpr("query_id", "column_id AS table_id"), usage, usage.where("query_id = 'a1'"), named, named,
+        edges.selectExpr("type AS db", "type AS schema_name", "dst AS name", "src AS original_name", "dst AS table_id"),
+        edges.selectExpr("dst AS column_id", "concat('t.t.', dst) AS fqn"),
+    )
+    assert {("key", str(tasks)), ("query_id", str(tasks))} <= set(steps(rebuilt["column_usage"]))
