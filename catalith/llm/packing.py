@@ -35,7 +35,7 @@ _SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long"
 def cut_pieces(docs: DataFrame, tokenizer: str, size: int = SIZE, end: int = END, id_col: str = "doc_id", text: str = "text", keep_ids: bool = False) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32) of every piece, with its ids on request."""
 
-    def run(batches):
+    def cut(batches):
         encoder = pieces.encoder(tokenizer)
         for b in batches:
             for i, j, ids, bounds in encoder.encode(b.column(1)):
@@ -54,6 +54,12 @@ def cut_pieces(docs: DataFrame, tokenizer: str, size: int = SIZE, end: int = END
                 yield kernel.batch("doc_id piece start length ids_crc32" + " ids" * keep_ids, *columns, *[kernel.blobs(parts)] * keep_ids)
             kernel.trim()
 
+    def run(batches):
+        try:
+            yield from cut(batches)
+        finally:
+            kernel.let_go("pieces")
+
     return kernel.texts_of(docs, id_col, text).mapInArrow(run, _SCHEMA + ", ids binary" * keep_ids)
 
 

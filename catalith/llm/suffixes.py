@@ -467,8 +467,13 @@ def _compare(fetched: DataFrame, buckets: int) -> DataFrame:
     return fetched.repartition(n, "place").sortWithinPartitions("place", "kind").mapInArrow(kernel.alone("suffixes", run), _PACKED)
 
 
-def deduplicate(docs: DataFrame, id_col: str = "doc_id", text: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
-    """(doc_id, n_bytes, n_removed, n_spans, kept binary) and ``carry`` of every row."""
+def deduplicate(docs: DataFrame, id_col: str = "doc_id", text: str = "text", carry: tuple[str, ...] = (), plain: bool = False) -> DataFrame:
+    """(doc_id, n_bytes, n_removed, n_spans, kept binary) and ``carry`` of every row.
+
+    With ``plain``, ``kept`` is a string, without characters that were cut in part.  It is
+    made here and not by a function over the result: that would take a second worker for
+    each task, and all workers that an executor ever had stay and take turns.
+    """
     spark = docs.sparkSession
     parts = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     buckets = max(1, docs.count() // DOCS_PER_BUCKET)
@@ -482,7 +487,7 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text: str = "text", car
     asked = _settle(_parse(texts, parts, buckets), parts, buckets)
     removed = _compare(_fetch(dealt, asked, parts), buckets)
     kinds = [source.schema[f"carry_{i}"] for i in range(len(carry))]
-    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary" + "".join(f", `{f.name}` {f.dataType.simpleString()}" for f in kinds)
+    schema = f"doc_id long, n_bytes long, n_removed long, n_spans long, kept {'string' if plain else 'binary'}" + "".join(f", `{f.name}` {f.dataType.simpleString()}" for f in kinds)
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         left = _opened(left.column("data"))
@@ -500,7 +505,8 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text: str = "text", car
         keep = raw[~gone].tobytes()
         edge = (bounds - total[bounds]).tolist()
         kept = [keep[a:b] for a, b in zip(edge[:-1], edge[1:], strict=True)]
-        out = [left.column("doc").combine_chunks(), np.diff(bounds), np.diff(total[bounds]), np.bincount(owner, minlength=len(rows)), kernel.blobs(kept)]
+        out = [left.column("doc").combine_chunks(), np.diff(bounds), np.diff(total[bounds]), np.bincount(owner, minlength=len(rows))]
+        out.append(pa.array([d.decode("utf-8", "ignore") for d in kept], pa.string()) if plain else kernel.blobs(kept))
         out += [left.column(f.name).combine_chunks() for f in kinds]
         names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept", *[f.name for f in kinds]]
         return pa.table([x if isinstance(x, pa.Array) else pa.array(x, pa.int64()) for x in out], names=names)
@@ -527,14 +533,6 @@ def _everywhere(rows, ids, brow, bdoc, who, start, bounds):
 def cleaned(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with what is left of every text; a character that was cut in part goes too."""
     others = tuple(c for c in docs.columns if c not in (id_col, text))
-    found = deduplicate(docs, id_col, text, carry=others).select("doc_id", "kept", *[F.col(f"`{c}`").alias(f"carry_{i}") for i, c in enumerate(others)])
-
-    def run(batches):
-        for b in batches:
-            plain = pa.array([d.decode("utf-8", "ignore") for d in b.column(1).to_pylist()], pa.string())
-            yield pa.RecordBatch.from_arrays([b.column(0), plain, *b.columns[2:]], names=["doc_id", "text", *b.schema.names[2:]])
-
-    kinds = "".join(f", {f.name} {f.dataType.simpleString()}" for f in found.schema.fields[2:])
-    back = found.mapInArrow(kernel.alone("suffixes", run), "doc_id long, text string" + kinds)
-    named = {id_col: F.col("doc_id"), text: F.col("text")} | {c: F.col(f"carry_{i}") for i, c in enumerate(others)}
-    return back.select(*[named[c].alias(c) for c in docs.columns])
+    found = deduplicate(docs, id_col, text, carry=others, plain=True)
+    named = {id_col: F.col("doc_id"), text: F.col("kept")} | {c: F.col(f"`{c}`") for c in others}
+    return found.select(*[named[c].alias(c) for c in docs.columns])

@@ -227,6 +227,13 @@ def test_cleaned_keeps_columns_and_rows(spark):
     assert suffixes.cleaned(docs.limit(0)).count() == 0
 
 
+def test_cleaned_takes_one_worker_a_task(spark):
+    docs = docs_of(spark, [(1, "é" * 60), (2, None)], extra=True)
+    plan = suffixes.cleaned(docs)._jdf.queryExecution().executedPlan().toString()
+    last_stage = plan.split("Exchange")[0]
+    assert last_stage.count("InArrow") == 1, last_stage
+
+
 def jaccard(a, b):
     sets = []
     for t in (a, b):
