@@ -1,8 +1,8 @@
 """Bounded path search with unrolled joins.
 
 Each level is one equi-join of a frontier with the edges.  Shortest paths are searched
-from both ends and keep one path per (start, node) or (end, node); enumeration keeps
-every path, as asked, up to the required depth.
+from both ends, or from the one with far fewer ids, and keep one path per (start, node)
+or (end, node); enumeration keeps every path, as asked, up to the required depth.
 """
 
 from __future__ import annotations
@@ -11,12 +11,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from catalith.operators.graph import node_enrich
-from catalith.plans.lineage_cut import cut
+from catalith.plans.lineage_cut import cut, stored
 from catalith.plans.ranking import top_per_group
 
 # Fixed values.
 MAX_DEPTH = 5
 PATH_LIMIT = 50
+# Path searches go from one side alone where it has this many times fewer ids.
+FEWER = 16
 
 
 def shortest_paths(edges: DataFrame, pairs: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
@@ -25,26 +27,27 @@ def shortest_paths(edges: DataFrame, pairs: DataFrame, max_depth: int = MAX_DEPT
     ``pairs(start, end)``; returns ``(start, end, found, depth, path)``.  A start
     equal to its end is found through a self loop or a cycle.
 
-    The search goes from both ends: walks of ``depth`` edges are those of the first half
-    from the start and of the second half to the end that meet in a node, so no level is
-    deeper than half of ``max_depth``.  A level keeps the smallest path for each
-    (start, node) or (end, node).  At the first depth of a pair all walks are shortest
-    paths, and the smallest of them is put together from smallest halves.  Edges are
-    shuffled once by each end, and all levels read that.
+    The search goes from both ends and meets in a node: ``_forward`` says how many of the
+    ``depth`` edges of a walk come from the start, the others come to the end.  A level
+    keeps the smallest path for each (start, node) or (end, node).  At the first depth of a
+    pair all walks are shortest paths, and the smallest of them is put together from
+    smallest halves.  Edges are shuffled once by each end, and all levels read that; equal
+    edges fall together where a level keeps its smallest path.  The pairs are stored.
     """
-    hops = edges.select("src", "dst").distinct()
-    wanted = pairs.select("start", "end").distinct()
+    hops = edges.select("src", "dst")
+    wanted = stored(pairs.select("start", "end").distinct(), "pairs")
+    forward = _forward(wanted, max_depth)
     ahead = [wanted.select("start", F.col("start").alias("node"), F.array("start").alias("path")).distinct()]
     back = [wanted.select("end", F.col("end").alias("node"), F.array("end").alias("rest")).distinct()]
-    for _ in range((max_depth + 1) // 2):
+    for _ in range(max(forward)):
         grown = ahead[-1].join(hops, F.col("node") == F.col("src"))
         ahead.append(grown.groupBy("start", F.col("dst").alias("node")).agg(F.min(F.array_append("path", F.col("dst"))).alias("path")))
-    for _ in range(max_depth // 2):
+    for _ in range(max(depth - n for depth, n in enumerate(forward, 1))):
         grown = back[-1].join(hops, F.col("node") == F.col("dst"))
         back.append(grown.groupBy("end", F.col("src").alias("node")).agg(F.min(F.array_prepend("rest", F.col("src"))).alias("rest")))
     met = None
-    for depth in range(1, max_depth + 1):
-        half = ahead[(depth + 1) // 2].join(wanted, "start").join(back[depth // 2], ["end", "node"])
+    for depth, n in enumerate(forward, 1):
+        half = ahead[n].join(wanted, "start").join(back[depth - n], ["end", "node"])
         path = F.concat("path", F.slice("rest", F.lit(2), F.greatest(F.size("rest") - 1, F.lit(0))))
         rows = half.select("start", "end", F.lit(depth).alias("depth"), path.alias("path"))
         met = rows if met is None else met.unionByName(rows)
@@ -53,6 +56,20 @@ def shortest_paths(edges: DataFrame, pairs: DataFrame, max_depth: int = MAX_DEPT
     return out.select("start", "end", F.col("first").isNotNull().alias("found"), F.col("first.depth").alias("depth"), F.col("first.path").alias("path"))
 
 
+def _forward(wanted: DataFrame, max_depth: int) -> list[int]:
+    """How many edges of a walk are searched from its start, for each depth from 1 on.
+
+    A level has at most one row for each node and each start (or end), so where one side
+    has far fewer ids than the other all edges are searched from there; else half of them.
+    """
+    starts, ends = wanted.agg(F.count_distinct("start"), F.count_distinct("end")).first()
+    if ends * FEWER <= starts:
+        return [0] * max_depth
+    if starts * FEWER <= ends:
+        return list(range(1, max_depth + 1))
+    return [(depth + 1) // 2 for depth in range(1, max_depth + 1)]
+
+
 def _steps(edges: DataFrame) -> DataFrame:
     """Edges with an id of their own; without ``edge_id`` equal edges are one."""
     own = F.col("edge_id") if "edge_id" in edges.columns else F.xxhash64("src", "dst", "type")

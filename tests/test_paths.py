@@ -109,6 +109,26 @@ def test_shortest_paths(spark):
         ), (r, want.get((r["start"], r["end"])))
 
 
+def test_shortest_paths_go_from_the_side_with_fewer_ids(spark):
+    edges = random_edges(20, 50, 3)
+    df = spark.createDataFrame(edges, "src string, dst string, type string")
+    nodes = [f"n{i}" for i in range(20)]
+    flat = [{"start": n, "end": "n0"} for n in nodes], [{"start": "n0", "end": n} for n in nodes]
+    for rows, unused in zip(flat, ("array_insert(path", "array_insert(rest"), strict=True):
+        asked = spark.createDataFrame(rows, "start string, end string")
+        found_paths = paths.shortest_paths(df, asked, 5)
+        assert unused not in found_paths._jdf.queryExecution().optimizedPlan().toString()
+        got = {(r["start"], r["end"]): r["path"] for r in found_paths.collect()}
+        for a, b in ((r["start"], r["end"]) for r in rows):
+            front, want = {(a,)}, None
+            for _ in range(5):
+                front = {(*p, d) for p in front for s, d, _ in edges if s == p[-1]}
+                if hit := [p for p in front if p[-1] == b]:
+                    want = list(min(hit))
+                    break
+            assert got[a, b] == want
+
+
 def test_chain_counts_do_not_reuse_a_loop(spark):
     edges = random_edges(6, 14, 4)
     df = spark.createDataFrame(edges, "src string, dst string, type string")
