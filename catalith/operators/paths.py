@@ -127,17 +127,21 @@ def _first(rows: DataFrame, limit: int) -> DataFrame:
 
 
 def _closing(steps: DataFrame, max_depth: int) -> DataFrame:
-    """``steps`` with ``again``: true for every edge that a walk of ``max_depth`` edges can use twice.
+    """``steps`` with ``onward``, true where an edge leads into the source, and ``again``:
+    true for every edge that a walk of ``max_depth`` edges can use twice.
 
     Up to three edges these are loops and edges with an edge back, exactly.  Beyond, they
     are the loops and the edges left when nodes without an edge in or without an edge out
     are taken away ``max_depth`` times: every cycle is left, so none is missed, and of a
-    graph without cycles only what is farther than that from both rims.
+    graph without cycles only what is farther than that from both rims.  Only onward edges
+    lie on a cycle, so the others are never compared.
     """
     loop = F.col("src") == F.col("dst")
+    entered = steps.select(F.col("dst").alias("src")).distinct().withColumn("__in", F.lit(True))
+    steps = stored(steps.join(entered, "src", "left").withColumn("onward", F.col("__in").isNotNull()).drop("__in"), "steps")
     if max_depth < 3:
         return steps.withColumn("again", loop)
-    pairs = steps.where(~loop).select("src", "dst").distinct()
+    pairs = steps.where(~loop & F.col("onward")).select("src", "dst").distinct()
     if max_depth == 3:
         back = pairs.select(F.col("dst").alias("src"), F.col("src").alias("dst"))
     else:
@@ -146,8 +150,9 @@ def _closing(steps: DataFrame, max_depth: int) -> DataFrame:
             ahead = back.select(F.col("src").alias("dst")).distinct()
             behind = back.select(F.col("dst").alias("src")).distinct()
             back = cut(back.join(ahead, "dst", "left_semi").join(behind, "src", "left_semi"))
-    marked = steps.join(back.withColumn("__back", F.lit(True)), ["src", "dst"], "left")
-    return marked.select("src", "dst", "type", "edge", (loop | F.col("__back").isNotNull()).alias("again"))
+    marked = steps.where("onward").join(back.withColumn("__back", F.lit(True)), ["src", "dst"], "left")
+    marked = marked.select("src", "dst", "type", "edge", "onward", (loop | F.col("__back").isNotNull()).alias("again"))
+    return marked.unionByName(steps.where("NOT onward").withColumn("again", F.lit(False)))
 
 
 def cause_heads(edges: DataFrame, targets: DataFrame, max_depth: int = 1) -> DataFrame:
@@ -158,19 +163,23 @@ def cause_heads(edges: DataFrame, targets: DataFrame, max_depth: int = 1) -> Dat
     that could come again.  Without cycles these sets are empty, so a level has at most
     one row for each target and node, however many paths lead there.
     """
-    steps = _closing(_steps(edges), max_depth) if max_depth > 1 else _steps(edges).withColumn("again", F.lit(False))
+    if max_depth > 1:
+        steps = _closing(_steps(edges), max_depth)
+    else:
+        steps = _steps(edges).withColumn("onward", F.lit(False)).withColumn("again", F.lit(False))
+    # other edges need no id: null is in no set
+    steps = steps.select("src", "dst", "type", "onward", F.when(F.col("again"), F.col("edge")).alias("edge"))
     asked = targets.select(F.col("id").alias("dst")).distinct()
-    used = F.array_compact(F.array(F.when(F.col("again"), F.col("edge"))))
     level = steps.join(asked, "dst", "left_semi").select(
-        F.col("dst").alias("target"), F.col("src").alias("id"), F.col("type").alias("relation_type"), used.alias("used")
+        F.col("dst").alias("target"), F.col("src").alias("id"), F.col("type").alias("relation_type"), F.array_compact(F.array("edge")).alias("used"), "onward"
     )
     out = None
     for depth in range(1, max_depth + 1):
         if depth > 1:
-            states = level.select("target", F.col("id").alias("dst"), "used").distinct()
-            grown = states.join(steps, "dst").where(~F.array_contains("used", F.col("edge")))
-            kept = F.when(F.col("again"), F.array_sort(F.array_append("used", F.col("edge")))).otherwise(F.col("used"))
-            level = grown.select("target", F.col("src").alias("id"), F.col("type").alias("relation_type"), kept.alias("used"))
+            states = level.where("onward").select("target", F.col("id").alias("dst"), "used").distinct()
+            grown = states.join(steps, "dst").where(F.col("edge").isNull() | ~F.array_contains("used", F.col("edge")))
+            kept = F.when(F.col("edge").isNotNull(), F.array_sort(F.array_append("used", F.col("edge")))).otherwise(F.col("used"))
+            level = grown.select("target", F.col("src").alias("id"), F.col("type").alias("relation_type"), kept.alias("used"), "onward")
         heads = level.select("target", F.lit(depth).alias("depth"), "id", "relation_type")
         out = heads if out is None else out.unionByName(heads)
     return out.distinct()
@@ -184,4 +193,4 @@ def direct_causes(
     ``nodes`` carries ``data_source``.
     """
     heads = cause_heads(edges, targets, max_depth)
-    return node_enrich(heads.join(nodes, "id"), datasets, terms)
+    return heads.join(node_enrich(nodes, datasets, terms), "id")

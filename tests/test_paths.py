@@ -80,6 +80,18 @@ def test_causes_do_not_multiply_by_paths(spark):
     assert len(rows) == 40 and {r["depth"] for r in rows} == {1, 2, 3, 4}
 
 
+def test_edges_that_nothing_enters_are_not_compared(spark):
+    edges = [("p1", "s1", "A"), ("p2", "s1", "A"), ("s1", "n1", "B"), ("n1", "s1", "B"), ("n1", "n1", "C")]
+    df = spark.createDataFrame(edges, "src string, dst string, type string")
+    steps = {(r["src"], r["dst"]): (r["onward"], r["again"]) for r in paths._closing(paths._steps(df), 3).collect()}
+    assert steps == {("p1", "s1"): (False, False), ("p2", "s1"): (False, False), ("s1", "n1"): (True, True), ("n1", "s1"): (True, True), ("n1", "n1"): (True, True)}
+    targets = spark.createDataFrame([("n1",), ("s1",)], "id string")
+    for depth in (2, 3, 4):
+        want = sorted({(t, n, c[0], k[0]) for t, n, c, k in brute_paths(edges, ["n1", "s1"], depth)})
+        rows = paths.cause_heads(df, targets, depth).collect()
+        assert sorted((r["target"], r["depth"], r["id"], r["relation_type"]) for r in rows) == want
+
+
 def test_shortest_paths(spark):
     edges = random_edges(12, 18, 2)
     df = spark.createDataFrame(edges, "src string, dst string, type string")
