@@ -1,7 +1,20 @@
 """The assembled catalog snapshot: fields, keys, files and how the rows meet."""
 
-from bindings import load
-from catalith.sources import harvest
+from bindings import harvests, load
+from bindings.views import Bound
+from catalith.plans.nesting import nest
+from catalith.plans.sizing import MAX_PARENT_ROWS, parent_sizes, parents_together
+from catalith.sources import harvest, snapshot
+
+SF = "/root/testdata/sf0.001"
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def physical_plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
 
 
 def test_assembled_snapshot_holds_all_column_fields_and_both_kinds_of_keys(spark):
@@ -22,3 +35,43 @@ def test_catalog_assemble_shows_keys_defaults_and_comments(spark):
     rows = load.QUERIES["catalog_assemble"](spark, "/root/testdata/sf0.001")
     shown = rows.selectExpr("sum(length(foreign_keys)) AS f", "sum(length(primary_keys)) AS p", "max(contains(details, 'flag ')) AS c", "max(contains(details, ': 0 :')) AS d").first()
     assert shown["f"] > 0 and shown["p"] > 0 and shown["c"] and shown["d"]
+
+
+def test_few_children_are_cut_into_the_same_parts_without_being_stored(spark):
+    child = spark.range(101).selectExpr("CASE WHEN id % 3 > 0 THEN id % 3 END AS k", "id div 2 AS v").where("NOT (k = 2 AND v > 4)")
+    for distinct in (False, True):
+        shown = [sorted((str(r["k"]), r["part"], [x["v"] for x in r["vs"]]) for r in nest(child, ["k"], ["v"], "vs", 10, distinct, few).collect()) for few in (False, True)]
+        assert shown[0] == shown[1] and max(len(x[2]) for x in shown[1]) == 10
+    assert "Relation [" not in plan_of(nest(child, ["k"], ["v"], "vs", few=True))
+
+
+def test_columns_meet_their_comments_and_keys_dealt_by_the_table(spark):
+    b = Bound(spark, SF)
+    with parents_together(spark):
+        plan = physical_plan_of(harvests.assembled(b))
+    assert "REPARTITION_BY_COL" in plan
+    assert not [line for line in plan.splitlines() if "Exchange hash" in line and "column_name" in line]
+
+
+def test_dealt_and_spread_columns_give_the_same_snapshot(spark):
+    b = Bound(spark, SF)
+    with parents_together(spark):
+        near = sorted(map(str, harvests.assembled(b).collect()))
+    b.largest_table = MAX_PARENT_ROWS + 1
+    far = harvests.assembled(b)
+    assert "REPARTITION" not in physical_plan_of(far)
+    assert sorted(map(str, far.collect())) == near
+
+
+def test_a_large_parent_is_seen(spark):
+    rows = spark.range(10).selectExpr("id % 2 AS a", "id % 4 < 2 OR id = 9 AS b")
+    assert parent_sizes(rows, ["a", "b"])[0] == 3
+    assert parent_sizes(rows.where("a > 1"), ["a"])[0] == 0
+
+
+def test_snapshot_files_are_packed_and_read_back(spark, tmp_path):
+    rows = spark.range(1000).selectExpr("concat('t', id) AS name", "array(named_struct('column_name', 'c')) AS columns")
+    snapshot.write_snapshot(rows, str(tmp_path / "s"))
+    files = list((tmp_path / "s").glob("part-*"))
+    assert files and all(f.name.endswith(".json.gz") for f in files)
+    assert sorted(spark.read.schema(rows.schema).json(str(tmp_path / "s")).collect()) == sorted(rows.collect())
