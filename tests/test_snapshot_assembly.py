@@ -75,3 +75,24 @@ def test_snapshot_files_are_packed_and_read_back(spark, tmp_path):
     files = list((tmp_path / "s").glob("part-*"))
     assert files and all(f.name.endswith(".json.gz") for f in files)
     assert sorted(spark.read.schema(rows.schema).json(str(tmp_path / "s")).collect()) == sorted(rows.collect())
+
+
+def test_both_ends_of_the_keys_read_one_shuffle_of_the_attributes(spark, tmp_path):
+    made = spark.range(40).selectExpr("id % 4 AS table_id", "CAST(id div 4 AS INT) AS attnum", "'s' AS table_schema", "concat('t', id % 4) AS table_name", "concat('c', id) AS column_name")
+    made.write.parquet(str(tmp_path / "a"))
+    attributes = spark.read.parquet(str(tmp_path / "a"))
+    keys = spark.createDataFrame([("k", 1, 2, [1, 0], [3, 4]), ("k", 0, 0, [9], [9])], "constraint_name string, table_id long, ref_table_id long, conkey array<int>, confkey array<int>")
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    spark.conf.set(name, "-1")
+    try:
+        fks = harvest.harvest_fks(keys, attributes)
+        found = sorted(tuple(r) for r in fks.collect())
+        assert "ReusedExchange" in physical_plan_of(fks)
+    finally:
+        spark.conf.unset(name)
+    assert found == [("k", "s", "t0", "c36", "s", "t0", "c36", 1), ("k", "s", "t1", "c1", "s", "t2", "c18", 2), ("k", "s", "t1", "c5", "s", "t2", "c14", 1)]
+
+
+def test_constraints_find_their_columns_among_the_stored_ones(spark):
+    b = Bound(spark, SF)
+    assert "Aggregate [l_partkey" not in plan_of(harvests.constraint_keys(b)) + plan_of(harvests.physical_layer(b)[1])
