@@ -63,6 +63,18 @@ def test_dealt_and_spread_columns_give_the_same_snapshot(spark):
     assert sorted(map(str, far.collect())) == near
 
 
+def test_more_tasks_than_the_session_has_give_the_same_snapshot(spark):
+    b = Bound(spark, SF)
+    with parents_together(spark):
+        few = sorted(map(str, harvests.assembled(b).collect()))
+        b.tasks = 20
+        many = harvests.assembled(b)
+        plan = physical_plan_of(many)
+        assert "REPARTITION_BY_NUM" in plan and "REPARTITION_BY_COL" not in plan
+        assert not [line for line in plan.splitlines() if "Exchange hash" in line and "column_name" in line]
+        assert sorted(map(str, many.collect())) == few
+
+
 def test_a_large_parent_is_seen(spark):
     rows = spark.range(10).selectExpr("id % 2 AS a", "id % 4 < 2 OR id = 9 AS b")
     assert parent_sizes(rows, ["a", "b"])[0] == 3
